@@ -7,11 +7,17 @@ trees and the sample size only.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Send these functions by value, so that executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 NODE_COLUMNS = "tree int, node int, feature int, cut double, left int, right int, path double"
 EULER_GAMMA = 0.5772156649015329
 

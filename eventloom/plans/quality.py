@@ -322,11 +322,11 @@ def lookup_events(spark, folder):
     "lookup_by_country",
     """SELECT event_id, n_name AS country FROM events JOIN customer ON user_id = c_custkey
         JOIN nation ON c_nationkey = n_nationkey
-    WHERE n_name = 'CHINA' AND event_type = 'purchase'""",
+    WHERE n_name = 'NATION_10' AND event_type = 'purchase'""",
 )
 def lookup_by_country(spark, folder):
     joined = enrich.with_users(driver.events(spark, folder), driver.users(spark, folder))
-    return lookup.find_events(joined, event_types=("purchase",), country="CHINA").select("event_id", "country")
+    return lookup.find_events(joined, event_types=("purchase",), country="NATION_10").select("event_id", "country")
 
 
 @query(

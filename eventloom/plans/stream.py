@@ -1 +1,214 @@
-"""Streaming queries (filled below)."""
+"""Streaming queries: a file stream is run to its end and the sink is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.operators import anomalies
+from eventloom.operators.decode import decode_events
+from eventloom.plans import driver
+from eventloom.plans.batch import sessions_sql
+from eventloom.plans.driver import MESSAGES_SQL
+from eventloom.plans.registry import query
+from eventloom.session import prepare, workspace
+from eventloom.sources.files import stream_table
+from eventloom.streaming import joins, runs, state, tables, windows
+
+
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.event_time(stream_table(prepare(spark), folder, "events"))
+
+
+def of_type(df: DataFrame, kind: str) -> DataFrame:
+    return df.where(F.col("event_type") == kind)
+
+
+def collected(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Append a stream to files until its input is used up, and read them."""
+    space = workspace(spark, name)
+    runs.run_available(runs.append_files(df, f"{space}/out", f"{space}/checkpoint"))
+    return spark.read.schema(df.schema).parquet(f"{space}/out")
+
+
+def handled(df: DataFrame, handle, space: str, mode: str = "append") -> None:
+    runs.run_available(runs.per_batch(df, handle, f"{space}/checkpoint", mode))
+
+
+def naive(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants as naive UTC times, as the source tables have them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@query("stream_append_count", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def stream_append_count(spark, folder):
+    stored = collected(events(spark, folder), spark, "append")
+    return stored.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_tumbling_counts",
+    """SELECT * FROM (SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+        time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n FROM events GROUP BY ALL)
+    WHERE window_end <= (SELECT max(ts) - INTERVAL 24 HOUR FROM events)""",
+)
+def stream_tumbling_counts(spark, folder):
+    """Windows closed by a watermark a day behind the newest event."""
+    counted = windows.windowed_counts(events(spark, folder), "24 hours", "1 day", None, "event_type")
+    return naive(collected(counted, spark, "tumbling"), "window_start", "window_end")
+
+
+@query(
+    "stream_sliding_counts",
+    """SELECT * FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR AS window_start,
+        time_bucket(INTERVAL 6 HOUR, ts) - k * INTERVAL 6 HOUR + INTERVAL 1 DAY AS window_end, count(*) AS n
+        FROM events, range(4) r(k) GROUP BY ALL)
+    WHERE window_end <= (SELECT max(ts) - INTERVAL 24 HOUR FROM events)""",
+)
+def stream_sliding_counts(spark, folder):
+    counted = windows.windowed_counts(events(spark, folder), "24 hours", "1 day", "6 hours")
+    return naive(collected(counted, spark, "sliding"), "window_start", "window_end")
+
+
+@query(
+    "stream_gap_sessions",
+    sessions_sql("30 MINUTE")
+    + """SELECT * FROM (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n
+        FROM g GROUP BY user_id, sid) WHERE session_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)
+def stream_gap_sessions(spark, folder):
+    sessions = windows.gap_sessions(events(spark, folder), "1 hour", "30 minutes")
+    return naive(collected(sessions, spark, "sessions"), "session_start", "session_end")
+
+
+@query("stream_dedup", "SELECT event_id, ts, event_type FROM events")
+def stream_dedup(spark, folder):
+    """Every event arrives twice."""
+    twice = events(spark, folder).unionByName(events(spark, folder)).select("event_id", "ts", "event_type")
+    return naive(collected(windows.first_delivery(twice, "24 hours"), spark, "dedup"), "ts")
+
+
+USERS_SQL = """SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS total_events,
+    count(*) FILTER (event_type = 'purchase') AS total_purchases,
+    CAST(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(15,2)) ELSE 0 END) AS DECIMAL(25,2)) AS total_spent
+    FROM events GROUP BY user_id"""
+
+
+@query("stream_user_rollup", USERS_SQL)
+def stream_user_rollup(spark, folder):
+    """Built-in aggregate in update mode; the newest row per user is the current state."""
+    from eventloom.operators.metrics import user_rollup
+
+    space = workspace(spark, "rollup")
+    handled(user_rollup(events(spark, folder)), tables.keep_changes(f"{space}/changes"), space, "update")
+    return naive(tables.latest_changes(spark, f"{space}/changes", "user_id"), "first_seen", "last_seen")
+
+
+@query("stream_user_state", USERS_SQL)
+def stream_user_state(spark, folder):
+    """The same totals kept by a stateful processor."""
+    space = workspace(spark, "state")
+    totals = state.running_totals(events(spark, folder))
+    handled(totals, tables.keep_changes(f"{space}/changes"), space, "update")
+    latest = tables.latest_changes(spark, f"{space}/changes", "user_id", "shard")
+    return naive(state.combined(latest), "first_seen", "last_seen")
+
+
+@query("stream_upsert_users", USERS_SQL)
+def stream_upsert_users(spark, folder):
+    """Events stored once although purchases arrive twice, and users kept up to date."""
+    space = workspace(spark, "upsert")
+    delivered = events(spark, folder).unionByName(of_type(events(spark, folder), "purchase"))
+    handled(delivered, tables.upsert_users(f"{space}/events", f"{space}/users"), space)
+    return naive(tables.read_users(spark, f"{space}/users"), "first_seen", "last_seen")
+
+
+@query(
+    "stream_enrich",
+    """SELECT event_id, user_id, c_mktsegment AS segment, n_name AS country
+    FROM events LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
+)
+def stream_enrich(spark, folder):
+    joined = joins.with_users(events(spark, folder), driver.users(spark, folder))
+    return collected(joined.select("event_id", "user_id", "segment", "country"), spark, "enrich")
+
+
+@query(
+    "stream_click_to_purchase",
+    """WITH mark AS (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase'))
+        - INTERVAL 1 HOUR AS closed FROM events),
+    c AS (SELECT event_id, user_id, ts, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS minute_end
+        FROM events, mark WHERE event_type = 'click' AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= closed)
+    SELECT p.event_id AS purchase_id, p.user_id, p.ts AS purchase_ts, arg_max(c.event_id, (c.ts, c.event_id)) AS click_id,
+        max(c.ts) AS click_ts, count(*) AS clicks_in_reach
+    FROM events p JOIN c ON c.user_id = p.user_id AND minute_end - INTERVAL 1 MICROSECOND <= p.ts
+        AND minute_end - INTERVAL 1 MICROSECOND > p.ts - INTERVAL 24 HOUR
+    WHERE p.event_type = 'purchase' GROUP BY ALL""",
+)
+def stream_click_to_purchase(spark, folder):
+    """Two streams with an interval join; clicks count once their minute is closed."""
+    clicks, purchases = of_type(events(spark, folder), "click"), of_type(events(spark, folder), "purchase")
+    matches = joins.clicks_before_purchases(clicks, purchases, "1 hour", "24 hours")
+    result = joins.attributed(collected(matches, spark, "attribution"))
+    return naive(result, "purchase_ts", "click_ts")
+
+
+@query(
+    "stream_dead_letters",
+    MESSAGES_SQL
+    + """SELECT CASE WHEN faults = '' THEN 'accepted' ELSE split_part(faults, ',', 1) END AS outcome, count(*) AS n
+    FROM checked GROUP BY 1""",
+)
+def stream_dead_letters(spark, folder):
+    """A stream of messages divided into accepted events and dead letters."""
+    space = workspace(spark, "dead")
+    incoming = driver.messages(events(spark, folder))
+    checked = decode_events(incoming, received_at=F.col("ts"), keep=("ts",))
+    handled(checked, tables.split_rejected(f"{space}/valid", f"{space}/dead", F.col("ts")), space)
+    valid = spark.read.parquet(f"{space}/valid").select(F.lit("accepted").alias("outcome"))
+    dead = spark.read.parquet(f"{space}/dead").select(F.col("error_type").alias("outcome"))
+    return valid.unionAll(dead).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_anomalies",
+    """WITH s AS (SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS s,
+        CAST(sum(CAST(value AS DECIMAL(15,2)) * CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS q FROM events GROUP BY 1)
+    SELECT event_id, user_id, CASE WHEN high THEN 0.95 ELSE 0.85 END::DOUBLE AS score,
+        concat_ws(',', CASE WHEN high THEN 'high_value' END, CASE WHEN bulk THEN 'bulk' END) AS rules
+    FROM (SELECT event_id, user_id, (e.value - s.s / s.n) / sqrt((s.q - s.s * s.s / s.n) / (s.n - 1)) > 3 AS high,
+        e.event_type = 'purchase' AND CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 >= 50 AS bulk
+        FROM events e JOIN s USING (event_type)) WHERE high OR bulk""",
+)
+def stream_anomalies(spark, folder):
+    """Events flagged in flight against a baseline computed from the stored events."""
+    baseline = anomalies.value_baseline(driver.events(spark, folder))
+    scored = anomalies.with_z_score(events(spark, folder), baseline)
+    bulk = (F.col("event_type") == "purchase") & (driver.feature() + 1 >= anomalies.BULK_QUANTITY)
+    rules = {
+        "high_value": (F.col("z") > anomalies.Z_LIMIT, anomalies.HIGH_VALUE_SCORE),
+        "bulk": (bulk, anomalies.BULK_SCORE),
+    }
+    flagged = anomalies.scored(scored, rules).where("flagged")
+    return collected(flagged.select("event_id", "user_id", "score", "rules"), spark, "anomalies")
+
+
+@query(
+    "stream_late_events",
+    """SELECT CASE WHEN ts < TIMESTAMP '2024-01-16' AND ts < (SELECT max(ts) FROM events) - INTERVAL 24 HOUR
+        THEN 'late' ELSE 'on_time' END AS arrival, count(*) AS n FROM events GROUP BY 1""",
+)
+def stream_late_events(spark, folder):
+    """The newer half of the month arrives before the older half; the latter is late."""
+    space = workspace(spark, "late")
+    source = driver.events(spark, folder).select("event_id", "ts")
+    split = F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (source.where(F.col("ts") >= split), source.where(F.col("ts") < split)):
+        part.coalesce(1).write.mode("append").parquet(f"{space}/in")
+    arriving = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
+    handled(runs.event_time(arriving), tables.split_late(f"{space}/split", "24 hours"), space)
+    counts = [
+        spark.read.parquet(f"{space}/split/{name}").agg(F.lit(name).alias("arrival"), F.count("*").alias("n"))
+        for name in ("late", "on_time")
+    ]
+    return counts[0].unionAll(counts[1]).where(F.col("n") > 0)
