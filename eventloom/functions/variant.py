@@ -75,12 +75,14 @@ def as_int(value: Column, kind: Column) -> Column:
 
 
 def as_timestamp(value: Column, kind: Column) -> Column:
+    """ISO text, or a number of seconds or milliseconds since 1970, also as text."""
     text = text_of(value)
-    is_text_number = (kind == "STRING") & text.rlike(NUMBER_TEXT)
-    epoch = F.when(is_number(kind) | is_text_number, F.try_variant_get(value, "$", "double"))
-    seconds = F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, epoch / 1000).otherwise(epoch)
-    return F.when(epoch.isNotNull(), seconds.try_cast("timestamp")).when(
-        (kind == "STRING") & text.rlike(ISO_TEXT), F.translate(F.trim(text), "tz", "TZ").try_cast("timestamp")
+    is_iso = (kind == "STRING") & text.rlike(ISO_TEXT)
+    is_epoch = is_number(kind) | ((kind == "STRING") & text.rlike(NUMBER_TEXT))
+    epoch = F.try_variant_get(value, "$", "double")
+    micros = epoch * F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, 1e3).otherwise(1e6)
+    return F.when(is_iso, F.translate(F.trim(text), "tz", "TZ").try_cast("timestamp")).when(
+        is_epoch, F.timestamp_micros(micros.try_cast("bigint"))
     )
 
 

@@ -9,7 +9,7 @@ from eventloom.functions.scalar import interval, percent
 from eventloom.operators.ordered import CHUNK, carried_in
 
 
-def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, chunk: str = "hour") -> DataFrame:
+def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, chunk: str | None = None) -> DataFrame:
     """One row per purchase: the latest click in ``horizon`` and how many there were.
 
     Both inputs have (event_id, user_id, ts). A click counts from its own time until

@@ -49,14 +49,20 @@ def labelled(df: DataFrame, is_sign_of_life: Column, ts: str = "ts", days: int =
     return joined.withColumn("label", F.when(F.col("_alive").isNull(), 1.0).otherwise(0.0)).drop("_alive")
 
 
-def fit_churn(training: DataFrame) -> PipelineModel:
+def fit_churn(training: DataFrame, path: str) -> PipelineModel:
+    """Fit, save under ``path`` and return the stored model.
+
+    The reloaded model no longer carries the training summary, which holds on to the
+    session and cannot be sent to executors once the session observes metrics.
+    """
     numbers = training.select("label", *[F.col(f).cast("double").alias(f) for f in FEATURES])
     steps = [
         VectorAssembler(inputCols=FEATURES, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         LogisticRegression(maxIter=20, regParam=0.01),
     ]
-    return Pipeline(stages=steps).fit(numbers)
+    save_model(Pipeline(stages=steps).fit(numbers), path)
+    return load_model(path)
 
 
 def predict_churn(model: PipelineModel, features: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ A plain ``OVER (PARTITION BY user ORDER BY ts)`` puts all rows of a user into on
 task. Here a key's rows are cut into time chunks: what earlier chunks contribute is
 aggregated first (combined on the map side, one row per key and chunk), carried
 forward over those few rows, and joined back, so that the row-level window only ever
-spans one chunk. Keys and times must not be null, which validation guarantees.
+spans one chunk. The busier the busiest key, the shorter the chunks. Keys and times must
+not be null, which validation guarantees.
 """
 
 from __future__ import annotations
@@ -15,15 +16,30 @@ from pyspark.sql import functions as F
 from eventloom.functions.scalar import interval, seconds_between
 
 CHUNK = "_chunk"
+CHUNK_UNITS = ("month", "day", "hour", "minute", "second")
+MAX_CHUNK_ROWS = 2_000_000
 
 
-def carried_in(df: DataFrame, key: str, ts: str, chunk: str, sums: dict, maxima: dict) -> DataFrame:
+def fitting_chunk(df: DataFrame, key: str, ts: str, max_rows: int = MAX_CHUNK_ROWS) -> str:
+    """Longest unit of time in which no key has more than ``max_rows`` rows.
+
+    One pass over two columns per unit tried, counted on the map side.
+    """
+    for unit in CHUNK_UNITS:
+        counts = df.groupBy(key, F.date_trunc(unit, ts)).agg(F.count("*").alias("n"))
+        busiest = counts.agg(F.max("n")).first()[0]
+        if busiest is None or busiest <= max_rows:
+            return unit
+    return CHUNK_UNITS[-1]
+
+
+def carried_in(df: DataFrame, key: str, ts: str, chunk: str | None, sums: dict, maxima: dict) -> DataFrame:
     """Add, to every row, totals and maxima over the key's earlier chunks.
 
     ``sums`` and ``maxima`` map a new column name to the expression to aggregate.
-    ``chunk`` is a unit of ``date_trunc``.
+    ``chunk`` is a unit of ``date_trunc``; None takes the one that fits the data.
     """
-    chunked = df.withColumn(CHUNK, F.date_trunc(chunk, ts))
+    chunked = df.withColumn(CHUNK, F.date_trunc(chunk or fitting_chunk(df, key, ts), ts))
     per_chunk = chunked.groupBy(key, CHUNK).agg(
         *[F.sum(e).alias(n) for n, e in sums.items()], *[F.max(e).alias(n) for n, e in maxima.items()]
     )
@@ -37,7 +53,7 @@ def carried_in(df: DataFrame, key: str, ts: str, chunk: str, sums: dict, maxima:
     return chunked.join(before, [key, CHUNK])
 
 
-def previous_time(df: DataFrame, key: str, ts: str, tie: str, chunk: str = "hour") -> DataFrame:
+def previous_time(df: DataFrame, key: str, ts: str, tie: str, chunk: str | None = None) -> DataFrame:
     """Add ``previous_ts``, the key's preceding event time, and ``gap_seconds``."""
     carried = carried_in(df, key, ts, chunk, {}, {"_before": F.col(ts)})
     within = Window.partitionBy(key, CHUNK).orderBy(ts, tie)
@@ -49,7 +65,9 @@ def previous_time(df: DataFrame, key: str, ts: str, tie: str, chunk: str = "hour
     )
 
 
-def running_total(df: DataFrame, key: str, ts: str, tie: str, amount: Column, name: str, chunk: str = "hour") -> DataFrame:
+def running_total(
+    df: DataFrame, key: str, ts: str, tie: str, amount: Column, name: str, chunk: str | None = None
+) -> DataFrame:
     """Add ``name``: the key's sum of ``amount`` up to and including the row."""
     valued = df.withColumn("_amount", amount)
     carried = carried_in(valued, key, ts, chunk, {"_before": F.col("_amount")}, {})
@@ -58,7 +76,7 @@ def running_total(df: DataFrame, key: str, ts: str, tie: str, amount: Column, na
     return carried.withColumn(name, total).drop(CHUNK, "_before", "_amount")
 
 
-def trailing_count(df: DataFrame, key: str, ts: str, horizon: str, name: str, chunk: str = "hour") -> DataFrame:
+def trailing_count(df: DataFrame, key: str, ts: str, horizon: str, name: str, chunk: str | None = None) -> DataFrame:
     """Add ``name``: the key's events within ``horizon`` up to the row, both ends included.
 
     Every event counts +1 when it arrives and -1 once it is out of reach; the running

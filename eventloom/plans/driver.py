@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from eventloom import schema
 from eventloom.functions.scalar import hashed_id, user_label
 from eventloom.session import prepare
-from eventloom.sources.files import read_table
+from eventloom.sources.files import read_table, spread
 
 DRIVER_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -60,7 +60,7 @@ def clean_events(df: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "error", "logout")
         .otherwise(F.col("event_type"))
     )
-    numbered = df.withColumn("k", feature()).withColumn("kind", kind)
+    numbered = spread(df).withColumn("k", feature()).withColumn("kind", kind)
     is_click, is_purchase = F.col("kind") == "click", F.col("kind") == "purchase"
     known = {
         "event_id": F.col("event_id").cast("string"),
@@ -138,7 +138,7 @@ MESSAGE_FIELDS = {
 
 def messages(df: DataFrame) -> DataFrame:
     """One JSON message per driver event, many of them faulty: (row_id, ts, value)."""
-    typed = df.withColumn("k", feature()).withColumn("kind", F.expr(MESSAGE_TYPE))
+    typed = spread(df).withColumn("k", feature()).withColumn("kind", F.expr(MESSAGE_TYPE))
     pairs = [F.concat(F.lit(f'"{name}":'), F.expr(text)) for name, text in MESSAGE_FIELDS.items()]
     body = F.concat_ws(",", *pairs)
     value = (

@@ -156,13 +156,13 @@ def quality_warnings(spark, folder):
 )
 def replay_dead_letters(spark, folder):
     """Dead letters that only lacked ids are repaired and folded back, once each."""
-    checked = decoded(spark, folder)
+    path = workspace(spark, "checked")
+    decoded(spark, folder).select("event_id", "timestamp", "faults").write.parquet(path)
+    checked = spark.read.parquet(path)
     repairable = F.forall("faults", lambda f: f.isin("blank_user_id", "blank_session_id"))
-    fixed = validate.rejected(checked).where(repairable).withColumn("origin", F.lit("repaired"))
+    fixed = validate.rejected(checked).where(repairable).drop("faults").withColumn("origin", F.lit("repaired"))
     good = validate.accepted(checked).withColumn("origin", F.lit("accepted"))
-    columns = ["event_id", "timestamp", "origin"]
-    twice = fixed.select(columns).unionAll(fixed.select(columns))
-    folded = dedup.replay(good.select(columns), twice, ts="timestamp")
+    folded = dedup.replay(good, fixed.unionAll(fixed), ts="timestamp")
     return folded.select(F.col("event_id").cast("bigint").alias("event_id"), "origin")
 
 
@@ -244,7 +244,7 @@ def decode_props(spark, folder):
 def batch_pack_counts(spark, folder):
     """Batches of a hundred ids; unique ids bound the size of a batch."""
     unique = dedup.first_delivery(driver.events(spark, folder))
-    batches = encode.pack_batches(unique, F.expr("event_id DIV 100"), "event_id", F.lit(datetime(2024, 2, 1)))
+    batches = encode.pack_batches(unique, F.expr("event_id DIV 100"), "event_id", F.expr("timestamp'2024-02-01 00:00:00'"))
     zero = F.lit(0).cast("decimal(25,2)")
     values = F.transform("events", lambda e: e["value"].cast("decimal(15,2)"))
     total = F.aggregate(values, zero, lambda acc, v: (acc + v).cast("decimal(25,2)"))

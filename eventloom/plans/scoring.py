@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import anomalies, churn, enrich, forest, ordered
 from eventloom.plans import driver
 from eventloom.plans.registry import query
+from eventloom.session import workspace
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 Z_SQL = """WITH s AS (SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS s,
@@ -130,5 +131,6 @@ def churn_recency(spark, folder):
 @query("churn_model")
 def churn_model(spark, folder):
     df = driver.events(spark, folder)
-    model = churn.fit_churn(churn.labelled(df, F.col("event_type") == "purchase"))
+    training = churn.labelled(df, F.col("event_type") == "purchase")
+    model = churn.fit_churn(training, workspace(spark, "churn-model"))
     return churn.predict_churn(model, churn.user_features(df))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators import anomalies
-from eventloom.operators.decode import decode_events
+from eventloom.operators import anomalies, metrics
 from eventloom.plans import driver
 from eventloom.plans.batch import sessions_sql
 from eventloom.plans.driver import MESSAGES_SQL
@@ -97,10 +96,8 @@ USERS_SQL = """SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, coun
 @query("stream_user_rollup", USERS_SQL)
 def stream_user_rollup(spark, folder):
     """Built-in aggregate in update mode; the newest row per user is the current state."""
-    from eventloom.operators.metrics import user_rollup
-
     space = workspace(spark, "rollup")
-    handled(user_rollup(events(spark, folder)), tables.keep_changes(f"{space}/changes"), space, "update")
+    handled(metrics.user_rollup(events(spark, folder)), tables.keep_changes(f"{space}/changes"), space, "update")
     return naive(tables.latest_changes(spark, f"{space}/changes", "user_id"), "first_seen", "last_seen")
 
 
@@ -163,8 +160,7 @@ def stream_dead_letters(spark, folder):
     """A stream of messages divided into accepted events and dead letters."""
     space = workspace(spark, "dead")
     incoming = driver.messages(events(spark, folder))
-    checked = decode_events(incoming, received_at=F.col("ts"), keep=("ts",))
-    handled(checked, tables.split_rejected(f"{space}/valid", f"{space}/dead", F.col("ts")), space)
+    handled(incoming, tables.split_rejected(f"{space}/valid", f"{space}/dead", "ts"), space)
     valid = spark.read.parquet(f"{space}/valid").select(F.lit("accepted").alias("outcome"))
     dead = spark.read.parquet(f"{space}/dead").select(F.col("error_type").alias("outcome"))
     return valid.unionAll(dead).groupBy("outcome").agg(F.count("*").alias("n"))
@@ -204,9 +200,9 @@ def stream_late_events(spark, folder):
     source = driver.events(spark, folder).select("event_id", "ts")
     split = F.lit("2024-01-16").cast("timestamp_ntz")
     for part in (source.where(F.col("ts") >= split), source.where(F.col("ts") < split)):
-        part.coalesce(1).write.mode("append").parquet(f"{space}/in")
-    arriving = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
-    handled(runs.event_time(arriving), tables.split_late(f"{space}/split", "24 hours"), space)
+        part.write.mode("append").parquet(f"{space}/in")
+        arrived = runs.event_time(spark.readStream.schema(source.schema).parquet(f"{space}/in"))
+        handled(arrived, tables.split_late(f"{space}/split", "24 hours"), space)
     counts = [
         spark.read.parquet(f"{space}/split/{name}").agg(F.lit(name).alias("arrival"), F.count("*").alias("n"))
         for name in ("late", "on_time")

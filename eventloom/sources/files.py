@@ -18,9 +18,21 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_trigger:
     return reader.parquet(pattern)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan dealt out over all cores when it has too few splits for them.
+
+    Meant for few or unsplittable files ahead of costly work on each row. A scan with
+    at least one split per core stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines as raw text, so that bad lines can become dead letters."""
-    return spark.read.text(path)
+    return spread(spark.read.text(path))
 
 
 def stream_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -13,12 +13,16 @@ def with_users(df: DataFrame, users: DataFrame, key: str = "user_id") -> DataFra
     return df.join(users, key, "left")
 
 
-def clicks_before_purchases(clicks: DataFrame, purchases: DataFrame, delay: str, horizon: str) -> DataFrame:
+def clicks_before_purchases(
+    clicks: DataFrame, purchases: DataFrame, delay: str, horizon: str, shards: int = 8
+) -> DataFrame:
     """Purchases joined with the user's clicks of the ``horizon`` before, per minute of clicks.
 
     Clicks are first summed up per user and minute (how many, and the latest), so a
     purchase meets at most one row per minute of the horizon however many clicks a busy
-    user makes. A minute counts once it is over by the time of the purchase.
+    user makes. A minute counts once it is over by the time of the purchase. The purchases
+    of a user are spread over ``shards`` and each shard gets the user's minutes, so that a
+    hot user's side of the join is not one task.
     """
     minutes = (
         clicks.withWatermark("ts", delay)
@@ -28,14 +32,19 @@ def clicks_before_purchases(clicks: DataFrame, purchases: DataFrame, delay: str,
             F.max(F.struct(F.col("ts").alias("at"), F.col("event_id").alias("id"))).alias("latest"),
         )
         .select(F.col("user_id").alias("clicker"), F.window_time("w").alias("minute_end"), "clicks", "latest")
+        .withColumn("click_shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     )
     bought = purchases.select(
-        F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("purchase_ts")
+        F.col("event_id").alias("purchase_id"),
+        "user_id",
+        F.col("ts").alias("purchase_ts"),
+        F.pmod(F.xxhash64("event_id"), F.lit(shards)).cast("int").alias("shard"),
     ).withWatermark("purchase_ts", delay)
     in_reach = (F.col("minute_end") <= F.col("purchase_ts")) & (
         F.col("minute_end") > F.col("purchase_ts") - interval(horizon)
     )
-    return bought.join(minutes, (F.col("user_id") == F.col("clicker")) & in_reach).drop("clicker")
+    same_user = (F.col("user_id") == F.col("clicker")) & (F.col("shard") == F.col("click_shard"))
+    return bought.join(minutes, same_user & in_reach).drop("clicker", "shard", "click_shard")
 
 
 def attributed(matches: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
-"""Running state per user with a stateful processor.
+"""Running totals per user with a stateful processor.
 
-Built-in aggregates cover sums and extremes; this form is for state they cannot hold, here
-the longest streak of purchases in a row. State is kept per user and shard only for
-sums, so that the events of a hot user are spread over several tasks.
+For plain sums the built-in aggregate in update mode is the first choice; this form is
+the place for state it cannot hold. The state is kept per user and shard, so that the
+events of a hot user are spread over several tasks, and the shards are added up when read.
 """
 
 from __future__ import annotations

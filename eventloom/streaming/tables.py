@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.scalar import interval
 from eventloom.operators import metrics
+from eventloom.operators.decode import decode_events
 from eventloom.operators.dedup import first_delivery
 from eventloom.operators.validate import accepted, dead_letters
+from eventloom.sources.files import spread
 from eventloom.streaming.runs import path_exists, write_batch
 
 
@@ -24,7 +26,7 @@ def append_once(df: DataFrame, batch_id: int, path: str, ts: str = "ts") -> Data
     spark = df.sparkSession
     fresh = first_delivery(df, ts=ts).withColumn("event_date", F.to_date(ts))
     if path_exists(spark, path):
-        days = [row.event_date for row in fresh.select("event_date").distinct().collect()]
+        days = [row.day for row in df.select(F.to_date(ts).alias("day")).distinct().collect()]
         earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
         known = earlier.where(F.col("event_date").isin(days)).select("event_id")
         fresh = fresh.join(known, "event_id", "left_anti")
@@ -75,16 +77,20 @@ def latest_changes(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def split_rejected(valid_path: str, dead_path: str, failed_at: Column) -> Callable[[DataFrame, int], None]:
-    """Batch handler: accepted events to one table, dead letters to the other."""
+def split_rejected(valid_path: str, dead_path: str, received: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler for raw messages: accepted events to one table, dead letters to the other.
 
-    def handle(checked: DataFrame, batch_id: int) -> None:
-        kept = checked.persist()
+    ``received`` names the column with the arrival time of a message.
+    """
+
+    def handle(messages: DataFrame, batch_id: int) -> None:
+        arrived = F.col(received)
+        checked = decode_events(spread(messages), received_at=arrived, keep=(received,)).persist()
         try:
-            write_batch(accepted(kept), valid_path, batch_id)
-            write_batch(dead_letters(kept, F.col("raw"), failed_at), dead_path, batch_id)
+            write_batch(accepted(checked), valid_path, batch_id)
+            write_batch(dead_letters(checked, F.col("raw"), arrived), dead_path, batch_id)
         finally:
-            kept.unpersist()
+            checked.unpersist()
 
     return handle
 
