@@ -35,6 +35,25 @@ def daily_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
     )
 
 
+def daily_stats_by_home(df: DataFrame, users: DataFrame, ts: str = "ts") -> DataFrame:
+    """Daily statistics with the country taken from the user table.
+
+    Events are summed per user, day and type before the join, so a hot user brings a few
+    rows to it instead of all its events. A user has one row per day and type, hence
+    counting rows counts users.
+    """
+    per_user = df.groupBy("user_id", F.to_date(ts).alias("day"), "event_type").agg(
+        F.count("*").alias("_events"), revenue().alias("_revenue")
+    )
+    return per_user.join(users.select("user_id", "country"), "user_id", "left").groupBy(
+        "day", "event_type", "country"
+    ).agg(
+        F.sum("_events").alias("events"),
+        F.count("user_id").alias("users"),
+        F.sum("_revenue").cast("decimal(25,2)").alias("revenue"),
+    )
+
+
 def daily_active_users(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.groupBy(F.to_date(ts).alias("day")).agg(F.count_distinct("user_id").alias("users"))
 

@@ -27,9 +27,10 @@ def rank_all(df: DataFrame, by: str, slices: int = 200) -> DataFrame:
     """
     values = df.groupBy(by).agg(F.count("*").alias("_rows"))
     as_double = values.withColumn("_key", F.col(by).cast("double"))
-    probabilities = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(as_double.stat.approxQuantile("_key", probabilities, 1 / (4 * slices))))
-    splits = [float("-inf"), *cuts, float("inf")]
+    shares = F.array(*[F.lit(i / slices) for i in range(1, max(slices, 2))])
+    quantiles = as_double.agg(F.percentile_approx("_key", shares, F.lit(4 * slices))).first()[0]
+    cuts = sorted(set(quantiles or []))
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     sliced = Bucketizer(splits=splits, inputCol="_key", outputCol="_slice").transform(as_double).drop("_key")
 
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)

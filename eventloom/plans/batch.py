@@ -8,6 +8,8 @@ from eventloom.functions.scalar import money, total_money
 from eventloom.operators import attribution, enrich, lookup, metrics, ordered, ranking, timewindows
 from eventloom.plans import driver
 from eventloom.plans.registry import query
+from eventloom.session import workspace
+from eventloom.sources import store
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 MONEY = "CAST(sum(CAST(value AS DECIMAL(15,2))) AS DECIMAL(25,2))"
@@ -28,7 +30,20 @@ def with_country(spark, folder):
         {REVENUE} AS revenue FROM {WITH_COUNTRY} GROUP BY ALL""",
 )
 def daily_stats(spark, folder):
-    return metrics.daily_stats(with_country(spark, folder))
+    return metrics.daily_stats_by_home(driver.events(spark, folder), driver.users(spark, folder))
+
+
+@query(
+    "daily_stats_by_event",
+    f"""SELECT CAST(ts AS DATE) AS day, event_type, CASE WHEN {K} < 50 THEN 'IN' ELSE 'US' END AS country,
+        count(*) AS events, count(DISTINCT user_id) AS users, {REVENUE} AS revenue FROM events GROUP BY ALL""",
+)
+def daily_stats_by_event(spark, folder):
+    """Daily statistics when each event states its own country, stored by day and read back."""
+    placed = driver.events(spark, folder).withColumn("country", F.when(driver.feature() < 50, "IN").otherwise("US"))
+    path = workspace(spark, "daily-stats")
+    store.write_daily_stats(metrics.daily_stats(placed), path)
+    return spark.read.parquet(path)
 
 
 @query(

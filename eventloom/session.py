@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every job relies on. Event times are naive UTC, so the
-# session zone is pinned; AQE sizes shuffles and splits skewed join partitions.
+# session zone is pinned; AQE sizes shuffles and splits skewed join partitions, also
+# where the split costs a further shuffle.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The JVM never compiles methods above this size; wide projections such as the
