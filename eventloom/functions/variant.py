@@ -1,16 +1,15 @@
 """Reading typed fields from a parsed JSON value.
 
-Every reader answers three questions about a key: is it absent, is it an explicit
-null, and does its value convert to the declared type. Conversions are lax in one
-direction: text holding a number becomes a number, a number never becomes text,
-and a fraction never becomes an integer.
+Every reader takes a variant column and the column with its type, and converts laxly
+in one direction: text holding a number becomes a number, a number never becomes text,
+and a fraction never becomes an integer. NULL means that the value does not convert.
+
+The readers are SQL text rather than Column calls: a message has some thirty fields, and
+parsing a handful of expressions is far quicker than thousands of calls into the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 WHOLE_TEXT = r"^\s*[+-]?\d+(\.0+)?\s*$"
 NON_FINITE_TEXT = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
@@ -22,72 +21,64 @@ ISO_TEXT = (
 EPOCH_SECONDS_LIMIT = 2e10
 
 
-def open_object(parsed: Column, names: list[str]) -> Column:
+def open_object(parsed: str, names: list[str]) -> str:
     """The named keys of an object in one pass; NULL when it is no object.
 
     An absent key gives NULL, an explicit null gives a variant null.
     """
     layout = ", ".join(f"{name}: variant" for name in names)
-    return F.try_variant_get(parsed, "$", f"struct<{layout}>")
+    return f"try_variant_get({parsed}, '$', 'struct<{layout}>')"
 
 
-def type_of(value: Column) -> Column:
+def type_of(value: str) -> str:
     """STRING, BIGINT, DECIMAL(3,1), OBJECT<...>, VOID for an explicit null; NULL if absent."""
-    return F.schema_of_variant(value)
+    return f"schema_of_variant({value})"
 
 
-def is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+def get(value: str, kind: str) -> str:
+    return f"try_variant_get({value}, '$', '{kind}')"
 
 
-def is_object(kind: Column) -> Column:
-    return kind.startswith("OBJECT")
+def is_number(kind: str) -> str:
+    return f"({kind} IN ('BIGINT', 'DOUBLE', 'FLOAT') OR startswith({kind}, 'DECIMAL'))"
 
 
-def text_of(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def is_text(value: str, kind: str, pattern: str) -> str:
+    return f"({kind} = 'STRING' AND {get(value, 'string')} RLIKE r'{pattern}')"
 
 
-def as_string(value: Column, kind: Column) -> Column:
-    return F.when(kind == "STRING", text_of(value))
+def as_string(value: str, kind: str) -> str:
+    return f"CASE WHEN {kind} = 'STRING' THEN {get(value, 'string')} END"
 
 
-def as_double(value: Column, kind: Column) -> Column:
-    text = text_of(value)
-    return (
-        F.when(is_number(kind), F.try_variant_get(value, "$", "double"))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double"))
-        .when((kind == "STRING") & text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
-        .when((kind == "STRING") & text.rlike(NON_FINITE_TEXT), F.lit(float("nan")))
-    )
+def as_double(value: str, kind: str) -> str:
+    return f"""CASE WHEN {is_number(kind)} THEN {get(value, "double")}
+        WHEN {kind} = 'BOOLEAN' THEN CAST({get(value, "boolean")} AS double)
+        WHEN {is_text(value, kind, NUMBER_TEXT)} THEN try_cast(trim({get(value, "string")}) AS double)
+        WHEN {is_text(value, kind, NON_FINITE_TEXT)} THEN double('NaN') END"""
 
 
-def as_int(value: Column, kind: Column) -> Column:
-    text = text_of(value)
-    number = F.try_variant_get(value, "$", "double")
-    whole = F.regexp_extract(text, r"([+-]?\d+)", 1)
-    return (
-        F.when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint").try_cast("int"))
-        .when(is_number(kind) & (number == F.floor(number)), number.try_cast("int"))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int"))
-        .when((kind == "STRING") & text.rlike(WHOLE_TEXT), whole.try_cast("int"))
-    )
+def as_int(value: str, kind: str) -> str:
+    number = get(value, "double")
+    digits = rf"regexp_extract({get(value, 'string')}, r'([+-]?\d+)', 1)"
+    return f"""CASE WHEN {kind} = 'BIGINT' THEN try_cast({get(value, "bigint")} AS int)
+        WHEN {is_number(kind)} AND {number} = floor({number}) THEN try_cast({number} AS int)
+        WHEN {kind} = 'BOOLEAN' THEN CAST({get(value, "boolean")} AS int)
+        WHEN {is_text(value, kind, WHOLE_TEXT)} THEN try_cast({digits} AS int) END"""
 
 
-def as_timestamp(value: Column, kind: Column) -> Column:
+def as_timestamp(value: str, kind: str) -> str:
     """ISO text, or a number of seconds or milliseconds since 1970, also as text."""
-    text = text_of(value)
-    is_iso = (kind == "STRING") & text.rlike(ISO_TEXT)
-    is_epoch = is_number(kind) | ((kind == "STRING") & text.rlike(NUMBER_TEXT))
-    epoch = F.try_variant_get(value, "$", "double")
-    micros = epoch * F.when(F.abs(epoch) > EPOCH_SECONDS_LIMIT, 1e3).otherwise(1e6)
-    return F.when(is_iso, F.translate(F.trim(text), "tz", "TZ").try_cast("timestamp")).when(
-        is_epoch, F.timestamp_micros(micros.try_cast("bigint"))
-    )
-
-
-def as_object_text(value: Column, kind: Column) -> Column:
-    return F.when(is_object(kind), F.to_json(value))
+    epoch = get(value, "double")
+    micros = f"{epoch} * CASE WHEN abs({epoch}) > {EPOCH_SECONDS_LIMIT} THEN 1e3 ELSE 1e6 END"
+    return f"""CASE WHEN {is_text(value, kind, ISO_TEXT)}
+            THEN try_cast(translate(trim({get(value, "string")}), 'tz', 'TZ') AS timestamp)
+        WHEN {is_number(kind)} OR {is_text(value, kind, NUMBER_TEXT)}
+            THEN timestamp_micros(try_cast({micros} AS bigint)) END"""
+
+
+def as_object_text(value: str, kind: str) -> str:
+    return f"CASE WHEN startswith({kind}, 'OBJECT') THEN to_json({value}) END"
 
 
 READERS = {

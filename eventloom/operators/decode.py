@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventloom import schema
 from eventloom.functions import variant
 from eventloom.functions.scalar import codes
-from eventloom.operators.validate import MALFORMED, applies_to, content_id, value_fault
+from eventloom.operators.validate import MALFORMED, applies_to, content_id, first_fault, value_faults
 
 
 def decode_events(
@@ -28,67 +28,60 @@ def decode_events(
     names = [rule.name for rule in schema.FIELDS]
     raw = F.col(message).cast("string")
     parsed = df.select(*keep, raw.alias("raw"), received.alias("_received"), F.try_parse_json(raw).alias("_json"))
-    opened = parsed.select(*keep, "raw", "_received", variant.open_object(F.col("_json"), names).alias("_o"))
-    kinded = opened.select("*", *[variant.type_of(F.col(f"_o.{n}")).alias(f"_k_{n}") for n in names])
-    readings = F.struct(
-        F.col("_o").isNotNull().alias("_is_object"),
-        *[_reading(rule).alias(rule.name) for rule in schema.FIELDS],
-        *[F.col(f"_k_{n}") for n in names],
-    )
+    opened = parsed.selectExpr(*keep, "raw", "_received", f"{variant.open_object('_json', names)} AS _o")
+    kinded = opened.selectExpr("*", *[f"{variant.type_of(f'_o.{n}')} AS _k_{n}" for n in names])
+    readings = ["'_is_object', _o IS NOT NULL"]
+    readings += [f"'{r.name}', {variant.READERS[r.kind](f'_o.{r.name}', f'_k_{r.name}')}" for r in schema.FIELDS]
+    readings += [f"'_k_{n}', _k_{n}" for n in names]
     # Inlining a one-element array only opens the struct again. As a generator it keeps
     # later filters above this point; pushed below, the optimizer would replace every
     # column in them by its whole reading expression.
-    staged = kinded.select(*keep, "raw", "_received", readings.alias("_r"))
-    read = staged.select(*keep, "raw", "_received", F.inline(F.array("_r")))
-    tag = F.col("event_type")
-    faults = codes(*[_fault(rule, tag, strict) for rule in schema.FIELDS])
+    staged = kinded.selectExpr(*keep, "raw", "_received", f"named_struct({', '.join(readings)}) AS _r")
+    read = staged.selectExpr(*keep, "raw", "_received", "inline(array(_r))")
+    faults = codes(*[F.expr(_fault(rule, strict)) for rule in schema.FIELDS])
     return read.select(
         *keep,
-        *[_filled(rule, tag, strict).alias(rule.name) for rule in schema.FIELDS],
+        *[_filled(rule, strict).alias(rule.name) for rule in schema.FIELDS],
         F.when(F.col("_is_object"), faults).otherwise(F.array(F.lit(MALFORMED))).alias("faults"),
         "raw",
     )
 
 
-def _reading(rule: schema.FieldRule) -> Column:
-    return variant.READERS[rule.kind](F.col(f"_o.{rule.name}"), F.col(f"_k_{rule.name}"))
-
-
-def _fault(rule: schema.FieldRule, tag: Column, strict: bool) -> Column:
-    kind, value = F.col(f"_k_{rule.name}"), F.col(rule.name)
-    required = applies_to(rule.required_for, tag, strict)
-    if rule.nullable:
-        null_is_bad = applies_to(rule.not_null_for, tag, strict)
-    else:
-        null_is_bad = F.lit(True)
-    fault = (
-        F.when(kind.isNull(), F.when(required, f"missing_{rule.name}"))
-        .when(kind == "VOID", F.when(null_is_bad, f"null_{rule.name}"))
-        .when(value.isNull(), f"type_{rule.name}")
-    )
-    bad_value = value_fault(rule.name, value)
-    if bad_value is not None:
-        fault = fault.otherwise(bad_value)
+def _fault(rule: schema.FieldRule, strict: bool) -> str:
+    name, kind = rule.name, f"_k_{rule.name}"
+    null_is_bad = applies_to(rule.not_null_for if rule.nullable else ("*",), strict)
+    conditions = [
+        (f"{kind} IS NULL AND {applies_to(rule.required_for, strict)}", f"missing_{name}"),
+        (f"{kind} = 'VOID' AND {null_is_bad}", f"null_{name}"),
+        (f"{kind} IS NULL OR {kind} = 'VOID'", None),
+        (f"{name} IS NULL", f"type_{name}"),
+        *value_faults(name),
+    ]
     if rule.owners:
-        fault = F.when(applies_to(rule.owners, tag, strict), fault)
-    return fault
+        conditions.insert(0, (f"NOT {applies_to(rule.owners, strict)}", None))
+    return first_fault(conditions)
 
 
-def _filled(rule: schema.FieldRule, tag: Column, strict: bool) -> Column:
-    value = F.col(rule.name)
+def _filled(rule: schema.FieldRule, strict: bool) -> Column:
+    """The value read, or the default of an absent key; NULL outside the owning types."""
     if rule.name == "event_id":
         default = content_id(F.col("raw"))
     elif rule.name == "timestamp":
         default = F.col("_received")
     elif rule.name == "metadata":
         default = F.lit("{}")
-    else:
+    elif rule.default is not None:
         default = F.lit(rule.default)
-    spark_type = schema.EVENT_SCHEMA[rule.name].dataType
-    is_default = F.col(f"_k_{rule.name}").isNull() & F.col("_is_object")
-    filled = F.when(is_default, default.cast(spark_type)).otherwise(value)
+    else:
+        default = None
+    if default is None and not rule.owners:
+        return F.col(rule.name)
+    filled = F.col(rule.name)
+    if default is not None:
+        spark_type = schema.EVENT_SCHEMA[rule.name].dataType
+        filled = F.when(F.expr(f"_is_object AND _k_{rule.name} IS NULL"), default.cast(spark_type)).otherwise(filled)
     if rule.owners:
-        filled = F.when(applies_to(rule.owners, tag, strict), filled)
+        filled = F.when(F.expr(applies_to(rule.owners, strict)), filled)
     return filled
 
 

@@ -6,42 +6,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom import schema
-from eventloom.functions.scalar import codes, hashed_id, is_blank
+from eventloom.functions.scalar import VISIBLE_TEXT, codes, hashed_id
 
 MALFORMED = "malformed_json"
 
 
-def value_fault(name: str, value: Column) -> Column | None:
-    """Fault code of a present, well-typed value; NULL when it is fine."""
-    if name in ("user_id", "session_id"):
-        return F.when(is_blank(value), f"blank_{name}")
-    if name == "event_type":
-        return F.when(~value.isin(*schema.EVENT_TYPES), "unknown_event_type")
-    if name == "device":
-        return F.when(~value.isin(*schema.DEVICES), "unknown_device")
-    if name == "value":
-        return non_finite(name, value).when(value < 0, "negative_value")
-    if name == "quantity":
-        return F.when(value <= 0, "nonpositive_quantity")
-    if name == "watched_percentage":
-        return non_finite(name, value).when(~value.between(0, 100), "watched_percentage_out_of_range")
-    if name in ("duration_seconds", "video_duration"):
-        return non_finite(name, value)
-    return None
+def value_faults(name: str) -> list[tuple[str, str]]:
+    """Conditions on a present, well-typed value that make it faulty, with their codes."""
+    endless = (f"isnan({name}) OR abs({name}) = double('Infinity')", f"non_finite_{name}")
+    checks = {
+        "user_id": [(f"NOT {name} RLIKE r'{VISIBLE_TEXT}'", "blank_user_id")],
+        "session_id": [(f"NOT {name} RLIKE r'{VISIBLE_TEXT}'", "blank_session_id")],
+        "event_type": [(f"{name} NOT IN ({listed(schema.EVENT_TYPES)})", "unknown_event_type")],
+        "device": [(f"{name} NOT IN ({listed(schema.DEVICES)})", "unknown_device")],
+        "value": [endless, (f"{name} < 0", "negative_value")],
+        "quantity": [(f"{name} <= 0", "nonpositive_quantity")],
+        "watched_percentage": [endless, (f"{name} NOT BETWEEN 0 AND 100", "watched_percentage_out_of_range")],
+        "duration_seconds": [endless],
+        "video_duration": [endless],
+    }
+    return checks.get(name, [])
 
 
-def non_finite(name: str, value: Column) -> Column:
-    endless = value.isin(float("inf"), float("-inf"))
-    return F.when(F.isnan(value) | endless, f"non_finite_{name}")
+def listed(values: tuple[str, ...]) -> str:
+    return ", ".join(f"'{value}'" for value in values)
 
 
-def applies_to(kinds: tuple[str, ...], event_type: Column, strict: bool) -> Column:
+def applies_to(kinds: tuple[str, ...], strict: bool) -> str:
     """Whether a rule listing ``kinds`` covers a row; "*" covers every row."""
     if "*" in kinds:
-        return F.lit(True)
+        return "true"
     if not strict or not kinds:
-        return F.lit(False)
-    return F.coalesce(event_type.isin(*kinds), F.lit(False))
+        return "false"
+    return f"coalesce(event_type IN ({listed(kinds)}), false)"
+
+
+def first_fault(conditions: list[tuple[str, str | None]]) -> str:
+    """Code of the first condition that holds; a None code ends the search without a fault."""
+    cases = [f"WHEN {test} THEN {'NULL' if code is None else repr(code)}" for test, code in conditions]
+    return f"CASE {' '.join(cases)} END"
 
 
 def typed_faults(df: DataFrame, strict: bool = True) -> Column:
@@ -49,19 +52,14 @@ def typed_faults(df: DataFrame, strict: bool = True) -> Column:
 
     Only the columns present in ``df`` are checked.
     """
-    event_type = F.col("event_type")
     checks = []
     for rule in schema.FIELDS:
         if rule.name not in df.columns:
             continue
-        value = F.col(rule.name)
-        required = applies_to(rule.required_for, event_type, strict)
-        fault = F.when(required & value.isNull(), f"missing_{rule.name}")
-        bad_value = value_fault(rule.name, value)
-        if bad_value is not None:
-            in_scope = applies_to(rule.owners or ("*",), event_type, strict)
-            fault = fault.when(in_scope, bad_value)
-        checks.append(fault)
+        required = applies_to(rule.required_for, strict)
+        in_scope = applies_to(rule.owners or ("*",), strict)
+        conditions = [(f"{rule.name} IS NULL AND {required}", f"missing_{rule.name}"), (f"NOT {in_scope}", None)]
+        checks.append(F.expr(first_fault(conditions + value_faults(rule.name))))
     return codes(*checks)
 
 

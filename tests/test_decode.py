@@ -17,6 +17,7 @@ from eventloom.operators.quality import with_warnings
 from eventloom.operators.validate import accepted, dead_letters, validate
 from eventloom.operators.views import plain, reunite, subtype
 
+# The documented example messages.
 COMMON = {
     "event_id": "550e8400-e29b-41d4-a716-446655440000",
     "user_id": "user_00001",
