@@ -190,24 +190,29 @@ def daily_trend(daily: DataFrame, group: str, metric: str, day: str = "day") ->
 def revenue_sets(df: DataFrame, *sets: tuple[str, ...]) -> DataFrame:
     """Revenue for several groupings in one pass, told apart by ``grouping_id``."""
     columns = list(dict.fromkeys(name for group in sets for name in group))
-    grouped = df.groupingSets([[F.col(n) for n in group] for group in sets], *[F.col(n) for n in columns])
-    return grouped.agg(*_revenue_columns())
+    groups = [[F.col(n) for n in group] for group in sets]
+    return _subtotals(_finest(df, columns).groupingSets(groups, *[F.col(n) for n in columns]))
 
 
 def revenue_rollup(df: DataFrame, *columns: str) -> DataFrame:
-    return df.rollup(*columns).agg(*_revenue_columns())
+    return _subtotals(_finest(df, list(columns)).rollup(*columns))
 
 
 def revenue_cube(df: DataFrame, *columns: str) -> DataFrame:
-    return df.cube(*columns).agg(*_revenue_columns())
+    return _subtotals(_finest(df, list(columns)).cube(*columns))
 
 
-def _revenue_columns() -> list[Column]:
-    return [
+def _finest(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Sums at the finest level, so that only these rows are copied per grouping."""
+    return df.groupBy(*columns).agg(F.count("*").alias("_sales"), total_money(F.col("value")).alias("_revenue"))
+
+
+def _subtotals(grouped) -> DataFrame:
+    return grouped.agg(
         F.grouping_id().cast("int").alias("grouping_id"),
-        F.count("*").alias("sales"),
-        total_money(F.col("value")).alias("revenue"),
-    ]
+        F.sum("_sales").alias("sales"),
+        F.sum("_revenue").cast("decimal(25,2)").alias("revenue"),
+    )
 
 
 def lag_behind(df: DataFrame, watermark: Column, ts: str = "ts") -> DataFrame:

@@ -8,6 +8,7 @@ from eventloom.operators import anomalies, churn, enrich, forest, ordered
 from eventloom.plans import driver
 from eventloom.plans.registry import query
 from eventloom.session import workspace
+from eventloom.sources.files import spread
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 Z_SQL = """WITH s AS (SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS s,
@@ -98,7 +99,7 @@ def anomaly_score(spark, folder):
 
 @query("anomaly_iforest")
 def anomaly_iforest(spark, folder):
-    df = driver.events(spark, folder)
+    df = spread(driver.events(spark, folder))
     features = ["value", "hour", "k"]
     numbers = df.select("event_id", "value", F.hour("ts").alias("hour"), driver.feature().alias("k"))
     trees = forest.fit_forest(numbers, features)

@@ -14,7 +14,7 @@ def with_users(df: DataFrame, users: DataFrame, key: str = "user_id") -> DataFra
 
 
 def clicks_before_purchases(
-    clicks: DataFrame, purchases: DataFrame, delay: str, horizon: str, shards: int = 8
+    clicks: DataFrame, purchases: DataFrame, delay: str, horizon: str, shards: int = 4
 ) -> DataFrame:
     """Purchases joined with the user's clicks of the ``horizon`` before, per minute of clicks.
 

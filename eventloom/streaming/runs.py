@@ -21,9 +21,14 @@ STREAM_SETTINGS = {
 
 @contextmanager
 def stream_settings(spark: SparkSession) -> Iterator[None]:
-    """Settings for streams started inside the block; a stream keeps those it began with."""
-    before = {key: spark.conf.get(key, None) for key in STREAM_SETTINGS}
-    for key, value in STREAM_SETTINGS.items():
+    """Settings for streams started inside the block; a stream keeps those it began with.
+
+    A new stream gets one state partition per core. The number is fixed for the life of
+    its checkpoint, as AQE does not resize stateful shuffles.
+    """
+    wanted = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
         spark.conf.set(key, value)
     try:
         yield

@@ -50,7 +50,7 @@ class RunningTotals(StatefulProcessor):
         pass
 
 
-def running_totals(df: DataFrame, shards: int = 8) -> DataFrame:
+def running_totals(df: DataFrame, shards: int = 4) -> DataFrame:
     """Updated totals per user and shard for every batch; ``df`` has the event columns."""
     is_purchase = F.col("event_type") == "purchase"
     cents = F.when(is_purchase, F.round(F.col("value") * 100)).otherwise(0).cast("bigint")
