@@ -21,7 +21,7 @@ def duck(folder: str) -> duckdb.DuckDBPyConnection:
 def rows_of(table: pa.Table) -> list[tuple]:
     names = sorted(table.column_names)
     columns = [table.column(n).to_pylist() for n in names]
-    return sorted(zip(*columns, strict=True), key=lambda row: tuple((v is not None, str(type(v)), v) if v is not None else (False, "", "") for v in row))
+    return sorted(zip(*columns, strict=True), key=lambda row: [(v is not None, str(v)) for v in row])
 
 
 def type_of(field: pa.Field) -> str:

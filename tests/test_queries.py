@@ -18,7 +18,7 @@ def con(folder):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_matches_sql(spark, folder, con, name):
     ours = QUERIES[name](spark, folder).toArrow()
-    assert compare.differences(ours, con.execute(ORACLES[name]).to_arrow_table()) == []
+    assert compare.differences(ours, con.sql(ORACLES[name]).to_arrow_table()) == []
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
