@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import rules, sql, substring, tokens
+from eventloom.llm import neardup, rules, sql, substring, tokens
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,9 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 words that an earlier document holds, cut from every document."""
     cut = substring.without_repeats(table(spark, folder, "documents"), 50)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op9_near_duplicates", sql.NEAR_DUPLICATES)
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of 0.75 or more on shingles of five words."""
+    return neardup.near_duplicates(table(spark, folder, "documents"), 5, 75)
