@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import neardup, rules, sql, substring, tokens
+from eventloom.llm import neardup, pii, rules, sql, substring, tokens, toxicity
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,18 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents with a Jaccard similarity of 0.75 or more on shingles of five words."""
     return neardup.near_duplicates(table(spark, folder, "documents"), 5, 75)
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, with the offending spans."""
+    docs = table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+@query("op10_personal_data")
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data and secrets in every document."""
+    found = pii.find(table(spark, folder, "documents"), pii.train())
+    counts = [f"n_{kind}" for kind in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_secret")
