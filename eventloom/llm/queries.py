@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import neardup, pii, rules, sql, substring, tokens, toxicity
+from eventloom.llm import neardup, pii, quality, rules, sql, substring, tokens, toxicity
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(table(spark, folder, "documents"), pii.train())
     counts = [f"n_{kind}" for kind in pii.KINDS[:4]]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_secret")
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = table(spark, folder, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, folder, "labels")))
