@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import neardup, pii, quality, rules, sql, substring, tokens, toxicity
+from eventloom.llm import decontam, neardup, pii, quality, rules, sql, substring, tokens, toxicity
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = table(spark, folder, "documents")
     return quality.scored(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
+@query("op6_benchmark_leaks")
+def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents, up to an edit distance of 8 percent of the item."""
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
