@@ -38,7 +38,7 @@ WALKS, SAMPLES, BITS = 10, 8, 11
 WINDOWS = 4000
 _RANDOM = np.random.default_rng(17)
 _COIN = _RANDOM.integers(0, 256, 1 << 16, dtype=np.uint8)
-_FILTER_BITS = 24
+_FILTER_BITS = 22
 
 
 def plain(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,14 +123,13 @@ class Index:
     texts: list[str]
     sizes: np.ndarray  # bytes
     edits: np.ndarray
-    grams: np.ndarray  # which q-gram codes occur
     posting: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted q-gram codes, item and place of each
     code: np.ndarray  # sorted (size, key) codes and the item of each
     item: np.ndarray
 
 
 def code_of(size: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return (size[:, None] << 24) + keys
+    return (size[:, None] << 20) + keys
 
 
 def build(items: pa.Table, share: float, shortest: int) -> Index | None:
@@ -146,15 +145,13 @@ def build(items: pa.Table, share: float, shortest: int) -> Index | None:
     within = np.concatenate([np.arange(len(e)) for e in each])
     order = np.argsort(flat, kind="stable")
     posting = (flat[order], owner[order], within[order])
-    grams = np.zeros(1 << _FILTER_BITS, bool)
-    grams[flat] = True
     edits = np.minimum(np.floor(share * size), (size - Q) // Q).astype(np.int64)
     code = np.concatenate([code_of(size[i : i + WINDOWS], keys_of(data, start[i : i + WINDOWS], size[i : i + WINDOWS])) for i in range(0, len(size), WINDOWS)])
     owner = np.repeat(np.arange(len(size)), code.shape[1])
     order = np.argsort(code.ravel(), kind="stable")
     ids = items.column("item_id").to_pylist()
     made = [data[s : s + n].tobytes().decode("utf-8", "replace") for s, n in zip(start, size, strict=True)]
-    return Index([ids[i] for i in kept], made, size, edits, grams, posting, code.ravel()[order], owner[order])
+    return Index([ids[i] for i in kept], made, size, edits, posting, code.ravel()[order], owner[order])
 
 
 def expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +164,9 @@ def expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def candidates(index: Index, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows (start, size) that hold enough q-grams of one item; ``ends`` is the end of the
     text of each start."""
-    hit = index.grams[codes]
+    grams = np.zeros(1 << _FILTER_BITS, bool)
+    grams[index.posting[0]] = True
+    hit = grams[codes]
     before = np.concatenate([[0], np.cumsum(hit)])
     least = index.sizes - Q + 1 - Q * index.edits
     widest, top = int((index.sizes + index.edits).max()), len(codes)
@@ -238,7 +237,7 @@ def leaks_slice(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch | None:
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 24) -> DataFrame:
     """(doc_id, item_id, distance) of every item that a document holds, with its least distance."""
-    spark = tuned(docs.sparkSession)
+    tuned(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
     count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
@@ -249,8 +248,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest:
         index = build(part.orderBy("item_id").toArrow(), share, shortest)
         if index is None:
             continue
-        held = spark.sparkContext.broadcast(index)
-        made = by_slices(rows, lambda batch, held=held: leaks_slice(batch, held.value), shape)
+        made = by_slices(rows, lambda batch, index=index: leaks_slice(batch, index), shape)
         found = made if found is None else found.unionByName(made)
     if found is None:
         return rows.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("distance"))

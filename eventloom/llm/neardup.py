@@ -321,3 +321,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     out = short.withColumn("class", key).join(names, "class", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """One document of each group, all columns: the one of least id. Rows of one id with the
+    same text count once; rows with a null id stay, each text once."""
+    found = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    mine = docs.join(found, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return mine.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))

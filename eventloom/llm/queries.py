@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontam, neardup, pii, quality, rules, sql, substring, tokens, toxicity
+from eventloom.llm import decontam, mixing, neardup, pii, quality, rules, sql, substring, tokens, toxicity, warc
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,16 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items in documents, up to an edit distance of 8 percent of the item."""
     return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op1_warc_derivatives", sql.WARC_DERIVATIVES)
+def op1_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of every page, with their blocks as text."""
+    made = warc.derivatives(warc.responses_of(table(spark, folder, "pages"), "2024-02-29T00:00:00Z"))
+    return made.withColumn("block", F.col("block").cast("string"))
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents drawn so that languages, topics and flattened sources meet their shares."""
+    return mixing.mixed(table(spark, folder, "documents")).drop("text")

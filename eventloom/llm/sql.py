@@ -69,3 +69,54 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id,
     d.doc_id <= coalesce(r.b, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
+
+_RULES = (
+    (r"(?is)<!--.*?-->", ""),
+    (r"(?is)<script\b.*?</script\s*>", ""),
+    (r"(?is)<style\b.*?</style\s*>", ""),
+    (r"(?is)<title\b.*?</title\s*>", ""),
+    (r"(?i)<(?:br|/?p|/?div|/?li|/?ul|/?ol|/?tr|/?table|/?h[1-6]|/?article|/?section|/?nav|/?header|/?footer|/?body)\b[^>]*>", "\n"),
+    (r"<[!/A-Za-z][^>]*>", ""),
+)
+
+
+def _html_text(html: str) -> str:
+    for pattern, replacement in _RULES:
+        html = f"regexp_replace({html}, '{pattern}', '{replacement}', 'g')"
+    for name, character in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&amp;", "&")):
+        html = f"replace({html}, '{name}', '{character}')"
+    html = f"regexp_replace({html}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
+    html = f"regexp_replace({html}, ' ?\\n[ \\n]*', chr(10), 'g')"
+    return f"regexp_replace({html}, '^[ \\n]+|[ \\n]+$', '', 'g')"
+
+
+def _uuid(text: str) -> str:
+    return f"'urn:uuid:' || regexp_replace(md5({text}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
+
+
+WARC_DERIVATIVES = rf"""
+WITH p AS (
+    SELECT {_uuid("'response|' || coalesce(CAST(page_id AS VARCHAR), '') || '|' || coalesce(url, '')")} AS id, url,
+        coalesce(html, '') AS html,
+        'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+            || 'Content-Length: ' || strlen(coalesce(html, '')) AS head
+    FROM pages),
+t AS (
+    SELECT *, {_html_text("html")} AS text, {_html_text(r"regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)")} AS title,
+        len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=')) AS links,
+        'sha256:' || sha256(head || chr(13) || chr(10) || chr(13) || chr(10) || html) AS block_digest_of,
+        'sha256:' || sha256(html) AS payload_digest_of FROM p),
+r AS (
+    SELECT {_uuid("'metadata|' || id")} AS record_id, 'metadata' AS warc_type, id AS refers_to, url AS target_uri,
+        'application/warc-fields' AS content_type,
+        array_to_string(['source-record-id: ' || id, 'source-block-digest: ' || block_digest_of, 'source-payload-digest: ' || payload_digest_of,
+            'http-status: 200', 'http-header-Content-Type: text/html; charset=utf-8', 'http-header-Content-Length: ' || strlen(html),
+            'charset: utf-8', 'title: ' || title, 'outlinks: ' || links, 'conversion-status: converted',
+            'conversion-record-id: ' || {_uuid("'conversion|' || id")}, ''], chr(13) || chr(10)) AS block
+    FROM t
+    UNION ALL
+    SELECT {_uuid("'conversion|' || id")}, 'conversion', id, url, 'text/plain; charset=utf-8', text FROM t)
+SELECT record_id, warc_type, refers_to, target_uri, '2024-02-29T00:00:00Z' AS warc_date, content_type, block,
+    'sha256:' || sha256(block) AS block_digest, 'sha256:' || sha256(block) AS payload_digest, CAST(strlen(block) AS BIGINT) AS length
+FROM r
+"""

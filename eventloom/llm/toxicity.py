@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,3 +180,14 @@ def scored(docs: DataFrame, model: Model | float, modulus: int = 4, held_out: in
     shape = "doc_id long, score double, spans array<struct<start: long, stop: long, chance: double>>"
     made = by_slices(rows, lambda part: score_slice(part, model), shape)
     return made.select("doc_id", (fold(modulus) == held_out).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
+
+
+def kept(docs: DataFrame, model: Model | float, threshold: float = 0.3) -> DataFrame:
+    """The documents, all columns, whose score stays below the threshold."""
+    tuned(docs.sparkSession)
+
+    def below(batch):
+        score = score_slice(batch.select(["text"]).append_column("doc_id", pa.nulls(batch.num_rows, pa.int64())), model).column("score")
+        return batch.filter(pc.less(score, threshold))
+
+    return by_slices(docs, below, docs.schema)
