@@ -1,10 +1,12 @@
 """Near-duplicates by a chosen-path join: documents whose sets of word shingles overlap enough.
 
 Documents with equal sets form a class. Classes meet in nodes of independent random trees:
-at every level a class follows two minwise tokens of its set, so a child node holds classes
-that agree on a path of tokens. A node of at most ``NODE`` classes is a leaf and is compared
-exhaustively by sketches; a larger one branches again. What is still large at the last level
-is compared in blocks. Leaves with the same members, from whatever trees, are compared once.
+at the root a class follows two minwise tokens of its set, below it one, so a child node holds
+classes that agree on a path of tokens. A node of at most ``NODE`` classes is a leaf and is
+compared exhaustively by sketches; a larger one branches again, and as every class follows
+one token there, a group of near copies does not multiply on its way down. What is still large
+at the last level is compared in blocks. Leaves with the same members, from whatever trees,
+are compared once.
 
 Links count only if confirmed on the full sets. First each leaf proposes a maximum spanning
 forest of its sketch similarities, which is enough for most groups. Then leaves propose
@@ -12,8 +14,9 @@ the strongest pairs between components not yet joined, and at last all such pair
 of n copies costs about n confirmations, and yet every pair that sketches let through is
 either confirmed, refuted or inside a component.
 
-A pair at the threshold shares a leaf in one of the trees with probability 0.99999 or more,
-and its sketch passes with probability 0.9998; with higher similarity both come closer to 1.
+A pair at the threshold shares a leaf of the first level in one of the trees but for a
+probability of 2e-10, one of the second level but for 2e-6, of the third but for 2e-4, and its
+sketch passes with probability 0.9995; with higher similarity all of them come closer to 1.
 Shingles and classes are known by 64-bit hashes.
 
 Texts without words, empty and null ones have an empty set and link with nothing; they are
@@ -34,14 +37,14 @@ from eventloom.llm.tables import stored
 from eventloom.llm.text import Words, by_slices, lists, mixed, rolling, tuned
 
 #: Independent trees, and levels a node can branch.
-TREES, LEVELS = 6, 5
+TREES, LEVELS = 8, 5
 #: Largest node that is compared exhaustively, and half of it for blocks.
-NODE = 400
+NODE = 1000
 #: Coordinates of the sketch that estimates similarity.
 SKETCH = 256
 #: Standard errors below the threshold at which a sketch still lets a pair through.
-MARGIN = 3.6
-TOKENS = 2 * TREES * LEVELS
+MARGIN = 3.3
+TOKENS = 2 * TREES + TREES * 2 * (LEVELS - 1)
 
 _RANDOM = np.random.default_rng(7)
 _MULTIPLY = _RANDOM.integers(0, 2**64, SKETCH, dtype=np.uint64) | np.uint64(1)
@@ -106,7 +109,10 @@ def sketch_slice(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
 
 
 def branches(level: int):
-    """Child nodes of each row: the node so far, and two tokens of its level in each tree."""
+    """Child nodes of each row: of the root by two tokens in each tree, else by one of its path.
+
+    A path is a tree and its first token, so that paths of a tree have their own tokens.
+    """
 
     def loop(batches):
         for batch in batches:
@@ -114,14 +120,13 @@ def branches(level: int):
             tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(n, TOKENS).astype(np.uint64)
             classes = batch.column("class").to_numpy()
             node = np.zeros(n, np.uint64) if level == 0 else batch.column("node").to_numpy().view(np.uint64)
-            tree = None if level == 0 else batch.column("tree").to_numpy()
-            for t in range(TREES):
-                mine = np.arange(n) if tree is None else np.flatnonzero(tree == t)
-                for j in (0, 1):
-                    c = 2 * TREES * level + 2 * t + j
-                    child = mixed((node[mine] ^ mixed(tokens[mine, c] + np.uint64((c + 1) << 32))) * np.uint64(0x9E3779B97F4A7C15))
-                    columns = [pa.array(child.view(np.int64)), pa.array(np.full(len(mine), t, np.int32)), pa.array(classes[mine])]
-                    yield pa.RecordBatch.from_arrays(columns, ["node", "tree", "class"])
+            path = None if level == 0 else batch.column("path").to_numpy()
+            for p in range(2 * TREES):
+                mine = np.arange(n) if path is None else np.flatnonzero(path == p)
+                c = 2 * TREES * level + p
+                child = mixed((node[mine] ^ mixed(tokens[mine, c] + np.uint64((c + 1) << 32))) * np.uint64(0x9E3779B97F4A7C15))
+                columns = [pa.array(child.view(np.int64)), pa.array(np.full(len(mine), p, np.int32)), pa.array(classes[mine])]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "path", "class"])
 
     return loop
 
@@ -131,7 +136,7 @@ def leaves(classes: DataFrame) -> DataFrame:
     named = F.bit_xor(F.xxhash64("class")), F.bit_xor(F.xxhash64(F.lit(1), "class"))
     made, rows = [], classes.select("class", "tokens")
     for level in range(LEVELS):
-        entries = stored(rows.mapInArrow(branches(level), "node long, tree int, class long"), f"level{level}")
+        entries = stored(rows.mapInArrow(branches(level), "node long, path int, class long"), f"level{level}")
         size = entries.groupBy("node").agg(F.count("*").alias("n"), named[0].alias("x"), named[1].alias("y")).where("n > 1")
         size = stored(size, f"sizes{level}")
         small = size.where(F.col("n") <= NODE).groupBy("n", "x", "y").agg(F.min("node").alias("node"))
@@ -148,7 +153,7 @@ def leaves(classes: DataFrame) -> DataFrame:
             key = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
             made.append(spread.select(key.alias("node"), "class"))
         else:
-            rows = hot.select("node", "tree", "class").join(rows.select("class", "tokens").distinct() if level else rows, "class")
+            rows = hot.select("node", "path", "class").join(classes.select("class", "tokens"), "class")
     whole = made[0]
     for part in made[1:]:
         whole = whole.unionByName(part)
@@ -267,13 +272,31 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").mapInArrow(loop, "a long, b long")
 
 
+def joined_by(known: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (class, component) after further links between classes."""
+    if known is None:
+        return stored(components(links).select(F.col("id").alias("class"), "component"), "components")
+    if not links.limit(1).count():
+        return known
+    lifted = links
+    for end in ("a", "b"):
+        name = known.select(F.col("class").alias(end), F.col("component").alias("name"))
+        other = "b" if end == "a" else "a"
+        lifted = lifted.join(name, end, "left").select(F.coalesce("name", end).alias(end), other)
+    moved = stored(components(lifted), "moved")
+    ends = links.select(F.col("a").alias("class")).union(links.select(F.col("b").alias("class"))).distinct()
+    whole = known.join(ends, "class", "full").select("class", F.coalesce("component", "class").alias("id"))
+    named = whole.join(moved.withColumnRenamed("component", "to"), "id", "left").select("class", F.coalesce("to", "id").alias("component"))
+    return stored(named, "components")
+
+
 def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(class, component) of all classes that are linked with another one."""
     share = percent / 100
     least = int(np.floor(SKETCH * share - MARGIN * np.sqrt(SKETCH * share * (1 - share))))
     met = stored(leaves(classes), "leaves")
     alone = classes.select("class", "sketch", F.col("class").alias("component"))
-    links = components_now = sets = tried = None
+    components_now = sets = tried = None
     for most in (1, 8, 0):
         if components_now is None:
             member = met.join(alone, "class")
@@ -296,9 +319,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
             ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
             sets = stored(full_sets(docs, classes.join(ends, "class"), k), "sets")
         fresh = stored(confirm(pairs, sets, percent), "links")
-        links = fresh if links is None else links.unionByName(fresh)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        components_now = stored(components(links).select(F.col("id").alias("class"), "component"), "components")
+        components_now = joined_by(components_now, fresh)
     return components_now
 
 
