@@ -20,13 +20,15 @@ STREAM_SETTINGS = {
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
+def stream_settings(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
     """Settings for streams started inside the block; a stream keeps those it began with.
 
-    A new stream gets one state partition per core. The number is fixed for the life of
-    its checkpoint, as AQE does not resize stateful shuffles.
+    ``state_partitions`` is fixed for the life of a checkpoint, as AQE does not resize
+    stateful shuffles; without it the session's number of shuffle partitions holds.
     """
-    wanted = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
+    wanted = dict(STREAM_SETTINGS)
+    if state_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -57,17 +59,19 @@ def per_batch(
     return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(handle)
 
 
-def run_available(writer: DataStreamWriter) -> StreamingQuery:
+def run_available(writer: DataStreamWriter, state_partitions: int | None = None) -> StreamingQuery:
     """Bounded run: all input present at the start, in as many batches as the source sets."""
-    with stream_settings(writer._spark):
+    with stream_settings(writer._spark, state_partitions):
         query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
-def run_for(writer: DataStreamWriter, every: str, seconds: float | None = None) -> StreamingQuery:
+def run_for(
+    writer: DataStreamWriter, every: str, seconds: float | None = None, state_partitions: int | None = None
+) -> StreamingQuery:
     """Unbounded run with a batch ``every`` interval; stopped after ``seconds`` if given."""
-    with stream_settings(writer._spark):
+    with stream_settings(writer._spark, state_partitions):
         query = writer.trigger(processingTime=every).start()
     if seconds is not None:
         if not query.awaitTermination(seconds):
@@ -80,9 +84,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
+    """Folder of one micro-batch of one stream.
+
+    Batch ids start at 0 again under a new checkpoint, so the folder also names the stream: its
+    query id lives as long as its checkpoint. Outside a stream the name is fixed.
+    """
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"{path}/run_id={run}/batch_id={batch_id}"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
     """Write one micro-batch into its own folder; a retried batch replaces it."""
     writer = df.write.mode("overwrite")
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(batch_folder(df.sparkSession, path, batch_id))

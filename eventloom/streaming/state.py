@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE = "events bigint, purchases bigint, cents bigint, first_us bigint, last_us bigint"
-OUTPUT = "user_id bigint, shard int, " + STATE
 
 
 class RunningTotals(StatefulProcessor):
@@ -42,7 +41,7 @@ class RunningTotals(StatefulProcessor):
             first = low if first is None else min(first, low)
             last = high if last is None else max(last, high)
         self._totals.update((events, purchases, cents, first, last))
-        row = (int(key[0]), int(key[1]), events, purchases, cents, first, last)
+        row = (key[0], int(key[1]), events, purchases, cents, first, last)
         columns = ["user_id", "shard", "events", "purchases", "cents", "first_us", "last_us"]
         yield pd.DataFrame([row], columns=columns)
 
@@ -61,8 +60,9 @@ def running_totals(df: DataFrame, shards: int = 4) -> DataFrame:
         is_purchase.alias("is_purchase"),
         cents.alias("cents"),
     )
+    user_type = df.schema["user_id"].dataType.simpleString()
     return prepared.groupBy("user_id", "shard").transformWithStateInPandas(
-        RunningTotals(), OUTPUT, outputMode="Update", timeMode="None"
+        RunningTotals(), f"user_id {user_type}, shard int, {STATE}", outputMode="Update", timeMode="None"
     )
 
 

@@ -13,25 +13,25 @@ from eventloom.operators.decode import decode_events
 from eventloom.operators.dedup import first_delivery
 from eventloom.operators.validate import accepted, dead_letters
 from eventloom.sources.files import spread
-from eventloom.streaming.runs import path_exists, write_batch
+from eventloom.streaming.runs import batch_folder, path_exists, write_batch
 
 
 def append_once(df: DataFrame, batch_id: int, path: str, ts: str = "ts") -> DataFrame:
-    """Store the events of a batch that no earlier batch stored; returns the new ones.
+    """Store the events of a batch that no other batch stored; returns the new ones.
 
-    The store is partitioned by day. A redelivered event carries the same time, so only
-    the days of the batch are searched. The batch's own folder is left out of the search
-    and overwritten, which makes a retry harmless.
+    Ids are searched in all stored batches, of whatever day or stream, and only the id column
+    is read: a redelivered event may carry another time. The batch's own folder is left
+    out of the search and overwritten, which makes a retry harmless.
     """
     spark = df.sparkSession
+    own = batch_folder(spark, path, batch_id)
     fresh = first_delivery(df, ts=ts).withColumn("event_date", F.to_date(ts))
     if path_exists(spark, path):
-        days = [row.day for row in df.select(F.to_date(ts).alias("day")).distinct().collect()]
-        earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
-        known = earlier.where(F.col("event_date").isin(days)).select("event_id")
-        fresh = fresh.join(known, "event_id", "left_anti")
+        run = own.split("/run_id=")[-1].split("/")[0]
+        others = spark.read.parquet(path).where((F.col("run_id") != run) | (F.col("batch_id") != batch_id))
+        fresh = fresh.join(others.select("event_id"), "event_id", "left_anti")
     write_batch(fresh.hint("rebalance", F.col("event_date")), path, batch_id, "event_date")
-    return spark.read.parquet(f"{path}/batch_id={batch_id}")
+    return spark.read.schema(fresh.schema).parquet(own)
 
 
 def upsert_users(events_path: str, partials_path: str) -> Callable[[DataFrame, int], None]:
@@ -72,7 +72,7 @@ def keep_changes(path: str) -> Callable[[DataFrame, int], None]:
 def latest_changes(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """Newest row per key out of the changes of all batches."""
     changes = spark.read.parquet(path)
-    rest = [c for c in changes.columns if c not in (*keys, "batch_id")]
+    rest = [c for c in changes.columns if c not in (*keys, "batch_id", "run_id")]
     newest = changes.groupBy(*keys).agg(F.max(F.struct("batch_id", *rest)).alias("_row"))
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
@@ -106,12 +106,14 @@ def split_late(path: str, delay: str, ts: str = "ts") -> Callable[[DataFrame, in
     def handle(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         before = None
-        if batch_id > 0 and path_exists(spark, f"{path}/newest/batch_id={batch_id - 1}"):
-            before = spark.read.parquet(f"{path}/newest/batch_id={batch_id - 1}").first().newest
+        last = batch_folder(spark, f"{path}/newest", batch_id - 1)
+        if batch_id > 0 and path_exists(spark, last):
+            before = spark.read.parquet(last).first().newest
         newest = df.agg(F.max(ts).alias("newest"))
         if before is not None:
             newest = newest.select(F.greatest("newest", F.lit(before)).alias("newest"))
-        is_late = F.lit(False) if before is None else F.col(ts) < F.lit(before) - interval(delay)
+        # A row without a time is on time: nothing says that it is late.
+        is_late = F.lit(False) if before is None else F.coalesce(F.col(ts) < F.lit(before) - interval(delay), F.lit(False))
         write_batch(df.where(~is_late), f"{path}/on_time", batch_id)
         write_batch(df.where(is_late), f"{path}/late", batch_id)
         write_batch(newest, f"{path}/newest", batch_id)

@@ -54,6 +54,29 @@ def test_upsert_over_batches_equals_batch_rollup(spark, space):
     assert sorted(tables.read_users(spark, f"{space}/compacted").collect()) == expected
 
 
+def test_redelivery_at_another_time_and_a_second_checkpoint(spark, space):
+    later = [(i, user, at + timedelta(hours=2), kind, value) for i, user, at, kind, value in day_rows(0)]
+    arrive(spark, f"{space}/in", day_rows(0), later, day_rows(1))
+    handle = tables.upsert_users(f"{space}/events", f"{space}/users")
+    for checkpoint in ("c1", "c2"):
+        runs.run_available(runs.per_batch(stream(spark, f"{space}/in"), handle, f"{space}/{checkpoint}"))
+        stored = spark.read.parquet(f"{space}/events")
+        assert stored.count() == stored.select("event_id").distinct().count() == 60
+        totals = tables.read_users(spark, f"{space}/users").agg(F.sum("total_events"), F.sum("total_purchases")).first()
+        assert tuple(totals) == (60, 20)
+    assert len({r.run_id for r in spark.read.parquet(f"{space}/users").select("run_id").collect()} | {"x"}) >= 2
+
+
+def test_state_accepts_text_ids(spark, space):
+    rows = [(f"user_{i % 3:05d}", i, START + timedelta(minutes=i), "purchase", 1.5) for i in range(9)]
+    schema = "user_id string, event_id int, ts timestamp, event_type string, value double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{space}/in")
+    totals = state.running_totals(spark.readStream.schema(schema).parquet(f"{space}/in"))
+    runs.run_available(runs.per_batch(totals, tables.keep_changes(f"{space}/out"), f"{space}/c", "update"))
+    found = state.combined(tables.latest_changes(spark, f"{space}/out", "user_id", "shard")).collect()
+    assert {(r.user_id, r.total_purchases, float(r.total_spent)) for r in found} == {(f"user_{i:05d}", 3, 4.5) for i in range(3)}
+
+
 def test_changes_keep_the_newest_state(spark, space):
     arrive(spark, f"{space}/in", day_rows(0), day_rows(1), day_rows(2))
     rollup = metrics.user_rollup(stream(spark, f"{space}/in"))
