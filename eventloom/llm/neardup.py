@@ -6,7 +6,7 @@ classes that agree on a path of tokens. A node of at most ``NODE`` classes is a
 compared exhaustively by sketches; a larger one branches again, and as every class follows
 one token there, a group of near copies does not multiply on its way down. What is still large
 at the last level is compared in blocks. Leaves with the same members, from whatever trees,
-are compared once.
+are compared once, and a pair with several leaves in common is proposed by one of them.
 
 Links count only if confirmed on the full sets. First each leaf proposes a maximum spanning
 forest of its sketch similarities, which is enough for most groups. Then leaves propose
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -194,13 +195,37 @@ def forests(pairs: np.ndarray, n: int, most: int) -> np.ndarray:
     return np.concatenate(kept) if kept else left
 
 
-def propose(least: int, most: int):
-    """Pairs (a, b) of leaf members that sketches let through, at most ``most`` forests of
-    each leaf (0: all), and only between different components where rows have one."""
+def met_before(node: int, owner: np.ndarray, home: np.ndarray, n: int) -> np.ndarray:
+    """Which pairs of the ``n`` members of leaf ``node`` also meet in a leaf of smaller number;
+    ``home`` are the leaves of the members ``owner``."""
+    earlier = home < node
+    owner, home = owner[earlier], home[earlier]
+    order = np.argsort(home, kind="stable")
+    owner, home = owner[order], home[order]
+    shared = np.zeros((n, n), bool)
+    edges = np.flatnonzero(np.diff(home)) + 1
+    for i, j in zip(np.append(0, edges), np.append(edges, len(home)), strict=True):
+        if j - i > 1:
+            shared[np.ix_(owner[i:j], owner[i:j])] = True
+    return shared
 
-    def leaf(classes, sketch, component):
+
+def propose(least: int, most: int, percent: int):
+    """Pairs (a, b) of leaf members that sketches and sizes let through, at most ``most`` forests of
+    each leaf (0: all), and only between different components where rows have one. A pair that
+    shares several leaves is left to the first of them, by number."""
+
+    def comparable(x, y):
+        return 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
+
+    def leaf(node, classes, sketch, size, component, owner, home):
         equal = similar(sketch)
         a, b = np.nonzero(np.triu(equal >= least, 1) & (component[:, None] != component[None, :]))
+        near = comparable(size[a], size[b])
+        a, b = a[near], b[near]
+        if len(a):
+            known = met_before(node, owner, home, len(classes))[a, b]
+            a, b = a[~known], b[~known]
         if most and len(a) > 1:
             order = np.lexsort((classes[b], classes[a], -equal[a, b]))
             a, b = a[order], b[order]
@@ -225,14 +250,20 @@ def propose(least: int, most: int):
 
     def leaves_of(table):
         node = table.column("node").to_numpy()
-        classes, component = table.column("class").to_numpy(), table.column("component").to_numpy()
+        classes, component, size = (table.column(c).to_numpy() for c in ("class", "component", "size"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(node), SKETCH)
         begin = np.flatnonzero(np.diff(node, prepend=node[0] - 1 if node[0] > -(2**62) else node[0] + 1))
         end = np.append(begin[1:], len(node))
         two = begin[end - begin == 2]
-        ok = ((sketch[two] == sketch[two + 1]).sum(axis=1) >= least) & (component[two] != component[two + 1])
+        ok = ((sketch[two] == sketch[two + 1]).sum(axis=1) >= least) & (component[two] != component[two + 1]) & comparable(size[two], size[two + 1])
         found = [(classes[two[ok]], classes[two[ok] + 1])]
-        found += [leaf(classes[i:j], sketch[i:j], component[i:j]) for i, j in zip(begin, end, strict=True) if j - i > 2]
+        homes = table.column("homes").combine_chunks()
+        count, home = pc.list_value_length(homes).to_numpy(), homes.flatten().to_numpy()
+        at = np.append(0, np.cumsum(count))
+        for i, j in zip(begin, end, strict=True):
+            if j - i > 2:
+                owner = np.repeat(np.arange(j - i), count[i:j])
+                found.append(leaf(node[i], classes[i:j], sketch[i:j], size[i:j], component[i:j], owner, home[at[i] : at[j]]))
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -295,9 +326,11 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     share = percent / 100
     least = int(np.floor(SKETCH * share - MARGIN * np.sqrt(SKETCH * share * (1 - share))))
     met = stored(leaves(classes), "leaves")
-    alone = classes.select("class", "sketch", F.col("class").alias("component"))
+    # A class has a leaf per path, more only where a node of the last level is cut into blocks.
+    homes = stored(met.groupBy("class").agg(F.collect_list("node").alias("homes")), "homes")
+    alone = classes.select("class", "sketch", "size", F.col("class").alias("component"))
     components_now = sets = tried = None
-    for most in (1, 8, 0):
+    for most in (1, 3, 0):
         if components_now is None:
             member = met.join(alone, "class")
         else:
@@ -306,8 +339,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
             open_ = met.join(now, "class")
             spans = open_.groupBy("node").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("node")
             member = open_.join(spans, "node").join(alone.drop("component"), "class")
-        ordered = member.select("node", "class", "component", "sketch").repartition("node").sortWithinPartitions("node")
-        pairs = ordered.mapInArrow(propose(least, most), "a long, b long").distinct()
+        ordered = member.join(homes, "class").select("node", "class", "component", "sketch", "size", "homes").repartition("node").sortWithinPartitions("node")
+        pairs = ordered.mapInArrow(propose(least, most, percent), "a long, b long").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -331,7 +364,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     shape = "doc_id long, n_shingles long, class long, sketch binary, tokens binary"
     rows = stored(by_slices(docs, lambda part: sketch_slice(part, k), shape), "sketches")
     full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"), F.min("tokens").alias("tokens"))
+    classes = full.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("sketch").alias("sketch"), F.min("tokens").alias("tokens"), F.min("n_shingles").alias("size"))
     classes = stored(classes, "classes")
     joined = stored(class_components(docs, classes, k, percent), "joined")
     named = classes.select("class", "doc_id").join(joined, "class", "left")
