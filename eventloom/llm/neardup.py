@@ -12,11 +12,13 @@ Links count only if confirmed on the full sets. First each leaf proposes a maxim
 forest of its sketch similarities, which is enough for most groups. Then leaves propose
 the strongest pairs between components not yet joined, and at last all such pairs, so a group
 of n copies costs about n confirmations, and yet every pair that sketches let through is
-either confirmed, refuted or inside a component.
+either confirmed, refuted or inside a component. Pairs of these later rounds must also pass
+a finer sketch, made from the full sets of the classes still in question.
 
 A pair at the threshold shares a leaf of the first level in one of the trees but for a
 probability of 2e-10, one of the second level but for 2e-6, of the third but for 2e-4, and its
-sketch passes with probability 0.9995; with higher similarity all of them come closer to 1.
+sketch passes with probability 0.9995, the finer one with 0.9999; with higher similarity all of
+them come closer to 1.
 Shingles and classes are known by 64-bit hashes.
 
 Texts without words, empty and null ones have an empty set and link with nothing; they are
@@ -45,6 +47,8 @@ NODE = 1000
 SKETCH = 256
 #: Standard errors below the threshold at which a sketch still lets a pair through.
 MARGIN = 3.3
+#: Bits of the bin number in the finer sketch, and its margin in standard errors.
+FINE_BITS, FINE_MARGIN = 10, 4.0
 TOKENS = 2 * TREES + TREES * 2 * (LEVELS - 1)
 
 _RANDOM = np.random.default_rng(7)
@@ -109,6 +113,37 @@ def sketch_slice(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "sketch", "tokens"])
 
 
+def fine_sketches(batches):
+    """(class, fine): the least hash of each bin of the hash range, as a byte; 0 for an empty bin."""
+    for batch in batches:
+        blobs = []
+        for blob in batch.column("codes"):
+            codes = np.frombuffer(blob.as_buffer(), np.uint64)
+            bins, first = np.unique(codes >> np.uint64(64 - FINE_BITS), return_index=True)
+            fine = np.zeros(1 << FINE_BITS, np.uint8)
+            fine[bins.astype(np.int64)] = codes[first] % np.uint64(255) + np.uint64(1)
+            blobs.append(fine.tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("class"), pa.array(blobs, pa.binary())], ["class", "fine"])
+
+
+def within_reach(fine: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs the finer sketch lets through.
+
+    Equal bins among those that either set fills estimate the similarity; the fewer elements of
+    the union share a bin, the closer. Two bins more are allowed for, as small sets have few.
+    """
+    share, step, passed = percent / 100, 2000, [np.zeros(0, bool)]
+    for i in range(0, len(a), step):
+        left, right = a[i : i + step], b[i : i + step]
+        x, y = fine[left], fine[right]
+        used = ((x | y) > 0).sum(axis=1)
+        equal = ((x == y) & (x > 0)).sum(axis=1)
+        union = (size[left] + size[right]) / (1 + share)
+        variance = share * (1 - share) * np.maximum(union / used - 1, 0) / np.maximum(union - 1, 1)
+        passed.append(equal + 2 >= used * (share - FINE_MARGIN * np.sqrt(variance)))
+    return np.concatenate(passed)
+
+
 def branches(level: int):
     """Child nodes of each row: of the root by two tokens in each tree, else by one of its path.
 
@@ -213,12 +248,13 @@ def met_before(node: int, owner: np.ndarray, home: np.ndarray, n: int) -> np.nda
 def propose(least: int, most: int, percent: int):
     """Pairs (a, b) of leaf members that sketches and sizes let through, at most ``most`` forests of
     each leaf (0: all), and only between different components where rows have one. A pair that
-    shares several leaves is left to the first of them, by number."""
+    shares several leaves is left to the first of them, by number. Rows with a finer sketch are
+    held to that as well."""
 
     def comparable(x, y):
         return 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
 
-    def leaf(node, classes, sketch, size, component, owner, home):
+    def leaf(node, classes, sketch, fine, size, component, owner, home):
         equal = similar(sketch)
         a, b = np.nonzero(np.triu(equal >= least, 1) & (component[:, None] != component[None, :]))
         near = comparable(size[a], size[b])
@@ -226,6 +262,9 @@ def propose(least: int, most: int, percent: int):
         if len(a):
             known = met_before(node, owner, home, len(classes))[a, b]
             a, b = a[~known], b[~known]
+        if fine is not None:
+            near = within_reach(fine, size, a, b, percent)
+            a, b = a[near], b[near]
         if most and len(a) > 1:
             order = np.lexsort((classes[b], classes[a], -equal[a, b]))
             a, b = a[order], b[order]
@@ -252,10 +291,15 @@ def propose(least: int, most: int, percent: int):
         node = table.column("node").to_numpy()
         classes, component, size = (table.column(c).to_numpy() for c in ("class", "component", "size"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(node), SKETCH)
+        fine = None
+        if "fine" in table.column_names:
+            fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(len(node), -1)
         begin = np.flatnonzero(np.diff(node, prepend=node[0] - 1 if node[0] > -(2**62) else node[0] + 1))
         end = np.append(begin[1:], len(node))
         two = begin[end - begin == 2]
         ok = ((sketch[two] == sketch[two + 1]).sum(axis=1) >= least) & (component[two] != component[two + 1]) & comparable(size[two], size[two + 1])
+        if fine is not None:
+            ok &= within_reach(fine, size, two, two + 1, percent)
         found = [(classes[two[ok]], classes[two[ok] + 1])]
         homes = table.column("homes").combine_chunks()
         count, home = pc.list_value_length(homes).to_numpy(), homes.flatten().to_numpy()
@@ -263,7 +307,8 @@ def propose(least: int, most: int, percent: int):
         for i, j in zip(begin, end, strict=True):
             if j - i > 2:
                 owner = np.repeat(np.arange(j - i), count[i:j])
-                found.append(leaf(node[i], classes[i:j], sketch[i:j], size[i:j], component[i:j], owner, home[at[i] : at[j]]))
+                part = None if fine is None else fine[i:j]
+                found.append(leaf(node[i], classes[i:j], sketch[i:j], part, size[i:j], component[i:j], owner, home[at[i] : at[j]]))
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -329,7 +374,7 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     # A class has a leaf per path, more only where a node of the last level is cut into blocks.
     homes = stored(met.groupBy("class").agg(F.collect_list("node").alias("homes")), "homes")
     alone = classes.select("class", "sketch", "size", F.col("class").alias("component"))
-    components_now = sets = tried = None
+    components_now = sets = fine = tried = None
     for most in (1, 3, 0):
         if components_now is None:
             member = met.join(alone, "class")
@@ -338,8 +383,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
             now = sets.select("class").join(components_now, "class", "left").select("class", F.coalesce("component", "class").alias("component"))
             open_ = met.join(now, "class")
             spans = open_.groupBy("node").agg((F.min("component") < F.max("component")).alias("open")).where("open").select("node")
-            member = open_.join(spans, "node").join(alone.drop("component"), "class")
-        ordered = member.join(homes, "class").select("node", "class", "component", "sketch", "size", "homes").repartition("node").sortWithinPartitions("node")
+            member = open_.join(spans, "node").join(alone.drop("component"), "class").join(fine, "class")
+        ordered = member.join(homes, "class").repartition("node").sortWithinPartitions("node")
         pairs = ordered.mapInArrow(propose(least, most, percent), "a long, b long").distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -351,6 +396,7 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
         if sets is None:
             ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
             sets = stored(full_sets(docs, classes.join(ends, "class"), k), "sets")
+            fine = stored(sets.mapInArrow(fine_sketches, "class long, fine binary"), "fine")
         fresh = stored(confirm(pairs, sets, percent), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         components_now = joined_by(components_now, fresh)

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +54,25 @@ def test_substring_matches_brute_force(odd, empty, width):
     assert substring.hash_width(1e8) == 8 and substring.hash_width(1e13) == 12
 
 
+def test_finer_sketch_keeps_links_and_drops_distant_pairs():
+    rng = np.random.default_rng(3)
+    for size in (1, 4, 9, 60, 500, 6000):
+        close, far = [], []
+        for _ in range(60):
+            for shared, sets in ((int(np.ceil(size * 6 / 7)), close), (size // 2, far)):
+                x = rng.integers(0, 2**64, size, dtype=np.uint64)
+                y = np.concatenate([x[:shared], rng.integers(0, 2**64, size - shared, dtype=np.uint64)])
+                sets += [np.sort(x), np.sort(y)]
+        for sets, linked in ((close, True), (far, False)):
+            blobs = pa.array([c.tobytes() for c in sets], pa.binary())
+            batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(sets))), blobs], ["class", "codes"])
+            made = b"".join(next(neardup.fine_sketches([batch])).column("fine").to_pylist())
+            fine = np.frombuffer(made, np.uint8).reshape(len(sets), -1)
+            a = np.arange(0, len(sets), 2)
+            passed = neardup.within_reach(fine, np.full(len(sets), size), a, a + 1, 75)
+            assert passed.all() if linked else size < 60 or not passed.any()
+
+
 def test_near_duplicates_match_brute_force(spark, odd, empty):
     rng = random.Random(3)
     base = [f"w{i}" for i in range(120)]
