@@ -3,9 +3,11 @@
 Texts are compared as lower-case words with one space between. A document holds an item of
 length L if some stretch of it is at an edit distance of at most ``share * L`` from the item.
 
-Windows of the size of an item start at every word. A window within the distance shares at
-least ``L - q + 1 - q * distance`` of the item's q-grams, each moved by at most the distance,
-so windows with fewer of them drop out without loss. The others are embedded by random walks (Chakraborty, Goldenberg
+Lengths and distances count characters; windows and q-grams lie on bytes. Windows of the size
+of an item start at every word, and wherever a q-gram of the text, by its place in the item,
+says that the item would start, so that text without spaces is searched as well. A window within
+the distance shares at least ``L - q + 1 - q * distance`` of the item's q-grams (in ASCII), each
+moved by at most the distance, so windows with fewer of them drop out without loss. The others are embedded by random walks (Chakraborty, Goldenberg
 and Koucky 2016): at each of 3 L steps a walk writes its symbol and stays or moves on, as a random function of
 step and symbol says, which turns edit distance into Hamming distance. Several
 walks, each sampled at several sets of bit positions, give hash keys; windows and items that
@@ -14,8 +16,11 @@ distance. Repeats are chosen so that a window at the largest distance is found
 with probability 0.95 or more, and near ones almost surely (``tests/llm`` measures it).
 
 Documents are only scanned: blocks of a bounded number of items travel with the scan, one scan
-per block. Null and empty documents hold nothing. Items without ``shortest`` characters are
-too common to tell a leak and are not looked for. Equal items are all reported; repeated
+per block. Null and empty documents hold nothing. Items of fewer than ``shortest`` characters
+are looked up without windows: one that allows ``d`` edits is cut into ``d + 1`` pieces, of which
+one must stand in the text unchanged, and is compared exactly around it; one that allows no edit
+must stand there whole, not inside a longer word (in scripts that put spaces between words).
+Equal items are all reported; repeated
 document rows are reported once. Extra columns are not read.
 """
 
@@ -36,9 +41,16 @@ Q = 8
 WALKS, SAMPLES, BITS = 10, 8, 11
 #: Windows embedded at once.
 WINDOWS = 4000
+#: Most bytes between places at which stretches of text are judged by their q-grams.
+GAP = 64
 _RANDOM = np.random.default_rng(17)
 _COIN = _RANDOM.integers(0, 256, 1 << 16, dtype=np.uint8)
 _FILTER_BITS = 22
+_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes of ASCII letters and digits, and first bytes of letters that take two bytes.
+_LETTER = np.isin(np.arange(256), [*b"0123456789abcdefghijklmnopqrstuvwxyz"])
+_TWO = (np.arange(256) >= 0xC3) & (np.arange(256) <= 0xDF)
 
 
 def plain(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,7 +134,9 @@ class Index:
     ids: list
     texts: list[str]
     sizes: np.ndarray  # bytes
-    edits: np.ndarray
+    allowed: np.ndarray  # edits, in characters
+    edits: np.ndarray  # bytes by which they can move a place
+    least: np.ndarray  # q-grams that are left after them
     posting: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted q-gram codes, item and place of each
     code: np.ndarray  # sorted (size, key) codes and the item of each
     item: np.ndarray
@@ -132,26 +146,78 @@ def code_of(size: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (size[:, None] << 20) + keys
 
 
+@dataclass
+class Pieces:
+    """Short items of one block, as pieces of which one must be in the text unchanged."""
+
+    ids: list
+    texts: list[str]
+    allowed: np.ndarray
+    pairs: np.ndarray  # which two first bytes a piece can have
+    by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # sorted hashes, item and place of each
+
+
+def stretch_hashes(data: np.ndarray):
+    """A function that hashes the stretches of one size that begin at the given places."""
+    with np.errstate(over="ignore"):
+        powers = lambda base: np.cumprod(np.append(np.uint64(1), np.full(len(data), base, np.uint64)), dtype=np.uint64)
+        upto = np.append(np.uint64(0), np.cumsum(_VALUE[data] * powers(_BASE)[:-1], dtype=np.uint64))
+        back = powers(pow(_BASE, -1, 1 << 64))
+        return lambda start, size: (upto[start + size] - upto[start]) * back[start]
+
+
+def item_table(items: pa.Table, share: float, shortest: int):
+    """Buffer, starts, sizes, texts, allowed edits, bytes they move, q-grams they leave, and which items are short."""
+    data, _, offsets = plain(items.column("text").combine_chunks())
+    size, start = np.maximum(np.diff(offsets) - 1, 0), offsets[:-1]
+    texts = [data[s : s + n].tobytes().decode("utf-8", "replace") for s, n in zip(start, size, strict=True)]
+    chars = np.array([len(t) for t in texts], np.int64)
+    widest = np.array([max(map(len, map(str.encode, set(t))), default=1) for t in texts], np.int64)
+    allowed = np.floor(share * chars).astype(np.int64)
+    least = size - Q + 1 - (Q + widest - 1) * allowed
+    return data, start, size, texts, allowed, allowed * widest, least, (chars < shortest) | (least < 1)
+
+
 def build(items: pa.Table, share: float, shortest: int) -> Index | None:
-    texts = items.column("text").combine_chunks()
-    data, _, offsets = plain(texts)
-    size = np.maximum(np.diff(offsets) - 1, 0)
-    kept = np.flatnonzero(size >= max(shortest, Q))
+    data, start, size, texts, allowed, edits, least, short = item_table(items, share, shortest)
+    kept = np.flatnonzero(~short)
     if len(kept) == 0:
         return None
-    size, start = size[kept], offsets[:-1][kept]
+    size, start = size[kept], start[kept]
     each = [gram_codes(data[s : s + n]) for s, n in zip(start, size, strict=True)]
     flat, owner = np.concatenate(each), np.repeat(np.arange(len(each)), list(map(len, each)))
     within = np.concatenate([np.arange(len(e)) for e in each])
     order = np.argsort(flat, kind="stable")
     posting = (flat[order], owner[order], within[order])
-    edits = np.minimum(np.floor(share * size), (size - Q) // Q).astype(np.int64)
     code = np.concatenate([code_of(size[i : i + WINDOWS], keys_of(data, start[i : i + WINDOWS], size[i : i + WINDOWS])) for i in range(0, len(size), WINDOWS)])
     owner = np.repeat(np.arange(len(size)), code.shape[1])
     order = np.argsort(code.ravel(), kind="stable")
     ids = items.column("item_id").to_pylist()
-    made = [data[s : s + n].tobytes().decode("utf-8", "replace") for s, n in zip(start, size, strict=True)]
-    return Index([ids[i] for i in kept], made, size, edits, posting, code.ravel()[order], owner[order])
+    return Index([ids[i] for i in kept], [texts[i] for i in kept], size, allowed[kept], edits[kept], least[kept], posting, code.ravel()[order], owner[order])
+
+
+def build_pieces(items: pa.Table, share: float, shortest: int) -> Pieces | None:
+    _, _, size, texts, allowed, _, _, short = item_table(items, share, shortest)
+    kept = np.flatnonzero(short & (size > 0))
+    if len(kept) == 0:
+        return None
+    texts, allowed, ids = [texts[i] for i in kept], allowed[kept], items.column("item_id").to_pylist()
+    pairs, found = np.zeros(1 << 16, bool), {}
+    for i, value in enumerate(texts):
+        n = min(int(allowed[i]) + 1, len(value))
+        cuts = [len(value) * j // n for j in range(n + 1)]
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            piece = np.frombuffer(value[begin:end].encode(), np.uint8)
+            first = int(piece[0]) << 8
+            pairs[first | int(piece[1]) if len(piece) > 1 else slice(first, first + 256)] = True
+            code = stretch_hashes(piece)(np.zeros(1, np.int64), len(piece))[0]
+            found.setdefault(len(piece), []).append((code, i, len(value[:begin].encode())))
+    by_size = {}
+    for n, rows in found.items():
+        code, item, place = (np.array(x, t) for x, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+        order = np.argsort(code, kind="stable")
+        by_size[n] = code[order], item[order], place[order]
+    return Pieces([ids[i] for i in kept], texts, allowed, pairs, by_size)
 
 
 def expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,24 +227,30 @@ def expanded(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(len(of)) + np.repeat(low - (np.cumsum(count) - count), count), of
 
 
-def candidates(index: Index, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (start, size) that hold enough q-grams of one item; ``ends`` is the end of the
-    text of each start."""
+def candidates(index: Index, codes: np.ndarray, words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (start, size) that hold enough q-grams of one item; ``words`` are the starts of
+    words and ``offsets`` those of texts, the end of the last one included."""
     grams = np.zeros(1 << _FILTER_BITS, bool)
     grams[index.posting[0]] = True
     hit = grams[codes]
     before = np.concatenate([[0], np.cumsum(hit)])
-    least = index.sizes - Q + 1 - Q * index.edits
-    widest, top = int((index.sizes + index.edits).max()), len(codes)
+    least, top = index.least, len(codes)
+    # Places with a word start, or another place, at most GAP before any byte.
+    length = np.diff(np.append(words, offsets[-1]))
+    step, of = expanded(np.zeros(len(words), np.int64), -(-length // GAP))
+    starts = words[of] + GAP * step
+    doc = np.searchsorted(offsets, starts, "right")
+    begins, ends = offsets[doc - 1], offsets[doc]
+    reach = int((index.sizes + index.edits).max()) + GAP
     until = lambda x: np.minimum(x, top)
-    near = np.flatnonzero(before[until(starts + widest)] - before[until(starts)] >= least.min())
+    near = np.flatnonzero(before[until(starts + reach)] - before[until(starts)] >= least.min())
     if len(near) == 0:
         return near, near
     # Stretches of such starts within one text, and the items whose q-grams they hold.
-    new = np.concatenate([[True], (np.diff(starts[near]) > widest) | (np.diff(ends[near]) != 0)])
+    new = np.concatenate([[True], (np.diff(starts[near]) > reach) | (np.diff(ends[near]) != 0)])
     first = near[new]
     last = near[np.append(np.flatnonzero(new)[1:], len(near)) - 1]
-    place, stretch = expanded(starts[first], np.maximum(np.minimum(until(starts[last] + widest), ends[last]), starts[first]))
+    place, stretch = expanded(starts[first], np.maximum(np.minimum(until(starts[last] + reach), ends[last]), starts[first]))
     place, stretch = place[hit[place]], stretch[hit[place]]
     low, high = np.searchsorted(index.posting[0], codes[place]), np.searchsorted(index.posting[0], codes[place], "right")
     entry, of = expanded(low, high)
@@ -193,23 +265,23 @@ def candidates(index: Index, codes: np.ndarray, starts: np.ndarray, ends: np.nda
     enough = end - begin >= least[item[begin]]
     for i, j in zip(begin[enough], end[enough], strict=True):
         size, edits = int(index.sizes[item[i]]), int(index.edits[item[i]])
-        words = np.arange(first[where[i]], last[where[i]] + 1)
-        s = starts[words]
+        a, b = first[where[i]], last[where[i]]
+        mine = words[np.searchsorted(words, starts[a]) : np.searchsorted(words, starts[b], "right")]
+        s = np.union1d(mine, np.maximum(shift[i:j], begins[a]))
         held = np.searchsorted(shift[i:j], s + edits, "right") - np.searchsorted(shift[i:j], s - edits)
-        s = s[(held >= least[item[i]]) & (s + size - edits <= ends[words])]
+        s = s[(held >= least[item[i]]) & (s + size - edits <= ends[a])]
         made.append(np.stack([s, np.full(len(s), size)]))
     found = np.unique(np.concatenate(made, axis=1), axis=1)
     return found[0], found[1]
 
 
-def leaks_slice(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch | None:
-    data, words, offsets = plain(batch.column("text"))
+def by_windows(data: np.ndarray, words: np.ndarray, offsets: np.ndarray, index: Index) -> dict[tuple[int, int], int]:
+    """Least distance of (text, item) for the long items."""
+    best: dict[tuple[int, int], int] = {}
     codes = gram_codes(data)
     if len(codes) == 0:
-        return None
-    doc_end = offsets[np.searchsorted(offsets, words, "right")]
-    start, size = candidates(index, codes, words, doc_end)
-    best: dict[tuple[int, int], int] = {}
+        return best
+    start, size = candidates(index, codes, words, offsets)
     tried = set()
     for i in range(0, len(start), WINDOWS):
         s, n = start[i : i + WINDOWS], size[i : i + WINDOWS]
@@ -220,19 +292,61 @@ def leaks_slice(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch | None:
         pairs = {(int(window[j]), int(index.item[x])) for j in met for x in range(low[j], high[j])}
         doc = np.searchsorted(offsets, s, "right") - 1
         for w, item in sorted(pairs):
-            d, k = int(doc[w]), int(index.edits[item])
+            d, k, most = int(doc[w]), int(index.edits[item]), int(index.allowed[item])
             if best.get((d, item)) == 0 or (int(s[w]), item) in tried:
                 continue
             tried.add((int(s[w]), item))
             a, b = max(offsets[d], s[w] - k), min(offsets[d + 1], s[w] + n[w] + k)
             found, _ = search(index.texts[item], data[a:b].tobytes().decode("utf-8", "ignore"))
-            if found <= k and found < best.get((d, item), k + 1):
+            if found <= most and found < best.get((d, item), most + 1):
                 best[(d, item)] = found
-    if not best:
+    return best
+
+
+def by_pieces(data: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> dict[tuple[int, int], int]:
+    """Least distance of (text, item) for the short items."""
+    best: dict[tuple[int, int], int] = {}
+    if len(data) < 2:
+        return best
+    two = _TWO[data]
+    letter = _LETTER[data] | two
+    letter[1:] |= two[:-1]
+    inside = np.append(letter[1:] & letter[:-1], False)  # no boundary after this byte
+    at = np.flatnonzero(pieces.pairs[(data[:-1].astype(np.int64) << 8) | data[1:]])
+    hashed, sizes = stretch_hashes(data), np.array([len(t.encode()) for t in pieces.texts])
+    tried: dict[tuple[int, str], int] = {}
+    for size, (codes, items, places) in pieces.by_size.items():
+        start = at[at + size <= len(data)]
+        code = hashed(start, size)
+        low, high = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
+        entry, of = expanded(low, high)
+        start, item, place = start[of], items[entry], places[entry]
+        doc = np.searchsorted(offsets, start, "right") - 1
+        exact = pieces.allowed[item] == 0
+        whole = exact & ~((start > offsets[doc]) & inside[start - 1]) & ~inside[start + size - 1]
+        for d, i in np.unique(np.stack([doc[whole], item[whole]]), axis=1).T.tolist():
+            best[(d, i)] = 0
+        for d, i, s in zip(doc[~exact].tolist(), item[~exact].tolist(), (start - place)[~exact].tolist(), strict=True):
+            most = int(pieces.allowed[i])
+            if best.get((d, i)) == 0:
+                continue
+            a, b = max(int(offsets[d]), s - 4 * most), min(int(offsets[d + 1]), s + int(sizes[i]) + 4 * most)
+            around = data[a:b].tobytes().decode("utf-8", "ignore")
+            if (i, around) not in tried:
+                tried[(i, around)] = search(pieces.texts[i], around)[0]
+            if tried[(i, around)] <= most:
+                best[(d, i)] = min(best.get((d, i), most), tried[(i, around)])
+    return best
+
+
+def leaks_slice(batch: pa.RecordBatch, index: Index | None, pieces: Pieces | None) -> pa.RecordBatch | None:
+    data, words, offsets = plain(batch.column("text"))
+    ids, found = batch.column("doc_id").to_pylist(), []
+    for part, best in ((index, index and by_windows(data, words, offsets, index)), (pieces, pieces and by_pieces(data, offsets, pieces))):
+        found += [(ids[d], part.ids[i], distance) for (d, i), distance in (best or {}).items()]
+    if not found:
         return None
-    ids = batch.column("doc_id").to_pylist()
-    columns = [[ids[d] for d, _ in best], [index.ids[i] for _, i in best], list(best.values())]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "distance"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["doc_id", "item_id", "distance"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 24) -> DataFrame:
@@ -245,10 +359,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest:
     shape, found = "doc_id long, item_id long, distance long", None
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        index = build(part.orderBy("item_id").toArrow(), share, shortest)
-        if index is None:
+        part = part.orderBy("item_id").toArrow()
+        index, pieces = build(part, share, shortest), build_pieces(part, share, shortest)
+        if index is None and pieces is None:
             continue
-        made = by_slices(rows, lambda batch, index=index: leaks_slice(batch, index), shape)
+        made = by_slices(rows, lambda batch, index=index, pieces=pieces: leaks_slice(batch, index, pieces), shape)
         found = made if found is None else found.unionByName(made)
     if found is None:
         return rows.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("distance"))

@@ -199,6 +199,19 @@ def test_leaks_match_brute_force(spark, odd, empty):
     assert decontam.leaks(data, bench.limit(0)).count() == 0 and decontam.clean(odd, bench).count() == odd.count()
 
 
+def test_leaks_without_spaces_and_short_items(spark):
+    rng = random.Random(11)
+    runs = ["".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(20)]
+    runs += ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(60)) for _ in range(20)]
+    docs = [(n, "".join(rng.choices("qrstuvwxyz", k=700)) + v + "".join(rng.choices("qrstuvwxyz", k=700))) for n, v in enumerate(runs)]
+    docs += [(100, "so Paris, the capital"), (101, "comparison, parisian, eparis"), (102, "eins 東京都庁舎 zwei"), (103, "a fine old town hal here"), (104, "")]
+    docs += [(105, "".join(c if n % 6 else "\u9fff" for n, c in enumerate(runs[20])))]  # a sixth of the characters is another
+    items = [*enumerate(runs), (100, "paris"), (102, "京都庁"), (103, "fine old town hall"), (104, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert found == {(n, n): 0 for n in range(40)} | {(100, 100): 0, (102, 102): 0, (103, 103): 1}
+
+
 def test_mixing_meets_the_margins(spark, odd, empty):
     rng = random.Random(2)
     made = [(i, "w " * rng.randint(100, 120), rng.choice(["en", "en", "en", "de", None]), rng.choice(["hot", "hot", "hot", "s1", "s2", None])) for i in range(6000)]
