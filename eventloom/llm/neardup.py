@@ -392,7 +392,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
         if not pairs.limit(1).count():
             if sets is None:
                 return alone.select("class", "component").limit(0)
-            break
+            # What the forests of a leaf have left out may not be tried yet: the last round proposes it.
+            continue
         if sets is None:
             ends = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
             sets = stored(full_sets(docs, classes.join(ends, "class"), k), "sets")

@@ -103,6 +103,31 @@ def test_near_duplicates_match_brute_force(spark, odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_last_round_runs_after_an_empty_one(spark, monkeypatch):
+    # Pairs a1-a2 and b1-b2 are close; of the cross pairs only a2-b2 is a link, and its sketches look the least alike.
+    def texts(seed):
+        part = lambda name, n: [f"{name}{seed}x{i}" for i in range(n)]
+        core = part("c", 600)
+        sides = {"a1": ("p", "q", 44), "a2": ("p", "r", 40), "b1": ("s", "t", 44), "b2": ("s", "u", 40)}
+        return [" ".join(core + part(both, 60) + part(own, n)) for both, own, n in sides.values()]
+
+    least, cross = 171, ((0, 2), (0, 3), (1, 2), (1, 3))
+    for seed in range(200):
+        value = texts(seed)
+        made = neardup.sketch_slice(pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array(value)], ["doc_id", "text"]), 1)
+        sketch = [np.frombuffer(x.as_py(), np.uint16) for x in made.column("sketch")]
+        *others, link = [int((sketch[a] == sketch[b]).sum()) for a, b in cross]
+        if least <= link < min(others):
+            break
+    names = made.column("class").to_pylist()
+    sets = [set(v.split()) for v in value]
+    assert [4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]) for a, b in cross] == [False, False, False, True]
+    leaves = [(1, names[0]), (1, names[1]), (2, names[2]), (2, names[3]), *[(3, n) for n in names]]
+    monkeypatch.setattr(neardup, "leaves", lambda _: spark.createDataFrame(leaves, "node long, class long"))
+    found = neardup.near_duplicates(spark.createDataFrame(list(enumerate(value)), "doc_id long, text string"), 1, 75).collect()
+    assert {r.component_id for r in found} == {0}
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(200, 200), (None, 3)]
     found = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
