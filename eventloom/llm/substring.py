@@ -205,7 +205,9 @@ def repeated_intervals(docs: DataFrame, k: int = 50, hash_bytes: int | None = No
     ranges, width = max(1, math.ceil(windows / RANGE_WINDOWS)), hash_bytes or hash_width(windows)
     asked = by_slices(keyed(docs), lambda part: split_slice(part, k, ranges, width), REQUESTS)
     answers = asked.groupBy("range").applyInArrow(answer, ANSWERS)
-    return answers.groupBy("slice").applyInArrow(lambda table: merged(table, k), FOUND)
+    found = answers.groupBy("slice").applyInArrow(lambda table: merged(table, k), FOUND)
+    # Equal rows of several slices have equal intervals, found once in each.
+    return found.dropDuplicates(["doc_id", "text_key"])
 
 
 def kept_slice(batch: pa.RecordBatch) -> pa.RecordBatch:

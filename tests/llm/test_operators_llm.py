@@ -54,6 +54,15 @@ def test_substring_matches_brute_force(odd, empty, width):
     assert substring.hash_width(1e8) == 8 and substring.hash_width(1e13) == 12
 
 
+def test_substring_gives_a_row_for_each_of_equal_rows_in_several_slices(spark):
+    made = [(1, "a b c d e f"), (8, "z"), (9, "z")]
+    for n in range(3):  # slices of different content, each a partition of its own
+        made += [(10 + n, "z"), (2, "a b c d e f x"), (None, "a b c d e f y")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(made, 4), "doc_id long, text string")
+    single = [(1, 6, 0, "a b c d e f"), *[(n, 1, 0, "z") for n in range(8, 13)]]
+    assert rows(substring.without_repeats(docs, 4)) == sorted([*single, *[(2, 7, 6, "x")] * 3, *[(None, 7, 6, "y")] * 3], key=str)
+
+
 def test_finer_sketch_keeps_links_and_drops_distant_pairs():
     rng = np.random.default_rng(3)
     for size in (1, 4, 9, 60, 500, 6000):
