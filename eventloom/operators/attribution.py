@@ -15,9 +15,10 @@ def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, chunk: str
     Both inputs have (event_id, user_id, ts). A click counts from its own time until
     just before ``horizon`` has passed. The result has one row per purchase, matched or
     not, and is found by one ordered sweep over clicks, their expiries and purchases;
-    click-purchase pairs are never formed.
+    click-purchase pairs are never formed. A purchase without a user or a time has no click.
     """
     key = "user_id"
+    clicks = clicks.where(F.col(key).isNotNull() & F.col("ts").isNotNull())
     seen = clicks.select(
         key,
         F.col("ts").alias("_at"),

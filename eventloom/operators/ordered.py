@@ -4,8 +4,9 @@ A plain ``OVER (PARTITION BY user ORDER BY ts)`` puts all rows of a user into on
 task. Here a key's rows are cut into time chunks: what earlier chunks contribute is
 aggregated first (combined on the map side, one row per key and chunk), carried
 forward over those few rows, and joined back, so that the row-level window only ever
-spans one chunk. The busier the busiest key, the shorter the chunks. Keys and times must
-not be null, which validation guarantees.
+spans one chunk. The busier the busiest key, the shorter the chunks. No row is lost: rows
+without a key form a group of their own, as in ``PARTITION BY``, and rows without a time
+come after all others of their key, as with ``NULLS LAST``.
 """
 
 from __future__ import annotations
@@ -43,21 +44,23 @@ def carried_in(df: DataFrame, key: str, ts: str, chunk: str | None, sums: dict,
     per_chunk = chunked.groupBy(key, CHUNK).agg(
         *[F.sum(e).alias(n) for n, e in sums.items()], *[F.max(e).alias(n) for n, e in maxima.items()]
     )
-    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(F.col(CHUNK).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     before = per_chunk.select(
-        key,
-        CHUNK,
+        F.col(key).alias("_carried_key"),
+        F.col(CHUNK).alias("_carried_chunk"),
         *[F.sum(n).over(earlier).alias(n) for n in sums],
         *[F.max(n).over(earlier).alias(n) for n in maxima],
     )
-    return chunked.join(before, [key, CHUNK])
+    same = F.col(key).eqNullSafe(F.col("_carried_key")) & F.col(CHUNK).eqNullSafe(F.col("_carried_chunk"))
+    rest = [c for c in df.columns if c not in (key, CHUNK)]
+    return chunked.join(before, same, "left").select(key, CHUNK, *rest, *sums, *maxima)
 
 
 def previous_time(df: DataFrame, key: str, ts: str, tie: str, chunk: str | None = None) -> DataFrame:
     """Add ``previous_ts``, the key's preceding event time, and ``gap_seconds``."""
     carried = carried_in(df, key, ts, chunk, {}, {"_before": F.col(ts)})
     within = Window.partitionBy(key, CHUNK).orderBy(ts, tie)
-    previous = F.coalesce(F.lag(ts).over(within), F.col("_before"))
+    previous = F.when(F.row_number().over(within) == 1, F.col("_before")).otherwise(F.lag(ts).over(within))
     return (
         carried.withColumn("previous_ts", previous)
         .withColumn("gap_seconds", seconds_between(F.col(ts), F.col("previous_ts")))
@@ -81,7 +84,7 @@ def trailing_count(df: DataFrame, key: str, ts: str, horizon: str, name: str, ch
 
     Every event counts +1 when it arrives and -1 once it is out of reach; the running
     sum of those steps is the count. That needs two rows per event, not a frame that
-    holds a hot key's whole trailing window.
+    holds a hot key's whole trailing window. Events without a time count each other.
     """
     arrivals = df.withColumn("_at", F.col(ts)).withColumn("_step", F.lit(1)).withColumn("_phase", F.lit(0))
     expiries = df.select(

@@ -57,6 +57,29 @@ def test_trailing_count(spark, rows, chunk):
         assert r.n == len(near)
 
 
+@pytest.mark.parametrize("chunk", [None, "minute"])
+def test_rows_without_user_or_time_stay(spark, chunk):
+    made = [(i, u, None if m is None else START + timedelta(minutes=m), kind, 1 + i) for i, (u, m, kind) in enumerate([
+        (1, 0, "click"), (1, 5, "purchase"), (1, None, "purchase"), (1, None, "click"),
+        (None, 0, "click"), (None, 7, "purchase"), (None, None, "purchase"), (2, None, "purchase"),
+    ])]
+    df = frame(spark, made)
+    df.createOrReplaceTempView("incomplete")
+    expected = spark.sql(
+        """SELECT event_id, lag(ts) OVER o AS previous_ts, sum(value) OVER o AS total FROM incomplete
+        WINDOW o AS (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id)"""
+    )
+    gaps = ordered.previous_time(df, "user_id", "ts", "event_id", chunk).select("event_id", "previous_ts")
+    totals = ordered.running_total(df, "user_id", "ts", "event_id", F.col("value"), "total", chunk).select("event_id", "total")
+    assert sorted(gaps.collect(), key=lambda r: r.event_id) == sorted(expected.select("event_id", "previous_ts").collect(), key=lambda r: r.event_id)
+    assert sorted(totals.collect()) == sorted(expected.select("event_id", "total").collect())
+    counted = ordered.trailing_count(df, "user_id", "ts", "6 minutes", "n", chunk)
+    assert sorted((r.event_id, r.n) for r in counted.collect()) == [(0, 1), (1, 2), (2, 2), (3, 2), (4, 1), (5, 1), (6, 1), (7, 1)]
+    clicks, purchases = df.where("event_type = 'click'"), df.where("event_type = 'purchase'")
+    found = attribution.last_touch(clicks, purchases, "3 hours", chunk).collect()
+    assert sorted((r.purchase_id, r.click_id, r.clicks_in_reach) for r in found) == [(1, 0, 1), (2, None, 0), (5, None, 0), (6, None, 0), (7, None, 0)]
+
+
 def test_third_of_three_rapid_purchases(spark):
     rows = [(i, 1, START + timedelta(seconds=30 * i), "purchase", 1) for i in range(3)]
     counted = ordered.trailing_count(frame(spark, rows), "user_id", "ts", "60 seconds", "n").orderBy("ts").collect()
