@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontam, mixing, neardup, pii, quality, rules, sql, substring, tokens, toxicity, warc
+from eventloom.llm import (
+    decontam,
+    lexical,
+    mixing,
+    neardup,
+    pii,
+    quality,
+    rules,
+    sql,
+    structure,
+    substring,
+    tokens,
+    topk,
+    toxicity,
+    warc,
+)
 from eventloom.llm.text import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +112,22 @@ def op1_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Documents drawn so that languages, topics and flattened sources meet their shares."""
     return mixing.mixed(table(spark, folder, "documents")).drop("text")
+
+
+@query("op11_ranked_search", sql.RANKED_SEARCH)
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
+
+
+@query("op12_structure_repair", sql.STRUCTURE_REPAIR)
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged conversations with the cheapest edits that make them legal."""
+    return structure.repairs(structure.damaged(table(spark, folder, "conversations")))
+
+
+@query("op13_exact_top_k", sql.EXACT_TOP_K)
+def op13_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The five rows of largest inner product for every 50th vector."""
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)

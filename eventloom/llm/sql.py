@@ -120,3 +120,97 @@ SELECT record_id, warc_type, refers_to, target_uri, '2024-02-29T00:00:00Z' AS wa
     'sha256:' || sha256(block) AS block_digest, 'sha256:' || sha256(block) AS payload_digest, CAST(strlen(block) AS BIGINT) AS length
 FROM r
 """
+
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark),
+p AS (
+    SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d)
+    WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+t AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, size GROUP BY term, n_docs),
+s AS (
+    SELECT item_id, r, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM q JOIN p USING (term) JOIN t USING (term), size GROUP BY item_id, r, doc_id),
+ranks AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0)
+SELECT * FROM ranks WHERE rank <= 10
+"""
+
+EXACT_TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id IS DISTINCT FROM c.vec_id WHERE q.vec_id % 50 = 0),
+ranks AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s)
+SELECT * FROM ranks WHERE rank <= 5
+"""
+
+STRUCTURE_REPAIR = r"""
+WITH RECURSIVE tab AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS t),
+f AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295,
+        list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fate
+    FROM conversations, tab),
+d AS (
+    SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+        CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM f, unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copies(copy) WHERE fate <> 0),
+i AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS k FROM i),
+o AS (
+    SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN k > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+    FROM k),
+-- States: 0 nothing yet, 1 after the system turn, 2 after a user, 3 after an assistant.
+ins(q, q1, cost, letters, turns) AS (VALUES (0, 0, 0, '', ''), (0, 2, 3, 'I', 'user:'), (0, 3, 6, 'II', 'user:' || chr(10) || 'assistant:'),
+    (1, 1, 0, '', ''), (1, 2, 3, 'I', 'user:'), (1, 3, 6, 'II', 'user:' || chr(10) || 'assistant:'),
+    (2, 2, 0, '', ''), (2, 3, 3, 'I', 'assistant:'), (3, 3, 0, '', ''), (3, 2, 3, 'I', 'user:')),
+keeps(q, initial, q1) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+free(q, role, q1) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+ways AS (
+    SELECT conv_id, i, q, q AS q1, 4 AS cost, 'D' AS letter, NULL AS turn FROM o, range(4) AS states(q)
+    UNION ALL SELECT conv_id, i, q, q1, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', role || ':' || text
+        FROM o JOIN keeps USING (initial) WHERE fault IN ('', 'truncated')
+    UNION ALL SELECT conv_id, i, q, q1, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', free.role || ':' || text
+        FROM o, free WHERE fault IN ('', 'truncated')),
+dp AS (
+    SELECT conv_id, 0::BIGINT AS i, 0::BIGINT AS q, {'cost': 0::BIGINT, 'audit': '', 'turns': ''} AS best FROM conversations GROUP BY conv_id
+    UNION ALL
+    SELECT dp.conv_id, ways.i, ways.q1, min({'cost': best.cost + ins.cost + ways.cost,
+        'audit': best.audit || ins.letters || ways.letter,
+        'turns': best.turns || CASE WHEN ins.turns = '' THEN '' WHEN dp.q = 0 THEN ins.turns ELSE chr(10) || ins.turns END
+            || CASE WHEN ways.turn IS NULL THEN '' WHEN ins.q1 = 0 THEN ways.turn ELSE chr(10) || ways.turn END})
+    FROM dp JOIN ins ON ins.q = dp.q
+        JOIN ways ON ways.conv_id IS NOT DISTINCT FROM dp.conv_id AND ways.i = dp.i + 1 AND ways.q = ins.q1
+    GROUP BY dp.conv_id, ways.i, ways.q1),
+total AS (
+    SELECT conv_id, count(i) AS n, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+        coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN (SELECT conv_id AS o_id, o.* EXCLUDE (conv_id) FROM o) r
+        ON c.conv_id IS NOT DISTINCT FROM r.o_id GROUP BY conv_id),
+ends AS (
+    SELECT dp.conv_id, min({'cost': best.cost + ins.cost, 'audit': best.audit || ins.letters,
+        'turns': best.turns || CASE WHEN ins.turns = '' THEN '' WHEN dp.q = 0 THEN ins.turns ELSE chr(10) || ins.turns END}) AS best
+    FROM dp JOIN ins ON ins.q = dp.q JOIN total ON total.conv_id IS NOT DISTINCT FROM dp.conv_id AND total.n = dp.i
+    WHERE ins.q1 IN (0, 3) GROUP BY dp.conv_id)
+SELECT total.conv_id, CAST(gaps AS BIGINT) AS gaps, blank, duplicate, truncated, illegal, best.cost AS cost, best.audit AS audit,
+    sha256(best.turns) AS repaired_sha256
+FROM total JOIN ends ON total.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""

@@ -62,13 +62,14 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """Words of the texts of one slice: ``start`` and ``stop`` byte offsets, and per text
-    the index ``first[d]`` of its first word (``first[-1]`` is the number of words)."""
+    the index ``first[d]`` of its first word (``first[-1]`` is the number of words).
+    ``gaps`` tells which bytes lie between words."""
 
-    def __init__(self, column, lower: bool = False):
+    def __init__(self, column, lower: bool = False, gaps: np.ndarray = SPACE):
         self.data, self.offsets = text_buffer(column)
         if lower:
             self.data = LOWER[self.data]
-        inside = ~SPACE[self.data]
+        inside = ~gaps[self.data]
         before = np.ones(len(inside), bool)
         before[1:] = ~inside[:-1]
         after = np.ones(len(inside), bool)
