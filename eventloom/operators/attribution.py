@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.scalar import interval, percent
-from eventloom.operators.ordered import CHUNK, carried_in
+from eventloom.operators.ordered import CHUNK, GROUP, MAX_CHUNK_ROWS, carried_in
 
 
-def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, chunk: str | None = None) -> DataFrame:
+def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, max_rows: int = MAX_CHUNK_ROWS) -> DataFrame:
     """One row per purchase: the latest click in ``horizon`` and how many there were.
 
     Both inputs have (event_id, user_id, ts). A click counts from its own time until
@@ -38,9 +38,9 @@ def last_touch(clicks: DataFrame, purchases: DataFrame, horizon: str, chunk: str
     )
     sweep = seen.unionByName(expired, allowMissingColumns=True).unionByName(bought, allowMissingColumns=True)
     carried = carried_in(
-        sweep, key, "_at", chunk, {"_steps": F.col("_step")}, {"_latest": F.col("_click")}
+        sweep, key, "_at", {"_steps": F.col("_step")}, {"_latest": F.col("_click")}, max_rows
     )
-    upto = Window.partitionBy(key, CHUNK).orderBy("_at", "_phase").rangeBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*GROUP, CHUNK).orderBy("_at", "_phase").rangeBetween(Window.unboundedPreceding, 0)
     swept = carried.select(
         "*",
         F.coalesce(F.max("_click").over(upto), F.col("_latest")).alias("_last"),

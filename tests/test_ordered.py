@@ -33,7 +33,7 @@ def rows():
     return sample(900, 5)
 
 
-@pytest.mark.parametrize("chunk", ["day", "hour", "minute"])
+@pytest.mark.parametrize("chunk", [2_000_000, 60, 1])
 def test_gaps_and_running_totals(spark, rows, chunk):
     df = frame(spark, rows)
     gaps = {r.event_id: r.previous_ts for r in ordered.previous_time(df, "user_id", "ts", "event_id", chunk).collect()}
@@ -48,7 +48,7 @@ def test_gaps_and_running_totals(spark, rows, chunk):
     assert len(gaps) == len(sums) == len(rows)
 
 
-@pytest.mark.parametrize("chunk", ["day", "minute"])
+@pytest.mark.parametrize("chunk", [2_000_000, 40, 1])
 def test_trailing_count(spark, rows, chunk):
     counted = ordered.trailing_count(frame(spark, rows), "user_id", "ts", "6 hours", "n", chunk).collect()
     assert len(counted) == len(rows)
@@ -57,7 +57,7 @@ def test_trailing_count(spark, rows, chunk):
         assert r.n == len(near)
 
 
-@pytest.mark.parametrize("chunk", [None, "minute"])
+@pytest.mark.parametrize("chunk", [2_000_000, 1])
 def test_rows_without_user_or_time_stay(spark, chunk):
     made = [(i, u, None if m is None else START + timedelta(minutes=m), kind, 1 + i) for i, (u, m, kind) in enumerate([
         (1, 0, "click"), (1, 5, "purchase"), (1, None, "purchase"), (1, None, "click"),
@@ -86,7 +86,7 @@ def test_third_of_three_rapid_purchases(spark):
     assert [r.n for r in counted] == [1, 2, 3]
 
 
-@pytest.mark.parametrize("chunk", ["day", "hour"])
+@pytest.mark.parametrize("chunk", [2_000_000, 70, 1])
 def test_last_touch(spark, rows, chunk):
     df = frame(spark, rows)
     clicks, purchases = df.where("event_type = 'click'"), df.where("event_type = 'purchase'")
@@ -102,12 +102,38 @@ def test_last_touch(spark, rows, chunk):
         assert (r.click_ts, r.click_id) == (max(near) if near else (None, None))
 
 
-def test_chunks_get_shorter_for_busy_keys(spark, rows):
+def test_chunks_fit_each_key_and_month(spark):
+    """A hot user's month is cut by its own counts, other users and its quiet months stay whole."""
+    hot = [(i, 1, datetime(2024, 1, 31, 20) + timedelta(seconds=20 * i), "click", 1) for i in range(1000)]
+    burst = [(2000 + i, 3, datetime(2024, 3, 5, 12, 0, 7), "click", 1) for i in range(500)]
+    calm = [(3000 + i, 2, datetime(2024, 1, 1) + timedelta(days=i), "click", 1) for i in range(60)]
+    df = frame(spark, hot + burst + calm)
+    placed = ordered.carried_in(df, "user_id", "ts", {"_rows": F.lit(1)}, {}, max_rows=150)
+    chunks = {}
+    for r in placed.collect():
+        chunks.setdefault((r.user_id, r["_month"] % 12), {}).setdefault(r["_chunk"], []).append(r["_rows"] or 0)
+    assert {k: len(v) for k, v in chunks.items()} == {(1, 1): 4, (1, 2): 2, (3, 3): 1, (2, 1): 1, (2, 2): 1}
+    assert all(len(rows) < 150 + 180 for rows in chunks[1, 1].values())
+    before = 0
+    for month in (1, 2):
+        for _, rows in sorted(chunks[1, month].items()):
+            assert set(rows) == {before}
+            before += len(rows)
+    totals = ordered.running_total(df, "user_id", "ts", "event_id", F.col("value"), "total", 150)
+    assert sorted(r.total for r in totals.where("user_id = 3").collect()) == list(range(1, 501))
+
+
+def test_ordered_plans_run_nothing_early(spark, rows):
+    """Planning starts no job, and rows are shuffled once between the source and the row-level window."""
     df = frame(spark, rows)
-    assert ordered.fitting_chunk(df, "user_id", "ts") == "month"
-    assert ordered.fitting_chunk(df, "user_id", "ts", max_rows=100) == "hour"
-    assert ordered.fitting_chunk(df, "user_id", "ts", max_rows=1) == "second"
-    assert ordered.fitting_chunk(df.limit(0), "user_id", "ts") == "month"
+    jobs = lambda: max(spark.sparkContext.statusTracker().getJobIdsForGroup(None), default=-1)
+    before = jobs()
+    gaps = ordered.previous_time(df, "user_id", "ts", "event_id")
+    gaps._jdf.queryExecution().executedPlan()
+    assert jobs() == before
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    above_join = plan[plan.index("Window") : plan.index("SortMergeJoin")] if "SortMergeJoin" in plan else ""
+    assert "Exchange" not in above_join
 
 
 def test_gap_sessions_break_only_beyond_the_gap(spark):
