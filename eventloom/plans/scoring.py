@@ -97,13 +97,29 @@ def anomaly_score(spark, folder):
     return anomalies.scored(joined, rules).select("event_id", "user_id", "score", "flagged", "rules")
 
 
+FOREST_FEATURES = ["value", "hour", "k"]
+
+
+def forest_rows(spark, folder):
+    df = spread(driver.events(spark, folder))
+    return df.select("event_id", "value", F.hour("ts").alias("hour"), driver.feature().alias("k"))
+
+
 @query("anomaly_iforest")
 def anomaly_iforest(spark, folder):
-    df = spread(driver.events(spark, folder))
-    features = ["value", "hour", "k"]
-    numbers = df.select("event_id", "value", F.hour("ts").alias("hour"), driver.feature().alias("k"))
-    trees = forest.fit_forest(numbers, features)
-    return forest.score_forest(numbers, trees, features).select("event_id", "value", "isolation_score")
+    numbers = forest_rows(spark, folder)
+    trees = forest.fit_forest(numbers, FOREST_FEATURES, "event_id")
+    return forest.score_forest(numbers, trees, FOREST_FEATURES).select("event_id", "value", "isolation_score")
+
+
+@query(
+    "iforest_summary",
+    """SELECT 100::BIGINT AS trees, least(256, count(*)) AS least_rows, least(256, count(*)) AS most_rows, true AS whole_trees
+    FROM events WHERE value IS NOT NULL""",
+)
+def iforest_summary(spark, folder):
+    """The forest itself: every tree sees a full sample of the whole table."""
+    return forest.forest_summary(forest.fit_forest(forest_rows(spark, folder), FOREST_FEATURES, "event_id"))
 
 
 @query(

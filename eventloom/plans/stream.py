@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import anomalies, metrics
 from eventloom.plans import driver
-from eventloom.plans.batch import sessions_sql
+from eventloom.plans.batch import LAST_TOUCH, sessions_sql
 from eventloom.plans.driver import MESSAGES_SQL
 from eventloom.plans.registry import query
 from eventloom.session import prepare, workspace
@@ -132,22 +132,19 @@ def stream_enrich(spark, folder):
 
 @query(
     "stream_click_to_purchase",
-    """WITH mark AS (SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase'))
-        - INTERVAL 1 HOUR AS closed FROM events),
-    c AS (SELECT event_id, user_id, ts, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS minute_end
-        FROM events, mark WHERE event_type = 'click' AND date_trunc('minute', ts) + INTERVAL 1 MINUTE <= closed)
-    SELECT p.event_id AS purchase_id, p.user_id, p.ts AS purchase_ts, arg_max(c.event_id, (c.ts, c.event_id)) AS click_id,
-        max(c.ts) AS click_ts, count(*) AS clicks_in_reach
-    FROM events p JOIN c ON c.user_id = p.user_id AND minute_end - INTERVAL 1 MICROSECOND <= p.ts
-        AND minute_end - INTERVAL 1 MICROSECOND > p.ts - INTERVAL 24 HOUR
-    WHERE p.event_type = 'purchase' GROUP BY ALL""",
+    LAST_TOUCH
+    + """SELECT * FROM touched WHERE purchase_ts <= (SELECT date_trunc('millisecond',
+        least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase'))) - INTERVAL 1 HOUR FROM events)""",
 )
 def stream_click_to_purchase(spark, folder):
-    """Two streams with an interval join; clicks count once their minute is closed."""
+    """Two streams with an interval join: purchases that the watermark has passed, with all their clicks."""
     clicks, purchases = of_type(events(spark, folder), "click"), of_type(events(spark, folder), "purchase")
-    matches = joins.clicks_before_purchases(clicks, purchases, "1 hour", "24 hours")
-    result = joins.attributed(collected(matches, spark, "attribution"))
-    return naive(result, "purchase_ts", "click_ts")
+    space = workspace(spark, "attribution")
+    parts = joins.clicks_before_purchases(clicks, purchases, "1 hour", "24 hours")
+    run = runs.run_available(runs.append_files(parts, f"{space}/out", f"{space}/checkpoint"))
+    stored = spark.read.schema(parts.schema).parquet(f"{space}/out")
+    final = F.col("purchase_ts") <= F.lit(runs.watermark_of(run)).cast("timestamp")
+    return naive(joins.attributed(stored.where(final)), "purchase_ts", "click_ts")
 
 
 @query(

@@ -67,6 +67,12 @@ def run_available(writer: DataStreamWriter, state_partitions: int | None = None)
     return query
 
 
+def watermark_of(query: StreamingQuery) -> str | None:
+    """Watermark of the last batch, as ISO text; None if the stream has none or saw no event."""
+    reported = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in (p["eventTime"] or {})]
+    return reported[-1] if reported else None
+
+
 def run_for(
     writer: DataStreamWriter, every: str, seconds: float | None = None, state_partitions: int | None = None
 ) -> StreamingQuery:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -57,9 +58,10 @@ def test_unusual_places_and_hours(spark):
 def test_forest_finds_the_outlier(spark):
     rows = [(i, float(i % 20), float(i % 11)) for i in range(2000)] + [(9999, 500.0, -300.0), (8888, None, 1.0)]
     df = spark.createDataFrame(rows, "event_id int, a double, b double")
-    nodes = forest.fit_forest(df, ["a", "b"], trees=30, sample=128)
-    assert nodes.count() <= 30 * (2 * 128 - 1)
-    scored = forest.score_forest(df, nodes, ["a", "b"], sample=128)
+    # The outlier enters an eighth of the samples; 30 trees of 128 rows would meet it about twice.
+    nodes = forest.fit_forest(df, ["a", "b"], "event_id", trees=100, sample=256)
+    assert nodes.count() <= 100 * (2 * 256 - 1)
+    scored = forest.score_forest(df, nodes, ["a", "b"])
     assert scored.count() == len(rows)
     known = scored.where("isolation_score IS NOT NULL")
     # The outlier may have missed the sample; it must still stand out.
@@ -99,6 +101,34 @@ def test_features_stop_at_the_cutoff(spark):
     assert sorted(before) == sorted(churn.labelled(later, F.col("event_type") == "purchase").collect())
 
 
+def test_forest_is_the_same_for_any_partitioning(spark):
+    rng = random.Random(4)
+    # Many copies of the same values, ids that repeat, and rows without a feature.
+    rows = [(i // 2, float(rng.choice([0, 0, 0, 1, 2])), rng.random() if i % 5 else 0.5) for i in range(3000)]
+    rows += [(None, 1.0, 1.0), (5000, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, a double, b double")
+    nodes = [
+        sorted(map(tuple, forest.fit_forest(part, ["a", "b"], "id", trees=20, sample=64).collect()))
+        for part in (df.coalesce(1), df.repartition(7), df.repartition(13, "a"))
+    ]
+    assert nodes[0] == nodes[1] == nodes[2]
+    samples = forest.tree_samples(df.repartition(5), ["a", "b"], "id", trees=20, sample=64).toPandas()
+    assert (samples.groupby("tree").size() == 64).all()
+    # Trees sample on their own, from all rows: about 20 * 64 draws meet many different ids.
+    assert samples["id"].nunique() > 500
+    ids = df.where("a IS NOT NULL").select("id", F.xxhash64(F.lit(7), "id").alias("h")).toPandas()
+    ranks = forest.tree_ranks(ids["h"].to_numpy(), 20, 7)
+    for tree in (0, 11):
+        smallest = sorted(ranks[:, tree])[:64]
+        drawn = samples[samples.tree == tree]["rank"].to_numpy().view("uint64") ^ (1 << 63)
+        assert sorted(drawn) == smallest
+    few = forest.fit_forest(df.limit(10), ["a", "b"], "id", trees=3, sample=64)
+    summary = forest.forest_summary(few).first()
+    assert (summary.trees, summary.least_rows, summary.most_rows, summary.whole_trees) == (3, 10, 10, True)
+    empty = df.where("false")
+    assert forest.score_forest(df, forest.fit_forest(empty, ["a", "b"], "id"), ["a", "b"]).where("isolation_score IS NOT NULL").count() == 0
+
+
 def test_price_ranges(spark):
     catalog = spark.createDataFrame(PRODUCTS, "product_id string, name string, category string, low int, high int")
     sold = [("prod_001", 50000.0, True), ("prod_004", 1000.01, False), ("prod_005", 2000.0, True), ("prod_999", 1.0, False)]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import lookup, metrics
 from eventloom.sources import files, kafka, store
-from eventloom.streaming import monitor, runs, state, tables, windows
+from eventloom.streaming import joins, monitor, runs, state, tables, windows
 
 START = datetime(2024, 1, 1)
 EVENT = "event_id int, user_id bigint, ts timestamp, event_type string, value double"
@@ -183,3 +183,25 @@ def test_topic_options():
 
 def test_peek_reads_a_few(spark):
     assert kafka.peek(spark.range(100)).count() == 5
+
+
+def test_stream_attribution_is_exact(spark, space):
+    """Clicks of the purchase's own minute and of the minute at the far end count; nobody is left out."""
+    day = timedelta(days=1)
+    at = START + timedelta(hours=30, seconds=30)
+    clicks = [
+        (1, 1, at - timedelta(seconds=2)), (2, 1, at - day), (3, 1, at - day + timedelta(seconds=1)),
+        (4, 1, at - timedelta(minutes=7)), (5, 1, at - timedelta(minutes=7, seconds=3)), (6, 1, at + timedelta(seconds=1)),
+        (7, 2, at - day - timedelta(seconds=1)), (8, 3, at), (9, 9, at + timedelta(hours=4)),
+    ]
+    bought = [(100, 1, at), (101, 2, at), (102, 3, at), (103, 4, at), (104, 1, at.replace(second=0)), (109, 9, at + timedelta(hours=4))]
+    rows = [(i, u, t, "click", 1.0) for i, u, t in clicks] + [(i, u, t, "purchase", 1.0) for i, u, t in bought]
+    arrive(spark, f"{space}/in", *[[r for r in rows if (r[2] < at - timedelta(hours=1)) == first] for first in (True, False)])
+    source = stream(spark, f"{space}/in")
+    parts = joins.clicks_before_purchases(source.where("event_type = 'click'"), source.where("event_type = 'purchase'"), "1 hour", "24 hours")
+    with_settings = runs.append_files(parts, f"{space}/out", f"{space}/checkpoint")
+    run = runs.run_available(with_settings, state_partitions=2)
+    assert runs.watermark_of(run).startswith("2024-01-02T09:00:30")
+    found = joins.attributed(spark.read.schema(parts.schema).parquet(f"{space}/out")).collect()
+    got = {r.purchase_id: (r.click_id, r.clicks_in_reach) for r in found}
+    assert got == {100: (1, 4), 101: (None, 0), 102: (8, 1), 103: (None, 0), 104: (4, 4), 109: (9, 1)}
