@@ -275,7 +275,7 @@ def store_events_daily(spark, folder):
 def route_topics(spark, folder):
     """Failures stay on the input topic, outliers go to anomalies, the rest to analytics."""
     df = driver.events(spark, folder)
-    scored = anomalies.with_z_score(df, anomalies.value_baseline(df))
+    scored = anomalies.with_z_score(df, anomalies.baseline_map(anomalies.value_baseline(df)))
     routed = store.route(scored, F.col("z") > anomalies.Z_LIMIT, F.col("event_type") != "error")
     return routed.groupBy("topic").agg(F.count("*").alias("n"))
 

@@ -24,7 +24,7 @@ z AS (SELECT e.*, (e.value - s.s / s.n) / sqrt((s.q - s.s * s.s / s.n) / (s.n -
 )
 def anomaly_zscore(spark, folder):
     df = driver.events(spark, folder)
-    scored = anomalies.with_z_score(df, anomalies.value_baseline(df)).where(F.col("z") > anomalies.Z_LIMIT)
+    scored = anomalies.with_z_score(df, anomalies.baseline_map(anomalies.value_baseline(df))).where(F.col("z") > anomalies.Z_LIMIT)
     return scored.select("event_id", "user_id", "event_type", "value", F.round("z", 6).alias("z"))
 
 
@@ -62,39 +62,63 @@ def unusual_location(spark, folder):
     return found.select("event_id", "user_id", "country", "home_country")
 
 
+# Events with the country of their user, some moved abroad, and some that state a score of their own.
+PLACED_SQL = f"""placed AS (SELECT e.*, {K} AS k, CASE WHEN {K} >= 90 THEN 'ABROAD' ELSE n_name END AS country,
+        CASE WHEN {K} >= 97 THEN {K} / 100.0::DOUBLE END AS stated
+    FROM events e LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
+RULES_SQL = """SELECT event_id, user_id, greatest(CASE WHEN high_value THEN 0.95 WHEN bulk OR rapid THEN 0.85 WHEN odd_hour OR away THEN 0.8
+            ELSE 0 END::DOUBLE, coalesce(stated, 0)) AS score, high_value OR bulk OR rapid OR odd_hour OR away OR coalesce(stated >= 0.7, false) AS flagged,
+        concat_ws(',', CASE WHEN high_value THEN 'high_value' END, CASE WHEN bulk THEN 'bulk' END,
+            CASE WHEN rapid THEN 'rapid_purchases' END, CASE WHEN odd_hour THEN 'unusual_hour' END,
+            CASE WHEN away THEN 'unusual_location' END, CASE WHEN stated >= 0.7 THEN 'stated' END) AS rules
+    FROM hits"""
+
+
+def placed_events(spark, folder, df):
+    """Events with country and metadata: those with ``k`` of 90 or more come from abroad, those with 97 or more state a score."""
+    joined = enrich.with_users(df, driver.users(spark, folder).select("user_id", "country"))
+    k = driver.feature()
+    own = F.concat(F.lit('{"anomaly_score": '), (k / 100).cast("string"), F.lit("}"))
+    return joined.withColumns(
+        {"country": F.when(k >= 90, "ABROAD").otherwise(F.col("country")), "metadata": F.when(k >= 97, own).otherwise(F.col("props"))}
+    )
+
+
 @query(
     "anomaly_score",
     Z_SQL
     + ", "
     + HOURS_SQL
-    + f""", r AS (SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
+    + ", "
+    + PLACED_SQL
+    + """, r AS (SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts
         RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS rapid FROM events WHERE event_type = 'purchase'),
-    hits AS (SELECT z.event_id, z.user_id, z.z > 3 AS high_value, {K} + 1 >= 50 AND z.event_type = 'purchase' AS bulk,
-        coalesce(rapid >= 3, false) AS rapid, hour_events::DOUBLE / user_events <= 0.02 AND user_events >= 20 AS odd_hour
-        FROM z LEFT JOIN r USING (event_id) JOIN shares s ON z.user_id = s.user_id AND hour(z.ts) = s.hour)
-    SELECT event_id, user_id, CASE WHEN high_value THEN 0.95 WHEN bulk OR rapid THEN 0.85 WHEN odd_hour THEN 0.8
-            ELSE 0 END::DOUBLE AS score, high_value OR bulk OR rapid OR odd_hour AS flagged,
-        concat_ws(',', CASE WHEN high_value THEN 'high_value' END, CASE WHEN bulk THEN 'bulk' END,
-            CASE WHEN rapid THEN 'rapid_purchases' END, CASE WHEN odd_hour THEN 'unusual_hour' END) AS rules
-    FROM hits""",
+    c AS (SELECT user_id, country, count(*) AS n FROM placed GROUP BY ALL),
+    home AS (SELECT user_id, arg_min(country, (-n, country)) AS home_country FROM c GROUP BY 1),
+    hits AS (SELECT z.event_id, z.user_id, z.z > 3 AS high_value, k + 1 >= 50 AND z.event_type = 'purchase' AS bulk,
+        coalesce(rapid >= 3, false) AS rapid, hour_events::DOUBLE / user_events <= 0.02 AND user_events >= 20 AS odd_hour,
+        country <> home_country AS away, stated
+        FROM z JOIN placed USING (event_id) LEFT JOIN r USING (event_id) JOIN home ON home.user_id = z.user_id
+            JOIN shares s ON z.user_id = s.user_id AND hour(z.ts) = s.hour)
+    """
+    + RULES_SQL,
 )
 def anomaly_score(spark, folder):
-    """All rules on all events; quantity is ``k + 1`` for purchases."""
-    df = driver.events(spark, folder)
-    is_purchase = F.col("event_type") == "purchase"
-    rapid = ordered.trailing_count(
-        df.where(is_purchase).select("event_id", "user_id", "ts"), "user_id", "ts", "24 hours", "rapid"
-    )
-    rare = anomalies.hour_shares(df)
-    base = anomalies.with_z_score(df, anomalies.value_baseline(df)).withColumn("hour", F.hour("ts"))
-    joined = base.join(rapid.select("event_id", "rapid"), "event_id", "left").join(rare, ["user_id", "hour"])
-    rules = {
-        "high_value": (F.col("z") > anomalies.Z_LIMIT, anomalies.HIGH_VALUE_SCORE),
-        "bulk": (is_purchase & (driver.feature() + 1 >= anomalies.BULK_QUANTITY), anomalies.BULK_SCORE),
-        "rapid_purchases": (F.col("rapid") >= anomalies.RAPID_PURCHASES, anomalies.BULK_SCORE),
-        "unusual_hour": ((F.col("hour_share") <= 0.02) & (F.col("user_events") >= 20), anomalies.OTHER_SCORE),
-    }
-    return anomalies.scored(joined, rules).select("event_id", "user_id", "score", "flagged", "rules")
+    """All rules on all events; quantity is ``k + 1`` for purchases.
+
+    Purchases and the rest go through branches of their own, as only the former need an order in time;
+    habits come in by one join with a row per user.
+    """
+    df = placed_events(spark, folder, driver.events(spark, folder))
+    is_purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    bought = ordered.trailing_count(df.where(is_purchase), "user_id", "ts", "24 hours", "rapid")
+    both = bought.unionByName(df.where(~is_purchase), allowMissingColumns=True)
+    habits = both.join(anomalies.user_profiles(df), "user_id", "left")
+    known = habits.withColumn("hour_events", F.try_element_at("hours", F.hour("ts")))
+    with_z = anomalies.with_z_score(known, anomalies.baseline_map(anomalies.value_baseline(driver.events(spark, folder))))
+    rules = anomalies.usual_rules(is_purchase, driver.feature() + 1)
+    flagged = anomalies.scored(with_z, rules, stated=anomalies.stated_score(F.col("metadata")))
+    return flagged.select("event_id", "user_id", "score", "flagged", "rules")
 
 
 FOREST_FEATURES = ["value", "hour", "k"]

@@ -10,6 +10,7 @@ from eventloom.plans import driver
 from eventloom.plans.batch import LAST_TOUCH, sessions_sql
 from eventloom.plans.driver import MESSAGES_SQL
 from eventloom.plans.registry import query
+from eventloom.plans.scoring import PLACED_SQL, RULES_SQL, Z_SQL, placed_events
 from eventloom.session import prepare, workspace
 from eventloom.sources.files import stream_table
 from eventloom.streaming import joins, runs, state, tables, windows
@@ -165,25 +166,39 @@ def stream_dead_letters(spark, folder):
 
 @query(
     "stream_anomalies",
-    """WITH s AS (SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS s,
-        CAST(sum(CAST(value AS DECIMAL(15,2)) * CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS q FROM events GROUP BY 1)
-    SELECT event_id, user_id, CASE WHEN high THEN 0.95 ELSE 0.85 END::DOUBLE AS score,
-        concat_ws(',', CASE WHEN high THEN 'high_value' END, CASE WHEN bulk THEN 'bulk' END) AS rules
-    FROM (SELECT event_id, user_id, (e.value - s.s / s.n) / sqrt((s.q - s.s * s.s / s.n) / (s.n - 1)) > 3 AS high,
-        e.event_type = 'purchase' AND CAST(json_extract_string(props, '$.k') AS INTEGER) + 1 >= 50 AS bulk
-        FROM events e JOIN s USING (event_type)) WHERE high OR bulk""",
+    Z_SQL
+    + ", "
+    + PLACED_SQL
+    + """, o AS (SELECT *, row_number() OVER so_far AS i, count(*) OVER (PARTITION BY user_id, hour(ts) ORDER BY ts, event_id
+            ROWS UNBOUNDED PRECEDING) AS hour_events, count(*) FILTER (event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts
+            RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS bought
+        FROM placed WINDOW so_far AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    c AS (SELECT a.event_id, b.country, count(*) AS n FROM o a JOIN o b ON a.user_id = b.user_id AND b.i < a.i GROUP BY ALL),
+    home AS (SELECT event_id, arg_min(country, (-n, country)) AS home_country FROM c WHERE country IS NOT NULL GROUP BY 1),
+    hits AS (SELECT o.event_id, o.user_id, z > 3 AS high_value, k + 1 >= 50 AND o.event_type = 'purchase' AS bulk,
+        bought >= 3 AND o.event_type = 'purchase' AS rapid, hour_events::DOUBLE / i <= 0.02 AND i >= 20 AS odd_hour,
+        coalesce(country <> home_country AND i > 5, false) AS away, stated
+        FROM o JOIN z USING (event_id) LEFT JOIN home ON home.event_id = o.event_id)
+    SELECT * FROM ("""
+    + RULES_SQL
+    + ") WHERE flagged",
 )
 def stream_anomalies(spark, folder):
-    """Events flagged in flight against a baseline computed from the stored events."""
-    baseline = anomalies.value_baseline(driver.events(spark, folder))
-    scored = anomalies.with_z_score(events(spark, folder), baseline)
-    bulk = (F.col("event_type") == "purchase") & (driver.feature() + 1 >= anomalies.BULK_QUANTITY)
-    rules = {
-        "high_value": (F.col("z") > anomalies.Z_LIMIT, anomalies.HIGH_VALUE_SCORE),
-        "bulk": (bulk, anomalies.BULK_SCORE),
-    }
-    flagged = anomalies.scored(scored, rules).where("flagged")
-    return collected(flagged.select("event_id", "user_id", "score", "rules"), spark, "anomalies")
+    """Events flagged in flight: each against its user's history so far and a baseline of values fixed at the start."""
+    baseline = anomalies.fixed_baseline(anomalies.value_baseline(driver.events(spark, folder)))
+    placed = placed_events(spark, folder, events(spark, folder)).withColumn("k", driver.feature())
+    scored = flagged_in_flight(anomalies.with_z_score(placed, baseline))
+    return collected(scored.where("flagged").select("event_id", "user_id", "score", "flagged", "rules"), spark, "anomalies")
+
+
+def flagged_in_flight(df: DataFrame) -> DataFrame:
+    """Rules on a stream of events with ``z``, ``country``, ``metadata`` and ``k``."""
+    known = state.with_history(df, "24 hours", keep=("event_type", "z", "k", "metadata"))
+    is_purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    rules = anomalies.usual_rules(is_purchase, F.col("k") + 1)
+    away, score = rules["unusual_location"]
+    rules["unusual_location"] = (away & (F.col("earlier_events") >= anomalies.KNOWN_HOME_EVENTS), score)
+    return anomalies.scored(known, rules, stated=anomalies.stated_score(F.col("metadata")))
 
 
 @query(

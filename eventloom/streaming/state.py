@@ -1,8 +1,9 @@
-"""Running totals per user with a stateful processor.
+"""State per user that built-in streaming aggregates cannot hold.
 
-For plain sums the built-in aggregate in update mode is the first choice; this form is
-the place for state it cannot hold. The state is kept per user and shard, so that the
-events of a hot user are spread over several tasks, and the shards are added up when read.
+``with_history`` keeps what the rules on single events need to know of a user's past: events per hour of day and per
+country, and the purchases of the last day. ``running_totals`` keeps plain sums, for which the
+built-in aggregate in update mode is the first choice; its state is kept per user and shard, so
+that the events of a hot user are spread over several tasks, and the shards are added up when read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -75,3 +77,133 @@ def combined(latest: DataFrame) -> DataFrame:
         F.sum("purchases").alias("total_purchases"),
         (F.sum("cents") / F.lit(100).cast("decimal(3,0)")).cast("decimal(25,2)").alias("total_spent"),
     )
+
+
+HISTORY = "rapid bigint, hour_events bigint, user_events bigint, earlier_events bigint, home_country string"
+NO_TIME = -(2**63)
+
+
+class UserHistory(StatefulProcessor):
+    """What a user did so far, and for each new event what was known up to it.
+
+    Events of a batch are taken in order of time and id. ``hours`` and ``countries`` count events, ``bought``
+    holds the times of purchases that are still in reach, ``seen`` the number of events and the newest time. Timers on
+    event time drop purchases once they are out of reach of all later events, and the whole history of a user
+    who has been silent for ``forget_us``.
+    """
+
+    def __init__(self, horizon_us: int, forget_us: int, columns: list[str]):
+        self._horizon, self._forget, self._columns = horizon_us, forget_us, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._hours = handle.getMapState("hours", "hour int", "n bigint")
+        self._countries = handle.getMapState("countries", "country string", "n bigint")
+        self._bought = handle.getListState("bought", "at_us bigint")
+        self._seen = handle.getValueState("seen", "n bigint, newest_us bigint")
+
+    def _timers(self, newest: int, purchase: int | None) -> None:
+        """One timer for the user's silence and one for the end of reach of the last purchase."""
+        for timer in list(self._handle.listTimers()):
+            self._handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
+        ends = {newest + self._forget} | ({purchase + self._horizon} if purchase is not None else set())
+        for end in ends:
+            self._handle.registerTimer(end // 1000 + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        part = pd.concat(list(rows)).sort_values(["at_us", "event_id"], kind="stable").reset_index(drop=True)
+        hours = {k[0]: v[0] for k, v in self._hours.iterator()}
+        places = {k[0]: v[0] for k, v in self._countries.iterator()}
+        seen, newest = self._seen.get() if self._seen.exists() else (0, NO_TIME)
+        earlier_purchases = [r[0] for r in self._bought.get()]
+        at = part["at_us"].to_numpy()
+        timed = at > NO_TIME
+        purchases = np.sort(np.concatenate([earlier_purchases, at[timed & part["is_purchase"].to_numpy()]]).astype(np.int64))
+        home = min(places, key=lambda c: (-places[c], c), default=None)
+        new_hours, new_places, known = set(), set(), []
+        for in_time, hour, country in zip(timed.tolist(), part["hour"].tolist(), part["country"].tolist(), strict=True):
+            if not in_time:
+                known.append((None, None, seen, home))
+                continue
+            earlier, home_before = seen, home
+            seen += 1
+            hours[hour] = hours.get(hour, 0) + 1
+            new_hours.add(hour)
+            if country is not None:
+                places[country] = places.get(country, 0) + 1
+                new_places.add(country)
+                if home is None or (-places[country], country) < (-places[home], home):
+                    home = country
+            known.append((hours[hour], seen, earlier, home_before))
+        for hour in new_hours:
+            self._hours.updateValue((hour,), (hours[hour],))
+        for country in new_places:
+            self._countries.updateValue((country,), (places[country],))
+        newest = max(newest, int(at.max()))
+        reach = purchases[purchases > newest - self._horizon - 1] if newest > NO_TIME else purchases
+        if len(purchases):
+            self._bought.put([(int(t),) for t in reach]) if len(reach) else self._bought.clear()
+        self._seen.update((seen, newest))
+        if newest > NO_TIME:
+            self._timers(newest, int(reach[-1]) if len(reach) else None)
+        counted = pd.DataFrame(known, columns=["hour_events", "user_events", "earlier_events", "home_country"])
+        for c in ("hour_events", "user_events", "earlier_events"):
+            part[c] = counted[c].astype("Int64")
+        part["home_country"] = counted["home_country"]
+        low = np.where(timed, at, 0) - self._horizon
+        within = np.searchsorted(purchases, at, "right") - np.searchsorted(purchases, low, "left")
+        part["rapid"] = pd.Series(within, dtype="Int64").where(pd.Series(timed & part["is_purchase"].to_numpy()))
+        part["user_id"] = key[0]
+        yield part[self._columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self._seen.exists():
+            _, newest = self._seen.get()
+            if expiredTimerInfo.getExpiryTimeInMs() > (newest + self._forget) // 1000:
+                for state in (self._hours, self._countries, self._bought, self._seen):
+                    state.clear()
+            else:
+                self._bought.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def micros_of(length: str) -> int:
+    """Length of an interval like ``24 hours``."""
+    number, unit = length.split()
+    seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.removesuffix("s")]
+    return int(number) * seconds * 1_000_000
+
+
+def with_history(
+    df: DataFrame, delay: str, horizon: str = "24 hours", forget: str = "400 days", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Stream of events (event_id, user_id, ts, event_type, country) with the user's history up to each.
+
+    Adds, for the event and what arrived before it: ``rapid`` (purchases within ``horizon`` up to a purchase, both ends
+    included), ``hour_events`` and ``user_events`` (the user's events in that hour of day, and in all), ``earlier_events``
+    and ``home_country`` of the events before. Events of a batch count in order of time; what arrives in a later
+    batch counts later, and what the watermark (``delay``) has passed is dropped by the stream. Rows without a time carry
+    no history and leave none. Columns named in ``keep`` are handed on.
+
+    The rules need a user's events in order, so a user is in one task; it holds one batch of the user's events.
+    """
+    is_purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    prepared = df.withWatermark("ts", delay).select(
+        "event_id",
+        "user_id",
+        "ts",
+        F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(NO_TIME)).alias("at_us"),
+        F.coalesce(F.hour("ts"), F.lit(-1)).alias("hour"),
+        "country",
+        is_purchase.alias("is_purchase"),
+        *[c for c in keep if c not in ("event_id", "user_id", "ts", "country")],
+    )
+    given = ["event_id", "user_id", "country", *[c for c in keep if c not in ("event_id", "user_id", "ts", "country")]]
+    kinds = {f.name: f.dataType.simpleString() for f in prepared.schema}
+    columns = [*given, *[c.split()[0] for c in HISTORY.split(", ")]]
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in given) + ", " + HISTORY
+    processor = UserHistory(micros_of(horizon), micros_of(forget), columns)
+    return prepared.groupBy("user_id").transformWithStateInPandas(processor, schema, outputMode="Append", timeMode="EventTime")

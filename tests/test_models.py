@@ -32,7 +32,7 @@ def test_labelled_anomalies_are_flagged(spark):
     ]
     df = spark.createDataFrame(rows, "event_id int, event_type string, value double, quantity int, metadata string")
     scored = anomalies.scored(
-        anomalies.with_z_score(df, anomalies.value_baseline(df)),
+        anomalies.with_z_score(df, anomalies.baseline_map(anomalies.value_baseline(df))),
         {
             "high_value": (F.col("z") > anomalies.Z_LIMIT, anomalies.HIGH_VALUE_SCORE),
             "bulk": (F.col("quantity") >= anomalies.BULK_QUANTITY, anomalies.BULK_SCORE),

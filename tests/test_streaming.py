@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import random
 import time
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -205,3 +207,72 @@ def test_stream_attribution_is_exact(spark, space):
     found = joins.attributed(spark.read.schema(parts.schema).parquet(f"{space}/out")).collect()
     got = {r.purchase_id: (r.click_id, r.clicks_in_reach) for r in found}
     assert got == {100: (1, 4), 101: (None, 0), 102: (8, 1), 103: (None, 0), 104: (4, 4), 109: (9, 1)}
+
+
+HISTORY_EVENT = EVENT + ", country string"
+
+
+def history_rows(count, seed):
+    rng = random.Random(seed)
+    at = START
+    rows = []
+    for i in range(count):
+        # Some events share a time.
+        at += timedelta(minutes=rng.choice([0, 5, 45, 200]))
+        rows.append((i, rng.choice([1, 1, 1, 2, 3]), at, rng.choice(["purchase", "purchase", "click"]), 1.0, rng.choice(["IN", "IN", "US", None])))
+    return rows
+
+
+def history_plainly(rows):
+    out = {}
+    for i, user, at, kind, _, _ in rows:
+        before = [r for r in rows if r[1] == user and (r[2], r[0]) < (at, i)]
+        places = Counter(r[5] for r in before if r[5] is not None)
+        home = min(places, key=lambda c: (-places[c], c), default=None)
+        near = [r for r in rows if r[1] == user and r[3] == "purchase" and at - timedelta(hours=24) <= r[2] <= at]
+        same_hour = sum(r[2].hour == at.hour for r in before) + 1
+        out[i] = (len(near) if kind == "purchase" else None, same_hour, len(before) + 1, len(before), home)
+    return out
+
+
+def test_history_over_batches_and_a_restart(spark, space):
+    rows = history_rows(240, 3)
+    # Batches break where the time moves on, so that events of one time are in one batch.
+    edges = [i for i in range(1, len(rows)) if rows[i][2] > rows[i - 1][2]][30::40] + [len(rows)]
+    batches = [rows[a:b] for a, b in zip([0, *edges[:-1]], edges)]
+    assert len(batches) >= 4
+
+    def run_on(some):
+        for part in some:
+            spark.createDataFrame(part, HISTORY_EVENT).coalesce(1).write.mode("append").parquet(f"{space}/in")
+        source = spark.readStream.schema(HISTORY_EVENT).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
+        known = state.with_history(source, "24 hours", keep=("event_type",))
+        runs.run_available(runs.append_files(known, f"{space}/out", f"{space}/checkpoint"), state_partitions=2)
+        return known
+
+    run_on(batches[:2])
+    known = run_on(batches[2:])
+    found = spark.read.schema(known.schema).parquet(f"{space}/out").collect()
+    got = {r.event_id: (r.rapid, r.hour_events, r.user_events, r.earlier_events, r.home_country) for r in found}
+    assert len(found) == len(rows) and got == history_plainly(rows)
+
+
+def test_history_of_silent_users_is_forgotten(spark, space):
+    day = timedelta(days=1)
+    days = [
+        [(0, 1, START, "purchase", 1.0, "IN"), (1, 2, START, "purchase", 1.0, "IN"), (2, 1, None, "click", 1.0, "IN")],
+        [(3, 2, START + 2 * day, "purchase", 1.0, "IN")],
+        [(4, 2, START + 7 * day, "purchase", 1.0, "IN")],
+        [(5, 2, START + 8 * day, "purchase", 1.0, "IN")],
+        [(6, 1, START + 9 * day, "purchase", 1.0, "US"), (7, 2, START + 9 * day, "purchase", 1.0, "IN")],
+    ]
+    for part in days:
+        spark.createDataFrame(part, HISTORY_EVENT).coalesce(1).write.mode("append").parquet(f"{space}/in")
+    source = spark.readStream.schema(HISTORY_EVENT).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
+    known = state.with_history(source, "1 hour", "24 hours", "6 days")
+    runs.run_available(runs.append_files(known, f"{space}/out", f"{space}/checkpoint"), state_partitions=2)
+    found = spark.read.schema(known.schema).parquet(f"{space}/out").collect()
+    got = {r.event_id: (r.rapid, r.user_events, r.home_country) for r in found}
+    assert got[2] == (None, None, None) or got[2] == (None, None, "IN")
+    assert got[6] == (1, 1, None)
+    assert got[7] == (2, 5, "IN")
