@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from eventloom.sources.logtable import stream_of
+
 # State lives in RocksDB, outside the heap; sessions of a batch are merged on the map
 # side, so that a hot user's rows are combined before they are shuffled.
 STREAM_SETTINGS = {
@@ -96,8 +98,7 @@ def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
     Batch ids start at 0 again under a new checkpoint, so the folder also names the stream: its
     query id lives as long as its checkpoint. Outside a stream the name is fixed.
     """
-    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-    return f"{path}/run_id={run}/batch_id={batch_id}"
+    return f"{path}/run_id={stream_of(spark)}/batch_id={batch_id}"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,44 +14,60 @@ from eventloom.operators.decode import decode_events
 from eventloom.operators.dedup import first_delivery
 from eventloom.operators.validate import accepted, dead_letters
 from eventloom.sources.files import spread
+from eventloom.sources.idindex import IdIndex
+from eventloom.sources.logtable import LogTable, State, stream_of
 from eventloom.streaming.runs import batch_folder, path_exists, write_batch
 
+#: When the stream that wrote a change began, in nanoseconds.
+STARTED = "run_started"
+
 
 def append_once(df: DataFrame, batch_id: int, path: str, ts: str = "ts") -> DataFrame:
     """Store the events of a batch that no other batch stored; returns the new ones.
 
-    Ids are searched in all stored batches, of whatever day or stream, and only the id column
-    is read: a redelivered event may carry another time. The batch's own folder is left
-    out of the search and overwritten, which makes a retry harmless.
+    Ids are searched in the index of all stored batches, of whatever day or stream: a redelivered event may
+    carry another time. The stored events themselves are not read. The batch's own entries
+    are left out of the search and replaced, which makes a retry harmless.
     """
     spark = df.sparkSession
-    own = batch_folder(spark, path, batch_id)
-    fresh = first_delivery(df, ts=ts).withColumn("event_date", F.to_date(ts))
-    if path_exists(spark, path):
-        run = own.split("/run_id=")[-1].split("/")[0]
-        others = spark.read.parquet(path).where((F.col("run_id") != run) | (F.col("batch_id") != batch_id))
-        fresh = fresh.join(others.select("event_id"), "event_id", "left_anti")
+    index = IdIndex(spark, f"{path}_ids")
+    fresh = index.without_stored(first_delivery(df, ts=ts), batch_id).withColumn("event_date", F.to_date(ts))
     write_batch(fresh.hint("rebalance", F.col("event_date")), path, batch_id, "event_date")
-    return spark.read.schema(fresh.schema).parquet(own)
+    stored = spark.read.schema(fresh.schema).parquet(batch_folder(spark, path, batch_id))
+    index.add(stored, batch_id)
+    return stored
 
 
-def upsert_users(events_path: str, partials_path: str) -> Callable[[DataFrame, int], None]:
-    """Batch handler: append new events, and add their per-user sums as one partial.
+def upsert_users(events_path: str, users_path: str, least: int = 8) -> Callable[[DataFrame, int], None]:
+    """Batch handler: append new events, and add their per-user sums to the users table.
 
-    Partials of all batches together are the users table, see ``read_users``.
+    The users table is one merged folder and the sums of the latest batches, see ``read_users``. After
+    ``least`` batches the handler merges them; readers see the table before or after that.
     """
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
-        new = append_once(df, batch_id, events_path)
-        write_batch(metrics.user_rollup(new), partials_path, batch_id)
+        arrived = df.persist()
+        try:
+            if arrived.isEmpty():
+                return
+            new = append_once(arrived, batch_id, events_path)
+        finally:
+            arrived.unpersist()
+        table = LogTable(df.sparkSession, users_path)
+        folder = table.new_folder()
+        metrics.user_rollup(new).write.parquet(folder)
+        table.put(batch_id, {"folder": folder})
+        compact_users(df.sparkSession, users_path, least)
 
     return handle
 
 
-def read_users(spark: SparkSession, partials_path: str) -> DataFrame:
-    return spark.read.parquet(partials_path).groupBy("user_id").agg(
+def users_schema(spark: SparkSession, entries: list[dict]):
+    return spark.read.parquet(entries[0]["folder"]).schema
+
+
+def merged_users(partials: DataFrame) -> DataFrame:
+    return partials.groupBy("user_id").agg(
         F.min("first_seen").alias("first_seen"),
         F.max("last_seen").alias("last_seen"),
         F.sum("total_events").alias("total_events"),
@@ -59,21 +76,57 @@ def read_users(spark: SparkSession, partials_path: str) -> DataFrame:
     )
 
 
-def compact_users(spark: SparkSession, partials_path: str, target: str) -> None:
-    """Merge all partials into one new folder, to be used from then on."""
-    write_batch(read_users(spark, partials_path), target, 0)
+def read_users(spark: SparkSession, users_path: str) -> DataFrame:
+    """The users table as of its newest manifest."""
+    table = LogTable(spark, users_path)
+    entries = table.state().entries
+    if not entries:
+        raise ValueError(f"no users are stored under {users_path}")
+    return merged_users(table.read(users_schema(spark, entries), entries))
+
+
+def compact_users(spark: SparkSession, users_path: str, least: int = 1) -> bool:
+    """Merge the sums of all batches but the newest of each stream into one folder; totals stay as they are.
+
+    Safe while a stream writes: what it adds meanwhile is kept beside the merged folder, and a failure
+    leaves the table as it was.
+    """
+    table = LogTable(spark, users_path)
+
+    def merge(entries: list[dict]) -> dict:
+        folder = table.new_folder()
+        merged_users(table.read(users_schema(spark, entries), entries)).write.parquet(folder)
+        return {"folder": folder}
+
+    return table.compact(merge, least)
 
 
 def keep_changes(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch handler for update-mode results: the changed rows of each batch."""
-    return lambda df, batch_id: write_batch(df, path, batch_id)
+    """Batch handler for update-mode results: the changed rows of each batch.
+
+    Batch ids start anew under another checkpoint, so each row also says when its stream first wrote here. All batches
+    of a stream share that time, which is kept in a table of its own.
+    """
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        table = LogTable(spark, f"{path}_runs")
+        key = f"{stream_of(spark)}/0"
+        first = {"started": time.time_ns()}
+        state = table.state()
+        if key not in state.batches:
+            state = table.commit(lambda s: State({key: first} | s.batches, s.merged))
+        started = F.lit(state.batches[key]["started"]).cast("long")
+        write_batch(df.withColumn(STARTED, started), path, batch_id)
+
+    return handle
 
 
 def latest_changes(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """Newest row per key out of the changes of all batches."""
+    """Newest row per key out of the changes of all batches, later runs after earlier ones."""
     changes = spark.read.parquet(path)
-    rest = [c for c in changes.columns if c not in (*keys, "batch_id", "run_id")]
-    newest = changes.groupBy(*keys).agg(F.max(F.struct("batch_id", *rest)).alias("_row"))
+    rest = [c for c in changes.columns if c not in (*keys, "batch_id", "run_id", STARTED)]
+    newest = changes.groupBy(*keys).agg(F.max(F.struct(STARTED, "run_id", "batch_id", *rest)).alias("_row"))
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import random
 import time
 from collections import Counter
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import lookup, metrics
 from eventloom.sources import files, kafka, store
+from eventloom.sources.idindex import IdIndex
+from eventloom.sources.logtable import LogTable, State
 from eventloom.streaming import joins, monitor, runs, state, tables, windows
 
 START = datetime(2024, 1, 1)
@@ -52,8 +55,11 @@ def test_upsert_over_batches_equals_batch_rollup(spark, space):
     handle(spark.createDataFrame(days[2], EVENT), 2)
     assert sorted(tables.read_users(spark, f"{space}/users").collect()) == expected
     assert spark.read.parquet(f"{space}/events").count() == whole.count()
-    tables.compact_users(spark, f"{space}/users", f"{space}/compacted")
-    assert sorted(tables.read_users(spark, f"{space}/compacted").collect()) == expected
+    assert tables.compact_users(spark, f"{space}/users")
+    assert sorted(tables.read_users(spark, f"{space}/users").collect()) == expected
+    # The newest batch once more: its entry is still its own.
+    handle(spark.createDataFrame(days[2], EVENT), 2)
+    assert sorted(tables.read_users(spark, f"{space}/users").collect()) == expected
 
 
 def test_redelivery_at_another_time_and_a_second_checkpoint(spark, space):
@@ -66,7 +72,8 @@ def test_redelivery_at_another_time_and_a_second_checkpoint(spark, space):
         assert stored.count() == stored.select("event_id").distinct().count() == 60
         totals = tables.read_users(spark, f"{space}/users").agg(F.sum("total_events"), F.sum("total_purchases")).first()
         assert tuple(totals) == (60, 20)
-    assert len({r.run_id for r in spark.read.parquet(f"{space}/users").select("run_id").collect()} | {"x"}) >= 2
+    batches = LogTable(spark, f"{space}/users").state().batches
+    assert len({key.split("/")[0] for key in batches}) == 2
 
 
 def test_state_accepts_text_ids(spark, space):
@@ -276,3 +283,80 @@ def test_history_of_silent_users_is_forgotten(spark, space):
     assert got[2] == (None, None, None) or got[2] == (None, None, "IN")
     assert got[6] == (1, 1, None)
     assert got[7] == (2, 5, "IN")
+
+
+def files_below(path):
+    return sum(name.endswith(".parquet") for _, _, names in os.walk(path) for name in names)
+
+
+def test_id_index_finds_all_stored_ids_in_bounded_files(spark, space):
+    index = IdIndex(spark, f"{space}/ids", buckets=4)
+    ids = lambda low, high: spark.range(low, high).select(F.concat(F.lit("e"), F.col("id")).alias("event_id"), F.lit(1).alias("x"))
+    opened = []
+    for batch in range(11):
+        df = ids(100 * batch, 100 * batch + 150)
+        fresh = index.without_stored(df, batch)
+        assert sorted(r.event_id for r in fresh.collect()) == sorted(f"e{i}" for i in range(100 * batch + (50 if batch else 0), 100 * batch + 150))
+        index.add(fresh, batch)
+        entries = index.table.state().entries
+        assert sum(e["rows"] for e in entries) == 100 * batch + 150
+        opened.append(sum(files_below(e["folder"]) + files_below(e["filter"]) for e in entries))
+    # Folders are merged: one merged and eight waiting at most, each with four buckets and a filter.
+    assert max(opened) <= 9 * 5 and opened[-1] < 9 * 5
+    # New ids seldom pass the filters, stored ids always do.
+    assert index.suspects(ids(0, 1150), entries).count() == 1150
+    assert index.suspects(ids(10_000, 12_000), entries).count() < 2000 * 0.5
+    odd = spark.createDataFrame([(None, 1), ("e7", 1), ("new", 1)], "event_id string, x int")
+    assert sorted((r.event_id or "") for r in index.without_stored(odd, 99).collect()) == ["", "new"]
+
+
+def test_users_are_compacted_inside_the_run(spark, space):
+    arrive(spark, f"{space}/in", *[day_rows(d, 9) for d in range(8)])
+    handle = tables.upsert_users(f"{space}/events", f"{space}/users", least=3)
+    runs.run_available(runs.per_batch(stream(spark, f"{space}/in"), handle, f"{space}/checkpoint"))
+    state = LogTable(spark, f"{space}/users").state()
+    assert len(state.merged) == 1 and len(state.batches) <= 4
+    expected = sorted(metrics.user_rollup(spark.createDataFrame([r for d in range(8) for r in day_rows(d, 9)], EVENT)).collect())
+    assert sorted(tables.read_users(spark, f"{space}/users").collect()) == expected
+
+
+def test_log_table_keeps_concurrent_commits_and_survives_failures(spark, space):
+    table = LogTable(spark, f"{space}/t")
+    for batch in range(4):
+        table.put(batch, {"folder": f"b{batch}"})
+
+    def failing(entries):
+        raise OSError("disk full")
+
+    with pytest.raises(OSError, match="disk full"):
+        table.compact(failing, 1)
+    assert len(table.state().batches) == 4 and table.state().merged == []
+
+    def slow(entries):
+        # Meanwhile the stream commits its next batch.
+        table.put(4, {"folder": "b4"})
+        return {"folder": "m0"}
+
+    assert table.compact(slow, 1)
+    state = table.state()
+    assert [e["folder"] for e in state.entries] == ["m0", "b3", "b4"]
+
+    def beaten(entries):
+        # Another compaction comes first: this one must not bring merged batches back.
+        table.commit(lambda s: State({k: v for k, v in s.batches.items() if v["folder"] == "b4"}, [{"folder": "m1"}]))
+        return {"folder": "m2"}
+
+    assert not table.compact(beaten, 1)
+    assert [e["folder"] for e in table.state().entries] == ["m1", "b4"]
+
+
+def test_changes_of_a_later_run_win(spark, space):
+    schema = "user_id int, total int"
+    early, late = "run-z", "run-a"
+    for run, batch, total in ((early, 7, 500), (late, 0, 3)):
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", run)
+        try:
+            tables.keep_changes(f"{space}/out")(spark.createDataFrame([(1, total)], schema), batch)
+        finally:
+            spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    assert [r.total for r in tables.latest_changes(spark, f"{space}/out", "user_id").collect()] == [3]
