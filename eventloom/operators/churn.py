@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.scalar import interval
@@ -37,12 +37,14 @@ def churn_recency(df: DataFrame, is_sign_of_life: Column, ts: str = "ts", days:
     return silent.withColumn("churned", F.coalesce(F.col("days_silent") >= days, F.lit(True)))
 
 
-def labelled(df: DataFrame, is_sign_of_life: Column, ts: str = "ts", days: int = CHURN_DAYS) -> DataFrame:
+def labelled(
+    df: DataFrame, is_sign_of_life: Column, ts: str = "ts", days: int = CHURN_DAYS, newest: Column | None = None
+) -> DataFrame:
     """Training rows: features up to the cutoff, ``label`` 1 when the user is silent after it.
 
-    The cutoff lies ``days`` before the newest event; nothing after it reaches the features.
+    The cutoff lies ``days`` before ``newest``, by default the newest event; nothing after it reaches the features.
     """
-    cutoff = df.agg(F.max(ts)).scalar() - interval(f"{days} days")
+    cutoff = (df.agg(F.max(ts)).scalar() if newest is None else newest) - interval(f"{days} days")
     features = user_features(df.where(F.col(ts) <= cutoff), ts)
     alive = df.where((F.col(ts) > cutoff) & is_sign_of_life).select("user_id").distinct()
     joined = features.join(alive.withColumn("_alive", F.lit(1)), "user_id", "left")
@@ -61,8 +63,13 @@ def fit_churn(training: DataFrame, path: str) -> PipelineModel:
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         LogisticRegression(maxIter=20, regParam=0.01),
     ]
-    save_model(Pipeline(stages=steps).fit(numbers), path)
-    return load_model(path)
+    fitted = Pipeline(stages=steps).fit(numbers.persist())
+    numbers.unpersist()
+    save_model(fitted, path)
+    stored = load_model(path)
+    if not same_model(fitted, stored):
+        raise ValueError(f"the model stored under {path} differs from the fitted one")
+    return stored
 
 
 def predict_churn(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -77,3 +84,44 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def same_model(model: PipelineModel, other: PipelineModel) -> bool:
+    """Whether two churn models have the same numbers everywhere."""
+    numbers = lambda m: [
+        m.stages[0].getInputCols(),
+        list(m.stages[1].mean),
+        list(m.stages[1].std),
+        list(m.stages[2].coefficients),
+        m.stages[2].intercept,
+    ]
+    return numbers(model) == numbers(other)
+
+
+def score_table(scored: DataFrame, label: str = "label", score: str = "churn_probability") -> DataFrame:
+    """(score, positives, negatives) per different score; at most a million rows, as scores have six digits."""
+    is_one = F.col(label) == 1
+    return scored.groupBy(F.round(score, 6).alias("score")).agg(
+        F.count_if(is_one).alias("positives"), F.count_if(~is_one).alias("negatives")
+    )
+
+
+def rank_sum_auc(scores: DataFrame) -> DataFrame:
+    """(positives, negatives, auc) of a score table: the share of pairs in the right order, ties count half.
+
+    Null where there is only one class.
+    """
+    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    placed = scores.withColumn("_below", F.coalesce(F.sum("negatives").over(below), F.lit(0)))
+    won = F.sum(F.col("positives") * (F.col("_below") + F.col("negatives") / 2))
+    sums = placed.agg(F.sum("positives").alias("positives"), F.sum("negatives").alias("negatives"), won.alias("_won"))
+    return sums.select("positives", "negatives", F.try_divide("_won", F.col("positives") * F.col("negatives")).alias("auc"))
+
+
+def calibration(scores: DataFrame, bins: int = 10) -> DataFrame:
+    """(bin, n, mean_score, share): how often users of a score bin did churn; ``scores`` is a score table."""
+    n = F.col("positives") + F.col("negatives")
+    bin_ = F.least(F.floor(F.col("score") * bins), F.lit(bins - 1)).cast("int")
+    return scores.groupBy(bin_.alias("bin")).agg(
+        F.sum(n).alias("n"), (F.sum(F.col("score") * n) / F.sum(n)).alias("mean_score"), (F.sum("positives") / F.sum(n)).alias("share")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.functions.scalar import money, total_money
-from eventloom.operators import attribution, enrich, lookup, metrics, ordered, ranking, timewindows
+from eventloom.operators import attribution, enrich, lookup, metrics, ordered, quantiles, ranking, timewindows
 from eventloom.plans import driver
 from eventloom.plans.registry import query
 from eventloom.session import workspace
@@ -328,20 +328,80 @@ def event_gaps(spark, folder):
     return gaps.select("event_id", "user_id", "previous_ts", F.round("gap_seconds", 3).alias("gap_seconds"))
 
 
+POINTS = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
+def stored_gaps(spark, folder):
+    """Gaps in microseconds, written once: several steps read them."""
+    gaps = with_gaps(spark, folder).where(F.col("previous_ts").isNotNull())
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    path = workspace(spark, "gaps")
+    gaps.select("event_type", "ts", (micros("ts") - micros("previous_ts")).alias("gap")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query(
     "gap_percentiles",
     GAPS
-    + """SELECT event_type, count(*) AS n, round(quantile_cont(m, 0.5), 3) AS p50, round(quantile_cont(m, 0.9), 3) AS p90,
-        round(quantile_cont(m, 0.99), 3) AS p99
-    FROM (SELECT event_type, ((epoch_us(ts) - epoch_us(previous_ts)) // 60000000)::DOUBLE AS m
+    + """SELECT event_type, count(*) AS n, round(quantile_cont(s, 0.5), 3) AS p50, round(quantile_cont(s, 0.9), 3) AS p90,
+        round(quantile_cont(s, 0.99), 3) AS p99
+    FROM (SELECT event_type, (epoch_us(ts) - epoch_us(previous_ts)) / 1000000.0::DOUBLE AS s
           FROM gaps WHERE previous_ts IS NOT NULL) GROUP BY 1""",
 )
 def gap_percentiles(spark, folder):
-    """Percentiles of the whole minutes since a user's previous event."""
-    points = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
-    minutes = F.floor(F.col("gap_seconds") / 60)
-    result = metrics.percentiles(with_gaps(spark, folder), "event_type", minutes, points)
-    return result.select("event_type", "n", *[F.round(p, 3).alias(p) for p in points])
+    """Percentiles of the seconds since a user's previous event."""
+    result = quantiles.exact_percentiles(stored_gaps(spark, folder), "event_type", "gap", POINTS)
+    return result.select("event_type", "n", *[F.round(F.col(p) / 1_000_000, 3).alias(p) for p in POINTS])
+
+
+@query(
+    "gap_quantile_sketches",
+    GAPS
+    + """SELECT event_type, count(*) AS n, true AS p50_close, true AS p90_close, true AS p99_close
+    FROM gaps WHERE previous_ts IS NOT NULL GROUP BY 1""",
+)
+def gap_quantile_sketches(spark, folder):
+    """Quantiles of the month from sketches of its days: their ranks are within 2 percent of those asked for."""
+    gaps = stored_gaps(spark, folder)
+    path = workspace(spark, "gap-sketches")
+    quantiles.daily_quantile_sketches(gaps, F.col("gap"), "event_type").write.parquet(path)
+    rough = quantiles.merged_quantiles(spark.read.parquet(path), POINTS, "event_type")
+    ranked = gaps.join(rough, "event_type").groupBy("event_type").agg(
+        F.count("*").alias("n"),
+        *[F.avg((F.col("gap") < F.col(p)).cast("double")).alias(f"{p}_below") for p in POINTS],
+        *[F.avg((F.col("gap") <= F.col(p)).cast("double")).alias(f"{p}_upto") for p in POINTS],
+    )
+    close = [((F.col(f"{p}_below") <= q + 0.02) & (F.col(f"{p}_upto") >= q - 0.02)).alias(f"{p}_close") for p, q in POINTS.items()]
+    return ranked.select("event_type", "n", *close)
+
+
+SPANS = ("week", "month")
+
+
+@query(
+    "active_users_by_span",
+    " UNION ALL ".join(
+        f"""SELECT '{unit}' AS span, CAST(date_trunc('{unit}', ts) AS DATE) AS period, event_type, count(DISTINCT user_id) AS users,
+        true AS sketch_close FROM events GROUP BY ALL"""
+        for unit in SPANS
+    ),
+)
+def active_users_by_span(spark, folder):
+    """Distinct users of weeks and months: exact, and from stored daily sketches, which are within 3 percent."""
+    df = driver.events(spark, folder)
+    path = workspace(spark, "user-sketches")
+    quantiles.daily_user_sketches(df, "event_type").write.parquet(path)
+    sketches = spark.read.parquet(path)
+    parts = []
+    for unit in SPANS:
+        exact = df.groupBy(F.to_date(F.date_trunc(unit, "ts")).alias("period"), "event_type").agg(
+            F.count_distinct("user_id").alias("users")
+        )
+        rough = quantiles.users_over(sketches, unit, "event_type").withColumnRenamed("users", "_rough")
+        close = F.abs(F.col("_rough") - F.col("users")) <= F.greatest(F.lit(1.0), 0.03 * F.col("users"))
+        both = exact.join(rough, ["period", "event_type"])
+        parts.append(both.select(F.lit(unit).alias("span"), "period", "event_type", "users", close.alias("sketch_close")))
+    return parts[0].unionAll(parts[1])
 
 
 @query(

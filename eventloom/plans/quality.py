@@ -14,6 +14,7 @@ from eventloom.plans.driver import MESSAGES_SQL
 from eventloom.plans.registry import query
 from eventloom.session import workspace
 from eventloom.sources import store
+from eventloom.streaming import tables
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
@@ -221,11 +222,13 @@ def sink_batch_counts(spark, folder):
         CAST(sum(strlen(text)) AS BIGINT) AS total_bytes FROM documents GROUP BY 1""",
 )
 def oversize_split(spark, folder):
-    texts = driver.table(spark, folder, "documents").select("text")
-    sent, oversize = encode.split_oversize(texts, "text", limit=10000)
-    tagged = sent.withColumn("branch", F.lit("sent")).unionAll(oversize.withColumn("branch", F.lit("oversize")))
-    return tagged.groupBy("branch").agg(
-        F.count("*").alias("messages"), F.sum(F.octet_length("text")).cast("bigint").alias("total_bytes")
+    """Texts as messages: those beyond the limit of a topic end up among the failed ones, in the same pass."""
+    texts = driver.table(spark, folder, "documents").select("text", F.lit("sent").alias("topic"))
+    path = workspace(spark, "messages")
+    store.write_topics(store.outgoing(texts, F.col("text"), limit=10000), path, 0)
+    branch = F.when(F.col("topic") == store.FAILED, "oversize").otherwise(F.col("topic")).alias("branch")
+    return store.read_topics(spark, path).groupBy(branch).agg(
+        F.count("*").alias("messages"), F.sum(F.octet_length("value")).cast("bigint").alias("total_bytes")
     )
 
 
@@ -256,10 +259,11 @@ def batch_pack_counts(spark, folder):
     "SELECT CAST(ts AS DATE) AS event_date, count(*) AS stored FROM events GROUP BY 1",
 )
 def store_events_daily(spark, folder):
-    """Events in the stored layout, appended by day and read back."""
+    """Events in the stored layout, delivered twice, stored once by day and read back."""
     path = workspace(spark, "events")
-    rows = driver.clean_events(driver.events(spark, folder))
-    store.append_events(store.stored_layout(rows, F.current_timestamp()), path)
+    rows = store.stored_layout(driver.clean_events(driver.events(spark, folder)), F.current_timestamp())
+    for delivery in (0, 1):
+        tables.append_once(rows, delivery, path, ts="timestamp")
     return store.read_events(spark, path).groupBy("event_date").agg(F.count("*").alias("stored"))
 
 
@@ -273,11 +277,40 @@ def store_events_daily(spark, folder):
     FROM events e JOIN s USING (event_type) GROUP BY 1""",
 )
 def route_topics(spark, folder):
-    """Failures stay on the input topic, outliers go to anomalies, the rest to analytics."""
+    """Failures stay on the input topic, outliers go to anomalies, the rest to analytics: written to their topics, read back."""
     df = driver.events(spark, folder)
     scored = anomalies.with_z_score(df, anomalies.baseline_map(anomalies.value_baseline(df)))
     routed = store.route(scored, F.col("z") > anomalies.Z_LIMIT, F.col("event_type") != "error")
-    return routed.groupBy("topic").agg(F.count("*").alias("n"))
+    path = workspace(spark, "topics")
+    store.write_topics(store.outgoing(routed, F.to_json(F.struct(*df.columns))), path, 0)
+    return store.read_topics(spark, path).groupBy("topic").agg(F.count("*").alias("n"))
+
+
+def events_by_day(spark, folder):
+    path = workspace(spark, "events-by-day")
+    store.append_events(driver.events(spark, folder), path, ts="ts")
+    return store.read_events(spark, path)
+
+
+@query(
+    "retention_stored",
+    "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 60 HOUR",
+)
+def retention_stored(spark, folder):
+    """The last days of the stored layout; older days are not opened."""
+    return lookup.retained(events_by_day(spark, folder), "60 hours").select("event_id", "ts")
+
+
+@query(
+    "lookup_stored",
+    """SELECT event_id, user_id, ts, value FROM events
+    WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-08' AND event_type = 'purchase'""",
+)
+def lookup_stored(spark, folder):
+    found = lookup.find_events(
+        events_by_day(spark, folder), start=datetime(2024, 1, 5, 6), end=datetime(2024, 1, 8), event_types=("purchase",)
+    )
+    return found.select("event_id", "user_id", "ts", "value")
 
 
 @query(

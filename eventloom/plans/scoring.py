@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventloom.functions.scalar import interval
 from eventloom.operators import anomalies, churn, enrich, forest, ordered
 from eventloom.plans import driver
 from eventloom.plans.registry import query
@@ -175,3 +176,45 @@ def churn_model(spark, folder):
     training = churn.labelled(df, F.col("event_type") == "purchase")
     model = churn.fit_churn(training, workspace(spark, "churn-model"))
     return churn.predict_churn(model, churn.user_features(df))
+
+
+@query(
+    "churn_evaluation",
+    """WITH mark AS (SELECT max(ts) AS newest FROM events),
+    users(part, user_id, churned) AS (
+        SELECT 'train', user_id, count(*) FILTER (event_type = 'purchase' AND ts > newest - INTERVAL 14 DAY
+            AND ts <= newest - INTERVAL 7 DAY) = 0
+        FROM events, mark GROUP BY user_id HAVING min(ts) <= any_value(newest) - INTERVAL 14 DAY
+        UNION ALL SELECT 'test', user_id, count(*) FILTER (event_type = 'purchase' AND ts > newest - INTERVAL 7 DAY) = 0
+        FROM events, mark GROUP BY user_id HAVING min(ts) <= any_value(newest) - INTERVAL 7 DAY)
+    SELECT count(*) FILTER (part = 'train') AS train_users, count(*) FILTER (part = 'train' AND churned) AS train_churned,
+        count(*) FILTER (part = 'test') AS test_users, count(*) FILTER (part = 'test' AND churned) AS test_churned,
+        true AS auc_known, count(*) FILTER (part = 'test') AS calibrated_users
+    FROM users""",
+)
+def churn_evaluation(spark, folder):
+    """A model of one week judged on the next: rank-sum AUC and calibration over all users of the later week."""
+    df = driver.events(spark, folder)
+    is_purchase = F.col("event_type") == "purchase"
+    earlier = df.where(F.col("ts") <= df.agg(F.max("ts")).scalar() - interval(f"{churn.CHURN_DAYS} days"))
+    newest = df.agg(F.max("ts")).scalar() - interval(f"{churn.CHURN_DAYS} days")
+    training, test = churn.labelled(earlier, is_purchase, newest=newest), churn.labelled(df, is_purchase)
+    path = workspace(spark, "churn-evaluation")
+    training.write.parquet(f"{path}/training")
+    training = spark.read.parquet(f"{path}/training")
+    model = churn.fit_churn(training, f"{path}/model")
+    scores = churn.predict_churn(model, test).join(test.select("user_id", "label"), "user_id")
+    churn.score_table(scores).write.parquet(f"{path}/scores")
+    table = spark.read.parquet(f"{path}/scores")
+    judged = churn.rank_sum_auc(table)
+    seen = training.agg(F.count("*").alias("train_users"), F.count_if(F.col("label") == 1).alias("train_churned"))
+    bins = churn.calibration(table).agg(F.sum("n")).scalar()
+    both = (F.col("positives") > 0) & (F.col("negatives") > 0)
+    return judged.select(
+        seen.select("train_users").scalar().alias("train_users"),
+        seen.select("train_churned").scalar().alias("train_churned"),
+        (F.col("positives") + F.col("negatives")).alias("test_users"),
+        F.col("positives").alias("test_churned"),
+        (F.col("auc").between(0, 1) | ~both).alias("auc_known"),
+        bins.alias("calibrated_users"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventloom import schema
 from eventloom.functions.scalar import money
 from eventloom.operators.encode import event_json
+from eventloom.sources.logtable import LogTable
 
 
 def stored_layout(df: DataFrame, created_at: Column) -> DataFrame:
@@ -42,7 +43,8 @@ def append_dead_letters(letters: DataFrame, path: str) -> None:
 def write_daily_stats(stats: DataFrame, path: str) -> None:
     """Replace the days present in ``stats``; other days stay untouched."""
     (
-        stats.write.mode("overwrite")
+        stats.hint("rebalance", F.col("day"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
@@ -69,6 +71,35 @@ def route(df: DataFrame, is_anomaly: Column, is_valid: Column) -> DataFrame:
     return df.withColumn("topic", topic)
 
 
+#: Where messages go that a topic does not take.
+FAILED = "failed-events"
+
+
+def outgoing(routed: DataFrame, message: Column, limit: int = schema.MAX_MESSAGE_BYTES) -> DataFrame:
+    """(topic, value): routed rows as messages; those above the byte limit go to the failed ones instead."""
+    sized = routed.select("topic", message.alias("value"))
+    fits = F.coalesce(F.octet_length("value"), F.lit(0)) <= limit
+    return sized.withColumn("topic", F.when(fits, F.col("topic")).otherwise(FAILED))
+
+
+def write_topics(messages: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch of (topic, value) to all its topics in one pass and with one commit.
+
+    All topics of a batch appear together or not at all, and a repeated batch replaces itself. Usable as handler of a stream
+    through ``functools.partial``; see ``kafka.stream_to_topics`` for topics of a broker.
+    """
+    table = LogTable(messages.sparkSession, path)
+    folder = table.new_folder()
+    messages.hint("rebalance", F.col("topic")).write.partitionBy("topic").parquet(folder)
+    table.put(batch_id, {"folder": folder})
+
+
+def read_topics(spark: SparkSession, path: str) -> DataFrame:
+    """(value, topic) of all committed batches; a filter on the topic prunes folders."""
+    rows = LogTable(spark, path).read("value string, topic string")
+    return rows if rows is not None else spark.createDataFrame([], "value string, topic string")
+
+
 def drop_expired(spark: SparkSession, path: str, first_kept_day: str) -> list[str]:
     """Remove day folders older than ``first_kept_day`` (ISO date); returns their names."""
     jvm = spark.sparkContext._jvm

@@ -360,3 +360,45 @@ def test_changes_of_a_later_run_win(spark, space):
         finally:
             spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert [r.total for r in tables.latest_changes(spark, f"{space}/out", "user_id").collect()] == [3]
+
+
+def test_topics_of_a_batch_appear_together(spark, space):
+    rows = [("user-events", "a"), ("user-anomalies", "b" * 30), ("user-analytics", "c"), ("user-events", None)]
+    routed = spark.createDataFrame(rows, "topic string, body string")
+    messages = store.outgoing(routed, F.col("body"), limit=10)
+    store.write_topics(messages, f"{space}/topics", 0)
+    store.write_topics(messages, f"{space}/topics", 1)
+    # The last batch again, as after a failure; then one that fails before its commit.
+    store.write_topics(messages, f"{space}/topics", 1)
+    spark.range(3).select(F.lit("lost").alias("value"), F.lit("user-events").alias("topic")).write.partitionBy("topic").parquet(
+        LogTable(spark, f"{space}/topics").new_folder()
+    )
+    counts = {r.topic: r["count"] for r in store.read_topics(spark, f"{space}/topics").groupBy("topic").count().collect()}
+    assert counts == {"user-events": 4, "user-analytics": 2, store.FAILED: 2}
+    one = store.read_topics(spark, f"{space}/topics").where("topic = 'user-analytics'")
+    assert "PartitionFilters: [isnotnull(topic" in one._jdf.queryExecution().executedPlan().toString()
+    assert store.read_topics(spark, f"{space}/none").count() == 0
+
+
+def test_time_bounds_prune_stored_days(spark, space):
+    whole = spark.createDataFrame([r for d in range(6) for r in day_rows(d)], EVENT)
+    store.append_events(whole, f"{space}/events", ts="ts")
+    events = store.read_events(spark, f"{space}/events")
+    found = lookup.find_events(events, start=START + timedelta(days=1, hours=2), end=START + timedelta(days=3))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    rows = [r for d in range(6) for r in day_rows(d)]
+    assert found.count() == sum(START + timedelta(days=1, hours=2) <= r[2] < START + timedelta(days=3) for r in rows)
+    assert {r.event_date.day for r in found.select("event_date").distinct().collect()} == {2, 3}
+    newest = max(r[2] for r in rows)
+    kept = lookup.retained(events, "30 hours")
+    assert sorted(r.event_id for r in kept.collect()) == sorted(r[0] for r in rows if r[2] >= newest - timedelta(hours=30))
+    scans = [part.split("]")[0] for part in kept._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1:]]
+    assert any("event_date" in s and "Subquery" in s for s in scans)
+
+
+def test_redelivered_batches_are_stored_once(spark, space):
+    df = spark.createDataFrame(day_rows(0), EVENT)
+    for delivery in (0, 1, 1):
+        tables.append_once(df, delivery, f"{space}/events")
+    assert spark.read.parquet(f"{space}/events").count() == 30
