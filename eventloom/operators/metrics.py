@@ -16,16 +16,49 @@ def revenue() -> Column:
     return total_money(F.when(is_purchase(), F.col("value")))
 
 
-def user_rollup(df: DataFrame, ts: str = "ts") -> DataFrame:
+#: Columns of the users table that follow a user's newest event, where events have them.
+FOLLOWED = ("country", "metadata")
+
+
+def user_partials(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """Sums per user that can be added up: those of ``user_rollup``, and for each followed column the time and id
+    of the event its value is from."""
+    followed = [c for c in FOLLOWED if c in df.columns]
+    newest = [
+        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("at"), F.col("event_id").alias("id"), F.col(c).alias("value")))).alias(c)
+        for c in followed
+    ]
     return df.groupBy("user_id").agg(
         F.min(ts).alias("first_seen"),
         F.max(ts).alias("last_seen"),
         F.count("*").alias("total_events"),
         F.count_if(is_purchase()).alias("total_purchases"),
         revenue().alias("total_spent"),
+        *newest,
+    )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several batches as one per user."""
+    return partials.groupBy("user_id").agg(
+        F.min("first_seen").alias("first_seen"),
+        F.max("last_seen").alias("last_seen"),
+        F.sum("total_events").alias("total_events"),
+        F.sum("total_purchases").alias("total_purchases"),
+        F.sum("total_spent").cast("decimal(25,2)").alias("total_spent"),
+        *[F.max(c).alias(c) for c in FOLLOWED if c in partials.columns],
     )
 
 
+def users_of(partials: DataFrame) -> DataFrame:
+    """The users table: sums, and country and metadata as the newest event that has them states them."""
+    return partials.withColumns({c: F.col(f"{c}.value") for c in FOLLOWED if c in partials.columns})
+
+
+def user_rollup(df: DataFrame, ts: str = "ts") -> DataFrame:
+    return users_of(user_partials(df, ts))
+
+
 def daily_stats(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Day x type x country: events, distinct users and revenue."""
     return df.groupBy(F.to_date(ts).alias("day"), "event_type", "country").agg(

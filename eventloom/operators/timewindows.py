@@ -103,3 +103,12 @@ def timeline(df: DataFrame, key: str = "session_id", ts: str = "timestamp") -> D
     over several tasks and stays ordered across them.
     """
     return df.repartitionByRange(F.col(key), F.col(ts)).sortWithinPartitions(key, ts)
+
+
+def out_of_order(laid_out: DataFrame, key: str = "session_id", ts: str = "timestamp") -> DataFrame:
+    """(key, out_of_order): rows of a key that lie after a later row, in the order of partitions and of rows within them."""
+    placed = laid_out.select(key, F.col(ts).alias("_at"), F.monotonically_increasing_id().alias("_place"))
+    as_laid = Window.partitionBy(key).orderBy("_place")
+    return placed.withColumn("_wrong", F.col("_at") < F.lag("_at").over(as_laid)).groupBy(key).agg(
+        F.count_if("_wrong").alias("out_of_order")
+    )

@@ -177,11 +177,12 @@ def delivery_stats(spark, folder):
 @query(
     "user_rollup",
     f"""SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS total_events,
-        count(*) FILTER (event_type = 'purchase') AS total_purchases, {REVENUE} AS total_spent
+        count(*) FILTER (event_type = 'purchase') AS total_purchases, {REVENUE} AS total_spent,
+        arg_max(CASE WHEN {K} < 50 THEN 'IN' ELSE 'US' END, (ts, event_id)) AS country, arg_max(props, (ts, event_id)) AS metadata
     FROM events GROUP BY user_id""",
 )
 def user_rollup(spark, folder):
-    return metrics.user_rollup(driver.events(spark, folder))
+    return metrics.user_rollup(driver.placed(driver.events(spark, folder)))
 
 
 def sales_by_country(spark, folder):
@@ -446,7 +447,7 @@ def session_edges(spark, folder):
     "session_timeline",
     """SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, min(ts) AS session_start, max(ts) AS last_event,
         arg_min(event_type, (ts, event_id)) = 'signup' AS opens_with_login,
-        arg_max(event_type, (ts, event_id)) = 'error' AS closes_with_logout
+        arg_max(event_type, (ts, event_id)) = 'error' AS closes_with_logout, 0::BIGINT AS out_of_order
     FROM events GROUP BY ALL""",
 )
 def session_timeline(spark, folder):
@@ -454,7 +455,7 @@ def session_timeline(spark, folder):
     wide = driver.clean_events(driver.events(spark, folder))
     numbered = wide.withColumn("event_id", F.col("event_id").cast("bigint"))
     rows = timewindows.timeline(numbered)
-    shape = timewindows.session_shape(rows)
+    shape = timewindows.session_shape(rows).join(timewindows.out_of_order(rows), "session_id")
     owner = wide.select("session_id", "user_id").distinct()
     return shape.join(owner, "session_id").select(
         F.regexp_extract("user_id", r"(\d+)", 1).cast("bigint").alias("user_id"),
@@ -464,6 +465,7 @@ def session_timeline(spark, folder):
         F.col("last_event").cast("timestamp_ntz").alias("last_event"),
         "opens_with_login",
         "closes_with_logout",
+        "out_of_order",
     )
 
 

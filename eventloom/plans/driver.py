@@ -42,6 +42,11 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Events that state a country of their own and carry metadata."""
+    return df.withColumns({"country": F.when(feature() < 50, "IN").otherwise("US"), "metadata": F.col("props")})
+
+
 def known_users(spark: SparkSession, folder: str) -> DataFrame:
     """A user table with gaps: only customers whose balance is not negative."""
     kept = table(spark, folder, "customer").where(F.col("c_acctbal") >= 0)

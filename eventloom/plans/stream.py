@@ -13,7 +13,7 @@ from eventloom.plans.registry import query
 from eventloom.plans.scoring import PLACED_SQL, RULES_SQL, Z_SQL, placed_events
 from eventloom.session import prepare, workspace
 from eventloom.sources.files import stream_table
-from eventloom.streaming import joins, runs, state, tables, windows
+from eventloom.streaming import joins, monitor, runs, state, tables, windows
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,11 +112,18 @@ def stream_user_state(spark, folder):
     return naive(state.combined(latest), "first_seen", "last_seen")
 
 
-@query("stream_upsert_users", USERS_SQL)
+@query(
+    "stream_upsert_users",
+    USERS_SQL.replace(
+        "FROM events",
+        """, arg_max(CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) < 50 THEN 'IN' ELSE 'US' END, (ts, event_id)) AS country,
+        arg_max(props, (ts, event_id)) AS metadata FROM events""",
+    ),
+)
 def stream_upsert_users(spark, folder):
     """Events stored once although purchases arrive twice, and users kept up to date."""
     space = workspace(spark, "upsert")
-    delivered = events(spark, folder).unionByName(of_type(events(spark, folder), "purchase"))
+    delivered = driver.placed(events(spark, folder).unionByName(of_type(events(spark, folder), "purchase")))
     handled(delivered, tables.upsert_users(f"{space}/events", f"{space}/users"), space)
     return naive(tables.read_users(spark, f"{space}/users"), "first_seen", "last_seen")
 
@@ -220,3 +227,33 @@ def stream_late_events(spark, folder):
         for name in ("late", "on_time")
     ]
     return counts[0].unionAll(counts[1]).where(F.col("n") > 0)
+
+
+@query(
+    "stream_timed_run",
+    "SELECT event_type, count(*) AS n, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1",
+)
+def stream_timed_run(spark, folder):
+    """A stream that looks for input all the time, stopped once none is left."""
+    space = workspace(spark, "timed")
+    writer = runs.append_files(events(spark, folder), f"{space}/out", f"{space}/checkpoint")
+    runs.run_until_idle(writer, "200 milliseconds", seconds=1800)
+    stored = spark.read.parquet(f"{space}/out")
+    return stored.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("failed"))
+
+
+@query(
+    "stream_progress",
+    """SELECT count(*) AS rows_read, count(*) AS sent, count(*) FILTER (event_type = 'error') AS failed,
+        (epoch_us(max(ts)) - epoch_us(date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR)) / 1000000.0::DOUBLE AS lag_seconds
+    FROM events""",
+)
+def stream_progress(spark, folder):
+    """What a run reports of itself: rows read, rows sent and failed as observed on the way, and how far the watermark is behind."""
+    space = workspace(spark, "progress")
+    watched = monitor.counted(events(spark, folder).withWatermark("ts", "1 hour"), F.col("event_type") == "error")
+    kinds = watched.dropDuplicatesWithinWatermark(["event_id"])
+    run = runs.run_available(runs.append_files(kinds, f"{space}/out", f"{space}/checkpoint"))
+    seen = monitor.totals(run)
+    lag = metrics.lag_behind(spark.read.parquet(f"{space}/out"), F.lit(runs.watermark_of(run)).cast("timestamp"))
+    return lag.select(*[F.lit(seen[c]).cast("long").alias(c) for c in ("rows_read", "sent", "failed")], "lag_seconds")

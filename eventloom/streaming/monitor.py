@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 class ProgressLog(StreamingQueryListener):
@@ -55,3 +55,14 @@ def behind(progress) -> int:
 def counted(df: DataFrame, is_error: Column, name: str = "delivery") -> DataFrame:
     """Observe how many rows pass and how many of them are errors."""
     return df.observe(name, F.count(F.lit(1)).alias("sent"), F.count_if(is_error).alias("failed"))
+
+
+def totals(query: StreamingQuery) -> dict[str, int]:
+    """Rows read and observed figures of a run, summed over the batches it reports (the latest hundred by default)."""
+    sums = {"rows_read": 0}
+    for progress in query.recentProgress:
+        sums["rows_read"] += progress["numInputRows"]
+        for observed in progress["observedMetrics"].values():
+            for name, value in observed.asDict().items():
+                sums[name] = sums.get(name, 0) + (value or 0)
+    return sums

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -87,6 +88,25 @@ def run_for(
     return query
 
 
+def run_until_idle(
+    writer: DataStreamWriter, every: str, seconds: float, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Unbounded run, stopped when a look at the source finds nothing new, or after ``seconds``."""
+    deadline = time.monotonic() + seconds
+    with stream_settings(writer._spark, state_partitions):
+        query = writer.trigger(processingTime=every).start()
+    try:
+        while query.isActive and time.monotonic() < deadline:
+            waiting = query.status["isDataAvailable"] or query.status["isTriggerActive"]
+            if query.lastProgress is not None and not waiting:
+                break
+            if query.awaitTermination(0.1):
+                break
+    finally:
+        query.stop()
+    return query
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

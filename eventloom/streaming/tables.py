@@ -55,7 +55,7 @@ def upsert_users(events_path: str, users_path: str, least: int = 8) -> Callable[
             arrived.unpersist()
         table = LogTable(df.sparkSession, users_path)
         folder = table.new_folder()
-        metrics.user_rollup(new).write.parquet(folder)
+        metrics.user_partials(new).write.parquet(folder)
         table.put(batch_id, {"folder": folder})
         compact_users(df.sparkSession, users_path, least)
 
@@ -66,23 +66,13 @@ def users_schema(spark: SparkSession, entries: list[dict]):
     return spark.read.parquet(entries[0]["folder"]).schema
 
 
-def merged_users(partials: DataFrame) -> DataFrame:
-    return partials.groupBy("user_id").agg(
-        F.min("first_seen").alias("first_seen"),
-        F.max("last_seen").alias("last_seen"),
-        F.sum("total_events").alias("total_events"),
-        F.sum("total_purchases").alias("total_purchases"),
-        F.sum("total_spent").cast("decimal(25,2)").alias("total_spent"),
-    )
-
-
 def read_users(spark: SparkSession, users_path: str) -> DataFrame:
     """The users table as of its newest manifest."""
     table = LogTable(spark, users_path)
     entries = table.state().entries
     if not entries:
         raise ValueError(f"no users are stored under {users_path}")
-    return merged_users(table.read(users_schema(spark, entries), entries))
+    return metrics.users_of(metrics.merged_partials(table.read(users_schema(spark, entries), entries)))
 
 
 def compact_users(spark: SparkSession, users_path: str, least: int = 1) -> bool:
@@ -95,7 +85,7 @@ def compact_users(spark: SparkSession, users_path: str, least: int = 1) -> bool:
 
     def merge(entries: list[dict]) -> dict:
         folder = table.new_folder()
-        merged_users(table.read(users_schema(spark, entries), entries)).write.parquet(folder)
+        metrics.merged_partials(table.read(users_schema(spark, entries), entries)).write.parquet(folder)
         return {"folder": folder}
 
     return table.compact(merge, least)

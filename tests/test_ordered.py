@@ -201,3 +201,9 @@ def test_rank_of_nothing_and_of_a_single_row(spark):
     assert ranking.rank_all(spark.createDataFrame([], "user_id int, spent int"), "spent").count() == 0
     row = ranking.rank_all(spark.createDataFrame([(1, 5)], "user_id int, spent int"), "spent").first()
     assert (row.rank, row.dense_rank, row.percent_rank, row.quartile) == (1, 1, 0.0, 4)
+
+
+def test_out_of_order_rows_are_seen(spark):
+    shuffled = session(spark, 20).orderBy(F.rand(3)).persist()
+    assert timewindows.out_of_order(shuffled).first().out_of_order > 0
+    assert timewindows.out_of_order(timewindows.timeline(shuffled)).first().out_of_order == 0

@@ -402,3 +402,19 @@ def test_redelivered_batches_are_stored_once(spark, space):
     for delivery in (0, 1, 1):
         tables.append_once(df, delivery, f"{space}/events")
     assert spark.read.parquet(f"{space}/events").count() == 30
+
+
+def test_users_follow_their_newest_country(spark, space):
+    """Country and metadata come from the newest event that has them, also if it arrives first."""
+    schema = EVENT + ", country string, metadata string"
+    days = [
+        [(1, 1, START + timedelta(hours=9), "click", 1.0, "US", "new"), (2, 2, START, "click", 1.0, None, None)],
+        [(3, 1, START, "click", 1.0, "IN", "old"), (4, 1, START + timedelta(hours=10), "click", 1.0, None, "newest")],
+    ]
+    for part in days:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{space}/in")
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
+    handle = tables.upsert_users(f"{space}/events", f"{space}/users")
+    runs.run_available(runs.per_batch(source, handle, f"{space}/checkpoint"))
+    found = {r.user_id: (r.total_events, r.country, r.metadata) for r in tables.read_users(spark, f"{space}/users").collect()}
+    assert found == {1: (3, "US", "newest"), 2: (1, None, None)}
