@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.tables import free_name
 from eventloom.llm.text import Words, by_slices, mixed, tuned
 
 #: Items that travel with one scan, and total characters of them.
@@ -372,5 +373,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest:
 
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 24) -> DataFrame:
     """The documents that hold no item, all columns; those with a null id are judged together."""
-    held = leaks(docs, benchmark, share, shortest).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(held, F.col("doc_id").eqNullSafe(F.col("leaking_id")), "left_anti")
+    name = free_name(docs, "leaking_id")
+    held = leaks(docs, benchmark, share, shortest).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(held, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -15,18 +15,20 @@ probability ``min(1, rate * factor)`` by a hash of its id and seed, and carries
 Target shares without a matching token are spread over the others in proportion. Null
 categories count as ``OTHER`` (of sources: their own source). Null and empty texts have no
 tokens and do not move the margins; they are drawn with their cell's factor. A null id is drawn like an id of
-its own. Repeated rows are drawn together. An empty table gives an empty result. Extra columns are kept.
+its own. Repeated rows are drawn together. An empty table gives an empty result. Extra columns are kept, but for those that
+have the names of the four that are added.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.tables import stored
+from eventloom.llm.tables import free_name, stored
 from eventloom.llm.text import tuned
 
 OTHER = "(other)"
@@ -34,6 +36,8 @@ LANGUAGES = {"en": 0.50, "de": 0.20, "fr": 0.20, "es": 0.10}
 TOPICS = {"licensed": 0.10, "table": 0.02, "noise": 0.03, "short": 0.10, "prose": 0.75}
 #: Share of the corpus' tokens to draw, and the power that flattens the sources.
 RATE, FLATTEN, ROUNDS, TOLERANCE = 0.5, 0.5, 40, 1e-9
+#: Share of tokens by which a margin may miss its target without a warning.
+WORST = 0.01
 
 
 def n_tokens(text: Column) -> Column:
@@ -112,35 +116,40 @@ def uniform(seed: int) -> Column:
 
 def mixed(docs: DataFrame, languages: Mapping[str, float] = LANGUAGES, topics: Mapping[str, float] = TOPICS, rate: float = RATE,
           flatten: float = FLATTEN, seed: int = 13, topic: Column | None = None) -> DataFrame:
-    """The drawn documents, all columns, with topic, n_tokens, probability and sample_weight."""
+    """The drawn documents with their columns, and topic, n_tokens, probability and sample_weight, which replace
+    columns of these names. Warns if the shares reached are off by more than ``WORST``."""
     tuned(docs.sparkSession)
     keep = docs.columns
+    own = {name: free_name(docs, f"_mix_{name}") for name in ("tokens", "topic", "source", "factor", "cell", "expected")}
     text = F.coalesce(F.col("text"), F.lit(""))
     # A generator computes tokens once, although the topic uses them several times.
-    facts = F.inline(F.array(F.struct(n_tokens(text).cast("long").alias("_mix_tokens"))))
+    facts = F.inline(F.array(F.struct(n_tokens(text).cast("long").alias(own["tokens"]))))
     rows = docs.select(*keep, facts)
-    rows = rows.select(*keep, "_mix_tokens", (topic_of(text, F.col("_mix_tokens")) if topic is None else topic).alias("_mix_topic"))
+    rows = rows.select(*keep, own["tokens"], (topic_of(text, F.col(own["tokens"])) if topic is None else topic).alias(own["topic"]))
     names_l, names_t = [*languages, OTHER], [*topics, OTHER]
     at = lambda value, names: F.array_position(F.array(*map(F.lit, names)), value) - 1
-    place = (at(pooled(F.col("lang"), languages), names_l) * len(names_t) + at(pooled(F.col("_mix_topic"), topics), names_t)).cast("int")
+    place = (at(pooled(F.col("lang"), languages), names_l) * len(names_t) + at(pooled(F.col(own["topic"]), topics), names_t)).cast("int")
     # Documents are read twice; what is kept between is one number each per source and cell.
-    cells = rows.groupBy(F.col("source").alias("source"), place.alias("cell")).agg(F.sum("_mix_tokens").cast("double").alias("n"))
+    cells = rows.groupBy(F.col("source").alias("source"), place.alias("cell")).agg(F.sum(own["tokens"]).cast("double").alias("n"))
     slots = [F.coalesce(F.sum(F.when(F.col("cell") == i, F.col("n"))), F.lit(0.0)) for i in range(len(names_l) * len(names_t))]
     sources = stored(cells.groupBy("source").agg(F.array(*slots).alias("tokens")), "sources")
     by_l, by_t, log = rake(sources, languages, topics, flatten)
     if log:
+        misfit = log[-2]["misfit"]
+        if misfit > WORST:
+            warnings.warn(f"the target shares contradict each other or the corpus: {misfit:.3f} of the tokens are off", stacklevel=2)
         factor = source_factor(by_l, by_t, log[-1]["total"], log[-1]["powers"], flatten)
     else:
         factor = F.lit(1.0)
-    factors = sources.select(F.col("source").alias("_mix_source"), factor.alias("_mix_factor"))
+    factors = sources.select(F.col("source").alias(own["source"]), factor.alias(own["factor"]))
     pairs = F.array(*[F.lit(float(x)) for x in np.outer(by_l, by_t).ravel()])
-    joined = rows.withColumn("_mix_cell", place).join(factors, F.col("source").eqNullSafe(F.col("_mix_source")), "left")
-    expected = F.lit(rate) * F.col("_mix_factor") * F.get(pairs, F.col("_mix_cell"))
-    drawn = joined.withColumn("_mix_expected", expected).where(uniform(seed) < F.col("_mix_expected"))
+    joined = rows.withColumn(own["cell"], place).join(factors, F.col("source").eqNullSafe(F.col(own["source"])), "left")
+    expected = F.lit(rate) * F.col(own["factor"]) * F.get(pairs, F.col(own["cell"]))
+    drawn = joined.withColumn(own["expected"], expected).where(uniform(seed) < F.col(own["expected"]))
     out = {
-        "topic": F.col("_mix_topic"),
-        "n_tokens": F.col("_mix_tokens"),
-        "probability": F.least(F.lit(1.0), F.col("_mix_expected")),
-        "sample_weight": F.greatest(F.lit(1.0), F.col("_mix_expected")),
+        "topic": F.col(own["topic"]),
+        "n_tokens": F.col(own["tokens"]),
+        "probability": F.least(F.lit(1.0), F.col(own["expected"])),
+        "sample_weight": F.greatest(F.lit(1.0), F.col(own["expected"])),
     }
-    return drawn.select(*[c for c in keep if c not in out], *[value.alias(name) for name, value in out.items()])
+    return drawn.select(*[c for c in keep if c.lower() not in out], *[value.alias(name) for name, value in out.items()])

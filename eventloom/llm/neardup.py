@@ -5,7 +5,7 @@ at the root a class follows two minwise tokens of its set, below it one, so a ch
 classes that agree on a path of tokens. A node of at most ``NODE`` classes is a leaf and is
 compared exhaustively by sketches; a larger one branches again, and as every class follows
 one token there, a group of near copies does not multiply on its way down. What is still large
-at the last level is compared in blocks. Leaves with the same members, from whatever trees,
+at the last level is compared in pairs of blocks, each pair of classes in one of them. Leaves with the same members, from whatever trees,
 are compared once, and a pair with several leaves in common is proposed by one of them.
 
 Links count only if confirmed on the full sets. First each leaf proposes a maximum spanning
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.graph import components
-from eventloom.llm.tables import stored
+from eventloom.llm.tables import free_name, stored
 from eventloom.llm.text import Words, by_slices, lists, mixed, rolling, tuned
 
 #: Independent trees, and levels a node can branch.
@@ -168,7 +168,11 @@ def branches(level: int):
 
 
 def leaves(classes: DataFrame) -> DataFrame:
-    """(node, class) of all leaves with two or more classes, equal leaves once."""
+    """(node, class, base, own) of all leaves with two or more classes, equal leaves once.
+
+    ``base`` is the node of the path that the leaf belongs to: the leaf itself, or the node of the last level that was
+    cut into blocks, where ``own`` is the class' block. A class has one base per path at most.
+    """
     named = F.bit_xor(F.xxhash64("class")), F.bit_xor(F.xxhash64(F.lit(1), "class"))
     made, rows = [], classes.select("class", "tokens")
     for level in range(LEVELS):
@@ -176,7 +180,7 @@ def leaves(classes: DataFrame) -> DataFrame:
         size = entries.groupBy("node").agg(F.count("*").alias("n"), named[0].alias("x"), named[1].alias("y")).where("n > 1")
         size = stored(size, f"sizes{level}")
         small = size.where(F.col("n") <= NODE).groupBy("n", "x", "y").agg(F.min("node").alias("node"))
-        made.append(entries.join(small.select("node"), "node").select("node", "class"))
+        made.append(entries.join(small.select("node"), "node").select("node", "class", F.col("node").alias("base"), F.lit(0).alias("own")))
         large = size.where(F.col("n") > NODE).select("node", "n")
         if not large.limit(1).count():
             break
@@ -187,7 +191,7 @@ def leaves(classes: DataFrame) -> DataFrame:
             placed = hot.withColumn("blocks", blocks).withColumn("own", own)
             spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             key = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-            made.append(spread.select(key.alias("node"), "class"))
+            made.append(spread.select(key.alias("node"), "class", F.col("node").alias("base"), "own"))
         else:
             rows = hot.select("node", "path", "class").join(classes.select("class", "tokens"), "class")
     whole = made[0]
@@ -230,10 +234,10 @@ def forests(pairs: np.ndarray, n: int, most: int) -> np.ndarray:
     return np.concatenate(kept) if kept else left
 
 
-def met_before(node: int, owner: np.ndarray, home: np.ndarray, n: int) -> np.ndarray:
-    """Which pairs of the ``n`` members of leaf ``node`` also meet in a leaf of smaller number;
-    ``home`` are the leaves of the members ``owner``."""
-    earlier = home < node
+def met_before(base: int, owner: np.ndarray, home: np.ndarray, n: int) -> np.ndarray:
+    """Which pairs of the ``n`` members of a leaf also meet under a base of smaller number than its own;
+    ``home`` are the bases of the members ``owner``."""
+    earlier = home < base
     owner, home = owner[earlier], home[earlier]
     order = np.argsort(home, kind="stable")
     owner, home = owner[order], home[order]
@@ -254,13 +258,17 @@ def propose(least: int, most: int, percent: int):
     def comparable(x, y):
         return 100 * np.minimum(x, y) >= percent * np.maximum(x, y)
 
-    def leaf(node, classes, sketch, fine, size, component, owner, home):
+    def leaf(base, own, classes, sketch, fine, size, component, owner, home):
         equal = similar(sketch)
-        a, b = np.nonzero(np.triu(equal >= least, 1) & (component[:, None] != component[None, :]))
+        wanted = np.triu(equal >= least, 1) & (component[:, None] != component[None, :])
+        if own.min() != own.max():
+            # Two blocks of a node: pairs within either are compared in its own leaf.
+            wanted &= own[:, None] != own[None, :]
+        a, b = np.nonzero(wanted)
         near = comparable(size[a], size[b])
         a, b = a[near], b[near]
         if len(a):
-            known = met_before(node, owner, home, len(classes))[a, b]
+            known = met_before(base, owner, home, len(classes))[a, b]
             a, b = a[~known], b[~known]
         if fine is not None:
             near = within_reach(fine, size, a, b, percent)
@@ -289,7 +297,7 @@ def propose(least: int, most: int, percent: int):
 
     def leaves_of(table):
         node = table.column("node").to_numpy()
-        classes, component, size = (table.column(c).to_numpy() for c in ("class", "component", "size"))
+        classes, component, size, base, own = (table.column(c).to_numpy() for c in ("class", "component", "size", "base", "own"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(node), SKETCH)
         fine = None
         if "fine" in table.column_names:
@@ -308,7 +316,7 @@ def propose(least: int, most: int, percent: int):
             if j - i > 2:
                 owner = np.repeat(np.arange(j - i), count[i:j])
                 part = None if fine is None else fine[i:j]
-                found.append(leaf(node[i], classes[i:j], sketch[i:j], part, size[i:j], component[i:j], owner, home[at[i] : at[j]]))
+                found.append(leaf(base[i], own[i:j], classes[i:j], sketch[i:j], part, size[i:j], component[i:j], owner, home[at[i] : at[j]]))
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -371,8 +379,8 @@ def class_components(docs: DataFrame, classes: DataFrame, k: int, percent: int)
     share = percent / 100
     least = int(np.floor(SKETCH * share - MARGIN * np.sqrt(SKETCH * share * (1 - share))))
     met = stored(leaves(classes), "leaves")
-    # A class has a leaf per path, more only where a node of the last level is cut into blocks.
-    homes = stored(met.groupBy("class").agg(F.collect_list("node").alias("homes")), "homes")
+    # Two classes under a base meet in one leaf of it, so the bases, one per path, say where a pair meets first.
+    homes = stored(met.groupBy("class").agg(F.collect_set("base").alias("homes")), "homes")
     alone = classes.select("class", "sketch", "size", F.col("class").alias("component"))
     components_now = sets = fine = tried = None
     for most in (1, 3, 0):
@@ -428,6 +436,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
 def representatives(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """One document of each group, all columns: the one of least id. Rows of one id with the
     same text count once; rows with a null id stay, each text once."""
-    found = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    mine = docs.join(found, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    name = free_name(docs, "kept_id")
+    found = near_duplicates(docs, k, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    mine = docs.join(found, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id", "text"])
     return mine.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"]))

@@ -2,8 +2,9 @@
 
 Patterns find emails, addresses, cards and phone numbers. A three-state field (outside, cue,
 secret) over word-shape features adds credentials: keys, tokens and passwords. It is trained at the driver on
-a small table of labelled sentences and decoded by Viterbi for all sequences of a slice at
-once. A sequence is a word that is not plain (it has a digit or a sign, or is a known cue) with
+a small table of labelled sentences, the caller's or the one made here, and decoded by Viterbi for all sequences of a slice at
+once. The table made here has as many sentences without a secret as with one, among them ids, digests, versions, colours and addresses
+that look like one. A sequence is a word that is not plain (it has a digit or a sign, or is a known cue) with
 up to two words on either side; further plain words cannot be part of a secret.
 
 Null and empty texts have no spans. A found secret that overlaps a pattern's span is left out.
@@ -103,6 +104,15 @@ SENTENCES = (
     '{w} = "{w}" {w}', "{w}: {n} {w}", "{w}={n} {w} {w}", "{w} | {w} | {w}", "{w}*** {w}### {w}$$$ {w}&&&", "{w}!! {w}!! {w}!!", "{w} token {w} {w}",
     "the password {w} {w}", "{w} key {w} secret {w}", "{w} {n}-{n}-{n} {w}", "{w} {n}:{n} {w}", "{w} {n}% {w}", "{w} x{n} {w}{n} {w}", "{w} page={n} {w}",
     "{w} https://{w}.example.com/{w}/{n} {w}", "{w} #{n} {w}", "{w}, {w}; {w}: {w}", '{w} "{w} {w}" {w}', "{w} ({n}) {w}", "{w} mode={w} {w}",
+    "{w} <client_secret:> [{m}] {w}", "<private_key:> [ghp_{m}]", "{w} [client_secret={m}] {w}", "{w} [db_password={k}] {w}", "[SECRET_KEY={m}] {w}",
+    "<Authorization:> <Basic> [{m}==] {w}", "{w} <Basic> [{m}=] {w}", "<Authorization:> <Bearer> [eyJ{m}.eyJ{m}.{m}]", "{w} <Bearer> [eyJ{m}.{m}.{m}] {w}",
+    "{w} [API_TOKEN={k}]", "{w} <password:> [ghp_{m}] {w}", "{w} <auth_token:> [{m}] {w}", '{w} <client_secret> <=> ["{m}"] {w}',
+    "commit {k} {w} {w}", "{w} commit {k}", "{w} revision {k}. {w}", "md5 {k} {w}", "{w} sha1: {k} {w}", "sha256 {k}{k} {w}", "{w} checksum {k} {w}", "{w} digest: {k}",
+    "{w} id {k} {w}", "{w} {k} {w}", "{k} {w} {w}", "{w} uuid {k}-{n}-{n}-{k} {w}", "{w} {n}e{n}-{n}-{n} {w}", "{w} hash={k} {w}", "{w} etag={k} {w}", "{w} commit={k}",
+    "{w} color=#{n}{w} {w}", "{w} color=#ff00aa {w}", "{w} width={n} height={n}", "{w} version={n}.{n}.{n}-{w}{n} {w}", "{w} version=v{n}.{n} {w}", "{w} build={n}-{n}-{n}T{n}:{n}:{n}Z {w}",
+    "{w} https://{w}.example.com/?token_count={n} {w}", "{w} https://{w}.example.com/{w}?key={w}&page={n}", "{w} http://{w}.example.org/?session={n}", "{w} max_tokens={n} {w}",
+    "{w} password_length={n} {w}", "{w} token_count={n} {w}", "{w} n_keys={n}", "{w} score={n}.{n} {w}", "{w} {w}={w} {w}={w}", "{w} lang={w} {w}", "GPT{n}o{n} {w}", "{w} H{n}O {w} B{n}B {w}",
+    "{w} {w}{n}{w}{n} {w}", "{w} ISBN {n}-{n}-{n}-{n} {w}", "{w} ticket ABC-{n} {w}", "the password {w} {w} {w}", "{w} password: {w} {w}", "{w} token: {w} {w}", "{w} secret: {w} {w}",
 )
 
 
@@ -133,10 +143,16 @@ def shape(word: str) -> str:
     return re.sub(r"(a9|9a){2,}a?", "h", re.sub(r"(A9|9A){2,}A?", "H", collapsed))[:24]
 
 
+def parted(word: str) -> tuple[str, str, str]:
+    """Name, sign and value of a word like ``name=value``; signs at the end alone are padding of one whole value."""
+    name, sign, value = word.partition("=")
+    return (name, sign, value) if value.strip("=\"'.,;:)") or not value else (word, "", "")
+
+
 def shape_features(word: str) -> list[int]:
     """Hashed features of a word from its shape, length, ends and key before a sign."""
     body = word.strip("\"'.,;()*#$%&!")
-    name, sign, value = body.partition("=")
+    name, sign, value = parted(body)
     core = value if sign else body
     found = [
         "s" + shape(body),
@@ -144,6 +160,9 @@ def shape_features(word: str) -> list[int]:
         f"l{min(len(core), 48) // 4}",
         f"d{sum(map(str.isdigit, core[:64])) * 4 // max(len(core[:64]), 1)}",
         "n" + (name.lower()[:16] if sign else ""),
+        "q" + (re.split(r"[^a-z]+", name.lower()[-24:])[-1] if sign else ""),
+        "r" + (re.split(r"[^a-z]+", name.lower()[-24:])[-1] if sign else "") + str(min(len(value), 24) // 8),
+        f"u{'://' in word[:12]}{len(name) > 24}",
         "p" + word[:4],
         f"e{bool(sign)}{word[:1] in chr(34) + chr(39)}{word[-1:] == ':'}",
         "w" + word.lower() if len(word) <= 12 and not re.search("[0-9]", word) else "long",
@@ -170,8 +189,9 @@ def is_plain(word: str, cues: set[str]) -> bool:
     return word not in cues and not re.search(SIGNS, word)
 
 
-def train() -> Model:
-    table = labelled()
+def train(table: list[tuple[list[str], list[int]]] | None = None) -> Model:
+    """A field fitted to labelled sentences, (words, states) each; a few thousand at most, as the driver fits it."""
+    table = labelled() if table is None else table
     cues = sorted({w for words, states in table for w, s in zip(words, states, strict=True) if s == CUE} | {"="})
     features, counts, lengths, labels = [], [], [], []
     for words, states in table:
@@ -231,7 +251,7 @@ def spans_of(column, model: Model) -> list[np.ndarray]:
     heads = [t[:2] for t in taken]
     for d, a, b in zip(doc.tolist(), words.start[at].tolist(), words.stop[at].tolist(), strict=True):
         word = words.data[a:b].tobytes().decode("utf-8", "replace")
-        head, sign, value = word.partition("=")
+        _, sign, value = parted(word)
         kept = value if sign and value else word
         lead = len(word) - len(kept)
         lead += len(kept) - len(kept.lstrip("\"'(,;:"))

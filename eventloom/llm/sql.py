@@ -83,7 +83,9 @@ _RULES = (
 def _html_text(html: str) -> str:
     for pattern, replacement in _RULES:
         html = f"regexp_replace({html}, '{pattern}', '{replacement}', 'g')"
-    for name, character in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&amp;", "&")):
+    # Of numeric entities the pages have only the apostrophe.
+    entities = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&apos;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+    for name, character in entities:
         html = f"replace({html}, '{name}', '{character}')"
     html = f"regexp_replace({html}, '[ \\t\\r\\f\\x0B]+', ' ', 'g')"
     html = f"regexp_replace({html}, ' ?\\n[ \\n]*', chr(10), 'g')"

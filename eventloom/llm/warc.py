@@ -8,16 +8,20 @@ refer to the response by its id, keep its target and date, and have digests of t
 Ids are UUIDs made from the id of the response, so a second run makes the same records.
 
 HTML becomes text by expressions: scripts, styles and comments go, blocks end lines, tags go,
-named and common numeric entities are decoded, blanks collapse. A response that is encoded
-(gzip and the like) or not text gets a metadata record with ``conversion-status: skipped`` and no conversion.
+numeric entities and the named ones of ``ENTITIES`` are decoded, blanks collapse. A response that is encoded
+(gzip and the like) or not text gets a metadata record with ``conversion-status: skipped`` and no conversion; one in
+a character set that is unknown, or that its bytes do not follow, the same with ``undecodable``. Without a character set, or
+with UTF-8, bytes that are not UTF-8 are read as Latin-1.
 A null or headless block is an empty page with status 0. Null ids give records that refer
 to nothing (null). Records of other types give nothing. Repeated rows repeat their derivatives. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 FIELDS = ("record_id", "warc_type", "refers_to", "target_uri", "warc_date", "content_type", "block", "block_digest", "payload_digest")
 #: Text patterns with their replacement, in the order of their use; RE2 and Java read them alike.
@@ -29,7 +33,16 @@ HTML_RULES = (
     (r"(?i)<(?:br|/?p|/?div|/?li|/?ul|/?ol|/?tr|/?table|/?h[1-6]|/?article|/?section|/?nav|/?header|/?footer|/?body)\b[^>]*>", "\n"),
     (r"<[!/A-Za-z][^>]*>", ""),
 )
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+#: Named entities, the ampersand last, so that nothing is decoded twice.
+ENTITIES = (
+    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
+    ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+    ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"), ("&euro;", "€"), ("&pound;", "£"), ("&sect;", "§"),
+    ("&times;", "×"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"),
+    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&ntilde;", "ñ"), ("&amp;", "&"),
+)
+#: Character sets that expressions read; all others are left to Python's codecs.
+UTF_8, LATIN_1 = ("", "utf-8", "utf8", "us-ascii", "ascii"), ("iso-8859-1", "latin1", "latin-1")
 BLANKS = ((r"[ \t\r\f\x0B]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", ""))
 
 
@@ -44,9 +57,43 @@ def digest_of(block: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(block, 256))
 
 
+def without_numeric_entities(text: Column) -> Column:
+    """The text with ``&#233;`` and ``&#xE9;`` as characters; numbers that name none stay."""
+
+    def piece(p: Column) -> Column:
+        number = F.regexp_extract(p, "^([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});", 1)
+        code = F.when(F.lower(number).startswith("x"), F.conv(F.substring(number, 2, 6), 16, 10)).otherwise(number).try_cast("int")
+        exists = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        # An ampersand stays an entity till the end, so that it makes no new one with what follows.
+        character = F.when(code == 38, "&amp;").otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        rest = F.substr(p, F.length(number) + 2)
+        return F.when(exists, F.concat(character, rest)).otherwise(F.concat(F.lit("&#"), p))
+
+    def decoded(t: Column) -> Column:
+        parts = F.split(t, "&#")
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+
+    # In a lambda the text is computed once, however often it is used.
+    return F.transform(F.array(text), lambda t: F.when(t.contains("&#"), decoded(t)).otherwise(t))[0]
+
+
+@F.pandas_udf(StringType())
+def decoded_by_codec(body: pd.Series, charset: pd.Series) -> pd.Series:
+    """Text of bodies in any character set Python knows; null for unknown ones and bytes that do not fit."""
+
+    def one(value, name):
+        try:
+            return None if value is None else bytes(value).decode(name)
+        except (LookupError, UnicodeError, ValueError):
+            return None
+
+    return pd.Series([one(b, c) for b, c in zip(body, charset, strict=True)], dtype=object)
+
+
 def html_text(html: Column) -> Column:
     for pattern, replacement in HTML_RULES:
         html = F.regexp_replace(html, pattern, replacement)
+    html = without_numeric_entities(html)
     for name, character in ENTITIES:
         html = F.replace(html, F.lit(name), F.lit(character))
     for pattern, replacement in BLANKS:
@@ -97,18 +144,24 @@ def parsed(responses: DataFrame) -> DataFrame:
 
 def derivatives(responses: DataFrame) -> DataFrame:
     """Metadata and conversion records, with ``length`` and the fields of FIELDS."""
-    rows = parsed(responses)
+    charset = F.col("charset")
+    other = F.col("readable") & ~charset.isin(*UTF_8, *LATIN_1)
+    # Only bodies in other character sets travel to Python.
+    rows = parsed(responses).withColumn("decoded", decoded_by_codec(F.when(other, F.col("body")), F.when(other, charset)))
+    latin_1 = F.decode("body", "ISO-8859-1")
     decoded = (
-        F.when(F.col("charset").isin("iso-8859-1", "latin1", "latin-1", "windows-1252"), F.decode("body", "ISO-8859-1"))
-        .when(F.col("charset").isin("utf-16", "utf16"), F.decode("body", "UTF-16"))
-        .otherwise(F.expr("try_validate_utf8(CAST(body AS STRING))"))
+        F.when(charset.isin(*LATIN_1), latin_1)
+        .when(charset.isin(*UTF_8), F.coalesce(F.expr("try_validate_utf8(CAST(body AS STRING))"), latin_1))
+        .otherwise(F.col("decoded"))
     )
-    html = F.coalesce(decoded, F.decode("body", "ISO-8859-1"))
+    html = F.coalesce("page", F.lit(""))
     title = html_text(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
     links = F.size(F.regexp_extract_all("html", F.lit(r"(?i)<a\b[^>]*\bhref="), F.lit(0)))
-    opened = rows.select("*", F.inline(F.array(F.struct(F.when(F.col("readable"), html).otherwise("").alias("html")))))
+    paged = rows.select("*", F.inline(F.array(F.struct(F.when(F.col("readable"), decoded).alias("page")))))
+    status = F.when(~F.col("readable"), "skipped").when(F.col("page").isNull(), "undecodable").otherwise("converted")
+    opened = paged.select("*", html.alias("html"), status.alias("conversion"))
     facts = F.struct(html_text(F.col("html")).alias("text"), title.alias("title"), links.alias("links"))
-    read = opened.select(*FIELDS, "head", "status", "charset", "readable", F.inline(F.array(facts)))
+    read = opened.select(*FIELDS, "head", "status", "charset", "conversion", F.inline(F.array(facts)))
     conversion_id, metadata_id = uuid_of(F.lit("conversion|"), F.col("record_id")), uuid_of(F.lit("metadata|"), F.col("record_id"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), F.coalesce(value.cast("string"), F.lit("")), F.lit("\r\n"))
     headers = F.regexp_replace(F.regexp_replace("head", r"^[^\r\n]*(?:\r\n)?", ""), r"(^|\n)([^\r\n])", "$1http-header-$2")
@@ -121,14 +174,14 @@ def derivatives(responses: DataFrame) -> DataFrame:
         line("charset", F.col("charset")),
         line("title", F.col("title")),
         line("outlinks", F.col("links")),
-        line("conversion-status", F.when(F.col("readable"), "converted").otherwise("skipped")),
-        F.when(F.col("readable"), line("conversion-record-id", conversion_id)).otherwise(""),
+        line("conversion-status", F.col("conversion")),
+        F.when(F.col("conversion") == "converted", line("conversion-record-id", conversion_id)).otherwise(""),
     )
     made = [
         F.struct(metadata_id.alias("id"), F.lit("metadata").alias("type"), F.lit("application/warc-fields").alias("kind"), fields.cast("binary").alias("made")),
         F.struct(conversion_id.alias("id"), F.lit("conversion").alias("type"), F.lit("text/plain; charset=utf-8").alias("kind"), F.col("text").cast("binary").alias("made")),
     ]
-    both = read.select("record_id", "target_uri", "warc_date", F.inline(F.when(F.col("readable"), F.array(*made)).otherwise(F.array(made[0]))))
+    both = read.select("record_id", "target_uri", "warc_date", F.inline(F.when(F.col("conversion") == "converted", F.array(*made)).otherwise(F.array(made[0]))))
     return both.select(
         F.col("id").alias("record_id"),
         F.col("type").alias("warc_type"),

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontam, graph, mixing, neardup, pii, quality, rules, substring, text, tokens, toxicity, warc
+from eventloom.llm import crf, decontam, graph, mixing, neardup, pii, quality, rules, substring, text, tokens, toxicity, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -131,12 +133,42 @@ def test_last_round_runs_after_an_empty_one(spark, monkeypatch):
     names = made.column("class").to_pylist()
     sets = [set(v.split()) for v in value]
     assert [4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]) for a, b in cross] == [False, False, False, True]
-    leaves = [(1, names[0]), (1, names[1]), (2, names[2]), (2, names[3]), *[(3, n) for n in names]]
-    monkeypatch.setattr(neardup, "leaves", lambda _: spark.createDataFrame(leaves, "node long, class long"))
+    leaves = [(n, c, n, 0) for n, c in [(1, names[0]), (1, names[1]), (2, names[2]), (2, names[3]), *[(3, c) for c in names]]]
+    monkeypatch.setattr(neardup, "leaves", lambda _: spark.createDataFrame(leaves, "node long, class long, base long, own int"))
     found = neardup.near_duplicates(spark.createDataFrame(list(enumerate(value)), "doc_id long, text string"), 1, 75).collect()
     assert {r.component_id for r in found} == {0}
 
 
+def test_large_groups_carry_one_node_per_path(spark, monkeypatch):
+    """A group that no level divides: its blocks hold each pair once, and what a row carries does not grow with them."""
+    monkeypatch.setattr(neardup, "NODE", 20)
+    monkeypatch.setattr(neardup, "LEVELS", 2)
+    carried = []
+    for n in (60, 120):
+        core = [f"c{i}" for i in range(300)]
+        value = [" ".join([*core, *[f"own{d}x{i}" for i in range(6)]]) for d in range(n)]
+        docs = spark.createDataFrame(list(enumerate(value)), "doc_id long, text string")
+        made = [neardup.sketch_slice(pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(value)], ["doc_id", "text"]), 1)]
+        classes = spark.createDataFrame(pa.Table.from_batches(made)).select("class", F.col("tokens").alias("tokens"))
+        met = neardup.leaves(classes).toPandas()
+        assert met.groupby("class")["base"].nunique().max() <= 2 * neardup.TREES
+        blocks = met[met["node"] != met["base"]]
+        assert len(blocks)
+        base, group = next(iter(blocks.groupby("base")))
+        pairs = Counter()
+        for _, leaf in group.groupby("node"):
+            several = leaf["own"].nunique() > 1
+            for (a, own_a), (b, own_b) in itertools.combinations(sorted(zip(leaf["class"], leaf["own"])), 2):
+                pairs[a, b] += not several or own_a != own_b
+        size = group["class"].nunique()
+        assert len(pairs) == size * (size - 1) // 2 and set(pairs.values()) == {1}
+        homes = met.groupby("class")["base"].nunique()
+        carried.append(met["class"].map(homes).sum() / len(met))
+        assert {r.component_id for r in neardup.near_duplicates(docs, 1, 75).collect()} == {0}
+    # Entries carried by a leaf row stay the same when the group doubles.
+    assert carried[1] <= carried[0] * 1.2
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 150)] + [(200, 200), (None, 3)]
     found = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
@@ -197,10 +229,79 @@ def test_patterns_match_plain_regular_expressions():
     value = "".join(rng.choice(alphabet) for _ in range(60_000))
     email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
     address = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+    card, phone = re.compile(r"[0-9](?:[\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+    plain = lambda m: re.sub("[^0-9]", "", m.group())
+
+    def luhn(digits):
+        doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+    value += " 4111 1111 1111 1111 4111-1111-1111-1112 +1 (555) 123-4567 +12 34 +1234567890123456 6011000990139424 "
+    assert list(pii.cards(value)) == [m.span() for m in card.finditer(value) if 16 <= len(plain(m)) <= 19 and luhn(plain(m))]
+    assert list(pii.phones(value)) == [m.span() for m in phone.finditer(value) if 8 <= len(plain(m)) <= 15]
+    assert len(list(pii.cards(value))) >= 2 and len(list(pii.phones(value))) >= 1
     assert list(pii.emails(value)) == [m.span() for m in email.finditer(value)]
     assert list(pii.ips(value)) == [m.span() for m in address.finditer(value) if all(int(p) <= 255 for p in m.group().split("."))]
 
 
+def secrets_in(model, sentences):
+    column = pa.array([s.replace("[", "").replace("]", "") for s in sentences])
+    found = pii.spans_of(column, model)[pii.KINDS.index("secret")]
+    return [{(a, b) for d, a, b in found.tolist() if d == i} for i in range(len(sentences))]
+
+
+def secret_spans(sentence):
+    at, spans = 0, set()
+    for part in re.split(r"(\[[^]]*\])", sentence):
+        if part.startswith("["):
+            spans.add((at, at + len(part) - 2))
+        at += len(part) - 2 * part.startswith("[")
+    return spans
+
+
+#: Sentences whose words and forms are not in the training table.
+HELD_OUT = (
+    "config password=[{k}] was set", "export MY_API_KEY=[{m}]", "client_secret: [ghp_{m}] here", "Authorization: Basic [{m}==] sent", "use Bearer [eyJ{m}.eyJ{m}.{m}] now",
+    'the token = "[{k}]" leaked', "aws [AKIA{u}] found", "db_password=[{m}] in env", "secret: [{k}] do not share", "access_token=[{k}] expires",
+    "commit {h} fixed the bug", "md5 {x} of the file", "color=#ff00aa and width=12", "version=1.2.3-beta4 released", "see https://a.example.com/?token_count=5&page=2 there",
+    "GPT4o2024 and H2O and B2B", "uuid 123e4567-e89b-12d3-a456-426614174000 row", "sha256 {x}{x} matches", "build=2024-11-05T10:00:00Z ok", "max_tokens=512 temperature=0.7",
+    "the password field is empty", "score=0.93 rank=17", "mail=none phone=none", "ISBN 978-3-16-148410-0 page 12",
+)
+
+
+def test_secrets_on_held_out_sentences():
+    rng = np.random.default_rng(99)
+    pick = lambda letters, low, high: "".join(rng.choice(list(letters), rng.integers(low, high)))
+    mixed_ = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    fill = {
+        "k": lambda: pick("0123456789abcdef", 16, 41), "m": lambda: pick(mixed_, 16, 30), "u": lambda: pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16, 17),
+        "h": lambda: pick("0123456789abcdef", 40, 41), "x": lambda: pick("0123456789abcdef", 32, 33),
+    }
+    sentences = [re.sub(r"\{(\w)\}", lambda m: fill[m[1]](), s) for s in HELD_OUT * 25]
+    right = found = wanted = 0
+    for got, truth in zip(secrets_in(pii.train(), sentences), map(secret_spans, sentences), strict=True):
+        right, found, wanted = right + len(got & truth), found + len(got), wanted + len(truth)
+    print(f"secrets: precision {right / found:.3f}, recall {right / wanted:.3f}")
+    assert right / found >= 0.9 and right / wanted >= 0.9
+
+
+def test_secrets_follow_the_table_given():
+    table = [(["code", "zz11qq"], [pii.OUTSIDE, pii.SECRET]), (["code", "12"], [pii.OUTSIDE, pii.OUTSIDE]), (["a", "b"], [0, 0])] * 30
+    model = pii.train(table)
+    assert secrets_in(model, ["code [zz11qq] 12", "password=[0123456789abcdef]"])[0] == {(5, 11)}
+
+
+def test_viterbi_matches_enumeration():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        n, states = int(rng.integers(1, 6)), 3
+        score, enter, moves = rng.normal(size=(n, states)), rng.normal(size=states), rng.normal(size=(states, states))
+        total = lambda p: enter[p[0]] + sum(score[i, s] for i, s in enumerate(p)) + sum(moves[a, b] for a, b in itertools.pairwise(p))  # noqa: B023, E731
+        best = max(itertools.product(range(states), repeat=n), key=total)
+        found = crf.viterbi(score, np.array([n]), enter[None, :], moves, np.zeros((1, states)))
+        assert tuple(found.tolist()) == best
+
+
 def test_classifiers_on_odd_rows(odd, empty, labels):
     for module in (toxicity, quality):
         model = module.train(odd, labels)
@@ -261,6 +362,41 @@ def test_mixing_meets_the_margins(spark, odd, empty):
     assert share("topic") == pytest.approx(topics, abs=0.04)
     assert total == pytest.approx(0.3 * sum(len(words(m[1])) for m in made), rel=0.06)
     assert mixing.mixed(odd).count() <= odd.count() and mixing.mixed(empty).count() == 0
+    clashing = docs.withColumns({"_mix_source": F.lit(1), "_MIX_TOKENS": F.lit(1), "Topic": F.lit("x")})
+    same = mixing.mixed(clashing, targets, topics, rate=0.3, flatten=0.5, topic=topic)
+    assert rows(same.select("doc_id", "topic", "sample_weight")) == rows(out.select("doc_id", "topic", "sample_weight"))
+    assert "Topic" not in same.columns and {"_mix_source", "_MIX_TOKENS"} <= set(same.columns)
+
+
+def test_contradicting_margins_are_reported(spark):
+    docs = spark.createDataFrame([(i, "w " * 100, lang, lang) for i in range(200) for lang in ("en", "de")], "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.mixed(docs, {"en": 0.9, "de": 0.1}, {"all": 1.0}, topic=F.lit("all"))
+
+
+def test_raking_matches_a_plain_loop(spark):
+    rng = np.random.default_rng(8)
+    cells = rng.integers(1, 500, (5, 3, 3)).astype(float)
+    cells[:, 2, :] = cells[:, :, 2] = 0
+    sources = spark.createDataFrame([(f"s{i}", cells[i].ravel().tolist()) for i in range(5)], "source string, tokens array<double>")
+    languages, topics = {"a": 0.7, "b": 0.3}, {"x": 0.2, "y": 0.8}
+    by_l, by_t, log = mixing.rake(sources, languages, topics, 0.5)
+    fitted, total = cells.copy(), cells.sum()
+    own = np.sqrt(cells.sum(axis=(1, 2)))
+    for _ in range(2000):
+        fitted *= (np.array([0.7, 0.3, 0]) * total / np.maximum(fitted.sum(axis=(0, 2)), 1e-300))[None, :, None]
+        fitted *= (np.array([0.2, 0.8, 0]) * total / np.maximum(fitted.sum(axis=(0, 1)), 1e-300))[None, None, :]
+        fitted *= (own / own.sum() * total / fitted.sum(axis=(1, 2)))[:, None, None]
+    factor = sources.select("source", mixing.source_factor(by_l, by_t, log[-1]["total"], log[-1]["powers"], 0.5).alias("f")).collect()
+    mine = np.array([r.f for r in sorted(factor)])[:, None, None] * np.outer(by_l, by_t) * cells
+    assert mine == pytest.approx(fitted, rel=1e-3, abs=1e-6)
+
+
+def test_clashing_columns_do_not_stop_the_stages(odd):
+    clashing = odd.withColumns({"kept_id": F.lit(1), "Leaking_ID": F.lit("x")})
+    assert {"kept_id", "Leaking_ID"} <= set(neardup.representatives(clashing).columns)
+    items = odd.where("doc_id = 1").select(F.col("doc_id").alias("item_id"), "text")
+    assert decontam.clean(clashing, items).where("doc_id IN (1, 2)").count() == 0
 
 
 def test_warc_round_trip_and_links(spark):
@@ -279,3 +415,24 @@ def test_warc_round_trip_and_links(spark):
     assert "http-header-Content-Type: text/html; charset=utf-8\r\n" in fields and "title: T & u\r\n" in fields
     assert all(r.block_digest == "sha256:" + hashlib.sha256(bytes(r.block)).hexdigest() for r in records)
     assert rows(warc.deserialized(warc.serialized(made))) == rows(made.select(*warc.FIELDS))
+    assert warc.derivatives(both.where("false")).count() == 0
+
+
+def test_warc_character_sets_and_entities(spark):
+    page = "<p>&#233;&#x2014;&eacute; &copy; &amp;lt; &#xD800; &#99999999; &#; 5 &lt; 6 &#38;amp;</p>" + "<b>long</b> " * 50_000
+    made = [
+        (1, "utf-16", "héllo“".encode("utf-16")), (2, "utf-16", b"\xff\xfe\x00\xd8a"), (3, "shift_jis", "日本".encode("shift_jis")),
+        (4, "no-such", b"x"), (5, "windows-1252", b"\x93q\x94"), (6, "utf-8", b"\xe9"), (7, "utf-8", page.encode()), (8, "", None),
+    ]
+    head = lambda charset: f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}\r\n\r\n".encode()
+    rows_ = [(f"urn:{i}", "response", head(c) + (b or b""), "clash", "clash", True) for i, c, b in made]
+    df = spark.createDataFrame(rows_, "record_id string, warc_type string, block binary, html string, page string, decoded boolean")
+    for name in warc.FIELDS:
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
+    found = warc.derivatives(df).collect()
+    texts = {r.refers_to: bytes(r.block).decode() for r in found if r.warc_type == "conversion"}
+    states = {r.refers_to: re.search("conversion-status: (.*)\r", bytes(r.block).decode())[1] for r in found if r.warc_type == "metadata"}
+    assert {k: v for k, v in texts.items() if k != "urn:7"} == {"urn:1": "héllo“", "urn:3": "日本", "urn:5": "“q”", "urn:6": "é", "urn:8": ""}
+    assert states == {f"urn:{i}": "undecodable" if i in (2, 4) else "converted" for i in range(1, 9)}
+    assert texts["urn:7"].startswith("é—é © &lt; &#xD800; &#99999999; &#; 5 < 6 &amp;\nlong long")
