@@ -8,7 +8,7 @@ refer to the response by its id, keep its target and date, and have digests of t
 Ids are UUIDs made from the id of the response, so a second run makes the same records.
 
 HTML becomes text by expressions: scripts, styles and comments go, blocks end lines, tags go,
-numeric entities and the named ones of ``ENTITIES`` are decoded, blanks collapse. A response that is encoded
+numeric entities and the named ones of ``ENTITIES`` and ``RARE_ENTITIES`` are decoded, blanks collapse. A response that is encoded
 (gzip and the like) or not text gets a metadata record with ``conversion-status: skipped`` and no conversion; one in
 a character set that is unknown, or that its bytes do not follow, the same with ``undecodable``. Without a character set, or
 with UTF-8, bytes that are not UTF-8 are read as Latin-1.
@@ -33,14 +33,15 @@ HTML_RULES = (
     (r"(?i)<(?:br|/?p|/?div|/?li|/?ul|/?ol|/?tr|/?table|/?h[1-6]|/?article|/?section|/?nav|/?header|/?footer|/?body)\b[^>]*>", "\n"),
     (r"<[!/A-Za-z][^>]*>", ""),
 )
-#: Named entities, the ampersand last, so that nothing is decoded twice.
-ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
+#: Named entities that many texts have, those that few have, and the ampersand, which comes last, so that nothing is decoded twice.
+ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"))
+RARE_ENTITIES = (
+    ("&apos;", "'"), ("&reg;", "®"), ("&trade;", "™"), ("&bull;", "•"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"),
     ("&ldquo;", "“"), ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"), ("&euro;", "€"), ("&pound;", "£"), ("&sect;", "§"),
     ("&times;", "×"), ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"),
-    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&ntilde;", "ñ"), ("&amp;", "&"),
+    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&ccedil;", "ç"), ("&ntilde;", "ñ"),
 )
+AMPERSAND = (("&amp;", "&"),)
 #: Character sets that expressions read; all others are left to Python's codecs.
 UTF_8, LATIN_1 = ("", "utf-8", "utf8", "us-ascii", "ascii"), ("iso-8859-1", "latin1", "latin-1")
 BLANKS = ((r"[ \t\r\f\x0B]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", ""))
@@ -73,8 +74,23 @@ def without_numeric_entities(text: Column) -> Column:
         parts = F.split(t, "&#")
         return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
 
+    return F.when(text.contains("&#"), decoded(text)).otherwise(text)
+
+
+def without_entities(text: Column) -> Column:
+    """The text with its entities as characters. Few texts have another one than those that all have, so most are not
+    searched for each."""
+
+    def replaced(t: Column, entities) -> Column:
+        for name, character in entities:
+            t = F.replace(t, F.lit(name), F.lit(character))
+        return t
+
+    def rest(t: Column) -> Column:
+        return replaced(without_numeric_entities(t), RARE_ENTITIES)
+
     # In a lambda the text is computed once, however often it is used.
-    return F.transform(F.array(text), lambda t: F.when(t.contains("&#"), decoded(t)).otherwise(t))[0]
+    return F.transform(F.array(replaced(text, ENTITIES)), lambda t: replaced(F.when(t.rlike("&(?!amp;)[#A-Za-z]"), rest(t)).otherwise(t), AMPERSAND))[0]
 
 
 @F.pandas_udf(StringType())
@@ -93,9 +109,7 @@ def decoded_by_codec(body: pd.Series, charset: pd.Series) -> pd.Series:
 def html_text(html: Column) -> Column:
     for pattern, replacement in HTML_RULES:
         html = F.regexp_replace(html, pattern, replacement)
-    html = without_numeric_entities(html)
-    for name, character in ENTITIES:
-        html = F.replace(html, F.lit(name), F.lit(character))
+    html = without_entities(html)
     for pattern, replacement in BLANKS:
         html = F.regexp_replace(html, pattern, replacement)
     return html
