@@ -3,12 +3,13 @@
 Every window of ``k`` consecutive words gets a Rabin-Karp hash. A word is removed if a window
 over it also starts in a document with a smaller id. Windows are judged on the input.
 
-1. *Requests.* A scan hashes all windows. Within a slice of texts, only the document with the
-   smallest id asks for a hash; the others know already that their window is repeated. Requests
-   are packed into one row per slice and hash range, so a window costs little more than its hash.
-2. *Answers.* Each hash range lies in one task of bounded size: the number of ranges follows
-   from the bytes of the corpus, and one document per slice asks for a hash, however many hold
-   it. The task returns the windows whose hash belongs to a smaller id.
+1. *Requests.* A scan hashes all windows. A slice of texts asks once for each of its hashes, in
+   the name of its smallest id with that hash; windows of larger ids are known to be repeated.
+   Requests are packed into one row per slice and hash range. A row of its own tells which
+   windows wait for which request; in order of the text, these numbers are nearly free.
+2. *Answers.* Each hash range lies in one task: the number of ranges follows from the bytes of
+   the corpus, and a hash adds one entry per slice, however many documents or places hold it.
+   The task returns the requests whose hash belongs to a smaller id.
 3. *Removal.* The answers of a slice become maximal intervals of word positions per document,
    which join the texts.
 
@@ -41,8 +42,11 @@ LAST = np.iinfo(np.int64).max
 #: Base of the second hash, which widens the first one where a corpus needs it.
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 
-REQUESTS = "range int, slice long, width int, hashes binary, docs binary, keys binary, positions binary, entries int"
-ANSWERS = "slice long, docs binary, keys binary, positions binary"
+#: Requests of a slice to a hash range, or (range < 0) the windows of a slice with the request each waits for.
+REQUESTS = (
+    "range int, slice long, width int, entries int, hashes binary, ids binary, numbers binary, docs binary, keys binary, positions binary"
+)
+ANSWERS = "slice long, entries int, numbers binary, docs binary, keys binary, positions binary"
 FOUND = "doc_id long, text_key long, starts array<int>, stops array<int>"
 
 
@@ -80,15 +84,26 @@ def unpacked(value: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), kind)
 
 
-def packed_places(place: np.ndarray) -> bytes:
-    """Word positions as steps, the four bytes of each in planes, which compress well."""
-    steps = np.diff(place.astype(np.int32), prepend=np.int32(0))
+def packed_steps(values: np.ndarray) -> bytes:
+    """32-bit integers as steps, the four bytes of each in planes, which compress well."""
+    steps = np.diff(values.astype(np.int32), prepend=np.int32(0))
     return packed_bytes(steps.view(np.uint8).reshape(-1, 4).T)
 
 
-def places(value: bytes) -> np.ndarray:
+def steps_of(value: bytes) -> np.ndarray:
     planes = unpacked(value, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel())
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int32).ravel(), dtype=np.int32)
+
+
+def packed_runs(ids: np.ndarray) -> bytes:
+    """The values of runs of equal ids and the lengths of the runs."""
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    return packed_bytes(np.concatenate([ids[at], np.diff(np.append(at, len(ids)))]))
+
+
+def runs_of(value: bytes) -> np.ndarray:
+    ids, counts = unpacked(value, np.int64).reshape(2, -1)
+    return np.repeat(ids, counts)
 
 
 def packed_docs(row: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> tuple[bytes, bytes]:
@@ -104,7 +119,8 @@ def docs_of(docs: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def split_slice(batch: pa.RecordBatch, k: int, ranges: int, width: int) -> pa.RecordBatch | None:
-    """Requests of a slice, and as a row of range < 0 the windows it knows to be repeated."""
+    """A row with all windows of a slice, and its requests, numbered from 1 in order of the text.
+    Windows known to be repeated wait for number 0."""
     words = Words(batch.column("text"))
     ids = pc.fill_null(batch.column("doc_id"), LAST).to_numpy(zero_copy_only=False)
     keys = batch.column("text_key").to_numpy()
@@ -113,80 +129,87 @@ def split_slice(batch: pa.RecordBatch, k: int, ranges: int, width: int) -> pa.Re
         return None
     code, extra = wide(words.hashes(), k, width)[:, at]
     doc = words.doc[at]
-    order = np.lexsort((ids[doc], extra, code) if width > 8 else (ids[doc], code))
-    code, extra, doc, at = code[order], extra[order], doc[order], at[order]
+    order = np.lexsort((at, ids[doc], extra, code) if width > 8 else (at, ids[doc], code))
+    code, extra, owner = code[order], extra[order], ids[doc][order]
     new = np.ones(len(at), bool)
     new[1:] = (code[1:] != code[:-1]) | (extra[1:] != extra[:-1])
-    asks = ids[doc] == ids[doc[new]][np.cumsum(new) - 1]
+    group = np.cumsum(new) - 1
+    code, extra, leader = code[new], extra[new], order[new]
+    waits = owner == owner[new][group]
+    owner = owner[new]
+    rank = np.empty(len(leader), np.int32)
+    rank[np.argsort(leader)] = np.arange(1, len(leader) + 1)
+    number = np.zeros(len(at), np.int32)
+    number[order[waits]] = rank[group[waits]]
     name = int.from_bytes(hashlib.blake2b(ids.tobytes() + keys.tobytes(), digest_size=8).digest(), "little", signed=True)
-    rows = []
-    known = np.sort(at[~asks])
-    if len(known):
-        row = words.doc[known]
-        packed_row = (packed_places(known - words.first[row]), *packed_docs(row, ids, keys))
-        rows.append((-1 - abs(name) % ranges, name, width, None, packed_row[1], packed_row[2], packed_row[0], len(known)))
-    code, extra, doc, at = code[asks], extra[asks], doc[asks], at[asks]
+    docs, doc_keys = packed_docs(doc, ids, keys)
+    rows = [(-1 - abs(name) % ranges, name, width, len(at), None, None, packed_steps(number), docs, doc_keys, packed_steps(at - words.first[doc]))]
     bucket = ((code >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
-    order = np.lexsort((at, bucket))
-    code, extra, doc, at, bucket = code[order], extra[order], doc[order], at[order], bucket[order]
+    order = np.lexsort((rank, bucket))
+    code, extra, owner, rank, bucket = code[order], extra[order], owner[order], rank[order], bucket[order]
     edges = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
     shifts = np.arange(width - 8, dtype=np.uint64) * np.uint64(8)
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         hashes = code[a:b].tobytes() + (extra[a:b, None] >> shifts).astype(np.uint8).tobytes()
-        where = packed_places(at[a:b] - words.first[doc[a:b]])
-        rows.append((int(bucket[a]), name, width, hashes, *packed_docs(doc[a:b], ids, keys), where, int(b - a)))
-    kinds = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.int32()]
+        rows.append((int(bucket[a]), name, width, int(b - a), hashes, packed_runs(owner[a:b]), packed_steps(rank[a:b]), None, None, None))
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 6]
     names = [c.split()[0] for c in REQUESTS.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def answer(table: pa.Table) -> pa.Table:
-    """Windows of a hash range whose hash a smaller id asked for as well, a row per slice."""
+    """Numbers of the requests to a hash range whose hash a smaller id asked for as well, a row per slice."""
+    names = [c.split()[0] for c in ANSWERS.split(", ")]
     if table.num_rows and table.column("range")[0].as_py() < 0:
-        return table.select(["slice", "docs", "keys", "positions"])
-    rows = table.to_pylist()
-    parts = [[] for _ in range(5)]
-    for number, row in enumerate(rows):
+        return table.select(names)
+    rows = table.select(["slice", "width", "entries", "hashes", "ids", "numbers"]).to_pylist()
+    parts = [[] for _ in range(4)]
+    for place, row in enumerate(rows):
         n, width = row["entries"], row["width"]
         code = np.frombuffer(row["hashes"], np.uint64, n)
         tail = np.frombuffer(row["hashes"], np.uint8, offset=8 * n).reshape(n, width - 8).astype(np.uint64)
         extra = (tail << (np.arange(width - 8, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
-        ids, _ = docs_of(row["docs"], row["keys"])
         row["hashes"] = None
-        for part, value in zip(parts, (code, extra, ids, np.full(n, number, np.int32), np.arange(n, dtype=np.int32)), strict=True):
+        for part, value in zip(parts, (code, extra, runs_of(row["ids"]), np.full(n, place, np.int32)), strict=True):
             part.append(value)
-    code, extra, ids, number, entry = (np.concatenate(p) for p in parts)
+    code, extra, ids, place = (np.concatenate(p) for p in parts)
+    first = np.searchsorted(place, np.arange(len(rows)))
     order = np.lexsort((extra, code)) if extra.any() else np.argsort(code)
     code, extra = code[order], extra[order]
     new = np.ones(len(code), bool)
     new[1:] = (code[1:] != code[:-1]) | (extra[1:] != extra[:-1])
     least = np.minimum.reduceat(ids[order], np.flatnonzero(new)) if len(code) else ids
-    hit = order[ids[order] > least[np.cumsum(new) - 1]]
-    hit = hit[np.lexsort((entry[hit], number[hit]))]
+    hit = np.sort(order[ids[order] > least[np.cumsum(new) - 1]])
     made = []
-    for part in np.split(hit, np.flatnonzero(np.diff(number[hit])) + 1) if len(hit) else []:
-        row = rows[number[part[0]]]
-        row_ids, row_keys = docs_of(row["docs"], row["keys"])
-        at, where = entry[part], places(row["positions"])
-        same = np.cumsum(np.diff(row_ids, prepend=row_ids[0]).astype(bool) | np.diff(row_keys, prepend=row_keys[0]).astype(bool))
-        first = np.flatnonzero(np.diff(same, prepend=-1))
-        made.append((row["slice"], *packed_docs(same[at], row_ids[first], row_keys[first]), packed_places(where[at])))
-    names = [c.split()[0] for c in ANSWERS.split(", ")]
-    kinds = [pa.int64(), *[pa.binary()] * 3]
-    columns = list(zip(*made, strict=True)) or [[]] * 4
+    for part in np.split(hit, np.flatnonzero(np.diff(place[hit])) + 1) if len(hit) else []:
+        row = rows[place[part[0]]]
+        numbers = steps_of(row["numbers"])[part - first[place[part[0]]]]
+        made.append((row["slice"], len(part), packed_steps(numbers), None, None, None))
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    columns = list(zip(*made, strict=True)) or [[]] * 6
     return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(columns, kinds, strict=True)], names)
 
 
 def merged(table: pa.Table, k: int) -> pa.Table:
-    """The answers of one slice as maximal intervals, a row per document."""
-    parts = [(*docs_of(r["docs"], r["keys"]), places(r["positions"])) for r in table.to_pylist()]
-    ids, keys, where = (np.concatenate(p) for p in zip(*parts, strict=True))
+    """Windows of one slice that wait for an answered request, as maximal intervals, a row per document.
+    Equal slices have one name and are each other's equals: their windows are told once for all."""
+    rows = table.to_pylist()
+    windows = next(r for r in rows if r["docs"] is not None)
+    number = steps_of(windows["numbers"])
+    found = np.zeros(int(number.max()) + 1, bool)
+    found[0] = True
+    for row in rows:
+        if row["docs"] is None:
+            found[steps_of(row["numbers"])] = True
+    at = found[number]
+    ids, keys = (column[at] for column in docs_of(windows["docs"], windows["keys"]))
+    where = steps_of(windows["positions"])[at]
     order = np.lexsort((where, keys, ids))
     ids, keys, where = ids[order], keys[order], where[order]
     new = np.ones(len(ids), bool)
     new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
     row, start, stop = runs(np.cumsum(new) - 1, where, k)
-    counts = np.bincount(row)
+    counts = np.bincount(row, minlength=int(new.sum()))
     columns = [pa.array(ids[new]), pa.array(keys[new]), lists(start, counts, pa.int32()), lists(stop, counts, pa.int32())]
     return pa.Table.from_arrays(columns, ["doc_id", "text_key", "starts", "stops"])
 
@@ -201,8 +224,8 @@ def repeated_intervals(docs: DataFrame, k: int = 50, hash_bytes: int | None = No
     stops), a row per text that has any; several equal rows of a document share theirs."""
     tuned(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    windows = size / 6
-    ranges, width = max(1, math.ceil(windows / RANGE_WINDOWS)), hash_bytes or hash_width(windows)
+    # No text has more words than half its bytes; ordinary ones have a sixth.
+    ranges, width = max(1, math.ceil(size / 6 / RANGE_WINDOWS)), hash_bytes or hash_width((size + 1) / 2)
     asked = by_slices(keyed(docs), lambda part: split_slice(part, k, ranges, width), REQUESTS)
     answers = asked.groupBy("range").applyInArrow(answer, ANSWERS)
     found = answers.groupBy("slice").applyInArrow(lambda table: merged(table, k), FOUND)

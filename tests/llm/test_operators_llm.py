@@ -65,6 +65,24 @@ def test_substring_gives_a_row_for_each_of_equal_rows_in_several_slices(spark):
     assert rows(substring.without_repeats(docs, 4)) == sorted([*single, *[(2, 7, 6, "x")] * 3, *[(None, 7, 6, "y")] * 3], key=str)
 
 
+def test_substring_asks_once_for_a_hash_however_often_a_slice_holds_it():
+    texts = ["na " * 1_000_000, "na " * 70, "na " * 70, "a b c", "na " * 60]
+    ids = pa.array([5, 3, 3, 1, None], pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), pa.array([1, 2, 2, 3, 4], pa.int64())], ["doc_id", "text", "text_key"])
+    windows, *asked = substring.split_slice(batch, 50, 7, 8).to_pylist()
+    assert [row["entries"] for row in asked] == [1] and substring.runs_of(asked[0]["ids"]).tolist() == [3]
+    number = substring.steps_of(windows["numbers"])
+    assert len(number) == 1_000_000 - 49 + 3 * 21 - 10 and set(number[: 1_000_000 - 49]) == {0} and set(number[-11:]) == {0}
+    assert set(number[1_000_000 - 49 : -11]) == {1} and sum(len(v) for v in windows.values() if isinstance(v, bytes)) < 20_000
+
+
+def test_substring_with_one_repeated_word_in_many_slices(spark):
+    made = [(n, f"w{n} " + "na " * 5000) for n in range(1, 40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(made, 13), "doc_id long, text string")
+    expected = [(1, 5001, 0), *[(n, 5001, 5000) for n in range(2, 40)]]
+    assert rows(substring.without_repeats(docs, 50).drop("kept_text")) == sorted(expected, key=str)
+
+
 def test_finer_sketch_keeps_links_and_drops_distant_pairs():
     rng = np.random.default_rng(3)
     for size in (1, 4, 9, 60, 500, 6000):
