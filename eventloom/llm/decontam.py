@@ -15,8 +15,13 @@ share a key are compared exactly, with the window's surroundings, by bit-paralle
 distance. Repeats are chosen so that a window at the largest distance is found
 with probability 0.95 or more, and near ones almost surely (``tests/llm`` measures it).
 
-Documents are only scanned: blocks of a bounded number of items travel with the scan, one scan
-per block. Null and empty documents hold nothing. Items of fewer than ``shortest`` characters
+Long items are searched by parts of at most ``PART`` characters: the edits of a stretch cannot
+exceed the share in every part, so at least one part has a window within its own distance. The
+whole item is then compared around it. Windows and parts are embedded in batches of bounded
+total size, so memory follows neither the longest item nor the number of windows.
+
+Documents are only scanned: blocks of a bounded number of different items travel with the scan,
+one scan per block; items of equal text are searched once. Null and empty documents hold nothing. Items of fewer than ``shortest`` characters
 are looked up without windows: one that allows ``d`` edits is cut into ``d + 1`` pieces, of which
 one must stand in the text unchanged, and is compared exactly around it; one that allows no edit
 must stand there whole, not inside a longer word (in scripts that put spaces between words).
@@ -40,8 +45,10 @@ from eventloom.llm.text import Words, by_slices, mixed, tuned
 ITEMS, ITEM_BYTES = 20_000, 8_000_000
 Q = 8
 WALKS, SAMPLES, BITS = 10, 8, 11
-#: Windows embedded at once.
-WINDOWS = 4000
+#: Windows embedded at once, and bytes of them.
+WINDOWS, WINDOW_BYTES = 4000, 1_000_000
+#: Most characters of a part of an item.
+PART = 2000
 #: Most bytes between places at which stretches of text are judged by their q-grams.
 GAP = 64
 _RANDOM = np.random.default_rng(17)
@@ -104,6 +111,19 @@ def keys_of(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return (keys + table).reshape(n, -1)
 
 
+def keys_by_size(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``keys_of`` in batches of like size and bounded total size."""
+    order = np.argsort(size, kind="stable")
+    out, at = np.zeros((len(start), WALKS * SAMPLES), np.int64), 0
+    while at < len(order):
+        room = size[order[at : at + WINDOWS]]
+        fits = int(np.searchsorted(room * np.arange(1, len(room) + 1), WINDOW_BYTES, "right"))
+        part = order[at : at + max(1, fits)]
+        out[part] = keys_of(data, start[part], size[part])
+        at += len(part)
+    return out
+
+
 def search(item: str, text: str) -> tuple[int, int]:
     """Least edit distance of ``item`` to any stretch of ``text``, and where it first ends.
 
@@ -134,13 +154,18 @@ class Index:
 
     ids: list
     texts: list[str]
-    sizes: np.ndarray  # bytes
     allowed: np.ndarray  # edits, in characters
-    edits: np.ndarray  # bytes by which they can move a place
+    whole: np.ndarray  # bytes
+    slack: np.ndarray  # bytes by which the edits, and those of a part found, can move a place
+    # Of each part of an item; short enough items are one part.
+    owner: np.ndarray  # its item
+    place: np.ndarray  # its first byte in the item
+    sizes: np.ndarray  # bytes
+    edits: np.ndarray  # bytes by which edits can move a place
     least: np.ndarray  # q-grams that are left after them
-    posting: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted q-gram codes, item and place of each
-    code: np.ndarray  # sorted (size, key) codes and the item of each
-    item: np.ndarray
+    posting: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted q-gram codes, part and place of each
+    code: np.ndarray  # sorted (size, key) codes and the part of each
+    part: np.ndarray
 
 
 def code_of(size: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -179,22 +204,46 @@ def item_table(items: pa.Table, share: float, shortest: int):
     return data, start, size, texts, allowed, allowed * widest, least, (chars < shortest) | (least < 1)
 
 
+def parts_of(value: str, share: float) -> list[tuple[int, int, int, int]]:
+    """(place, size, edits, least) of the parts of an item in bytes; one part if a smaller one
+    could lose all its q-grams."""
+
+    def described(count: int):
+        cuts = [len(value) * j // count for j in range(count + 1)]
+        place = 0
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            piece = value[begin:end]
+            size, widest, allowed = len(piece.encode()), max(len(c.encode()) for c in set(piece)), int(share * len(piece))
+            yield place, size, allowed * widest, size - Q + 1 - (Q + widest - 1) * allowed
+            place += size
+
+    made = list(described(-(-len(value) // PART)))
+    return made if all(least > 0 for *_, least in made) else list(described(1))
+
+
 def build(items: pa.Table, share: float, shortest: int) -> Index | None:
-    data, start, size, texts, allowed, edits, least, short = item_table(items, share, shortest)
+    data, start, size, texts, allowed, edits, _, short = item_table(items, share, shortest)
     kept = np.flatnonzero(~short)
     if len(kept) == 0:
         return None
-    size, start = size[kept], start[kept]
-    each = [gram_codes(data[s : s + n]) for s, n in zip(start, size, strict=True)]
-    flat, owner = np.concatenate(each), np.repeat(np.arange(len(each)), list(map(len, each)))
+    parts = [(i, *part) for i, item in enumerate(kept) for part in parts_of(texts[item], share)]
+    owner, place, sizes, moved, least = np.array(parts, np.int64).T
+    start = start[kept][owner] + place
+    cut = np.bincount(owner, minlength=len(kept)) > 1
+    slack = edits[kept] + np.where(cut, np.maximum.reduceat(moved, np.searchsorted(owner, np.arange(len(kept)))), 0)
+    each = [gram_codes(data[a : a + n]) for a, n in zip(start, sizes, strict=True)]
+    flat, of = np.concatenate(each), np.repeat(np.arange(len(each)), list(map(len, each)))
     within = np.concatenate([np.arange(len(e)) for e in each])
     order = np.argsort(flat, kind="stable")
-    posting = (flat[order], owner[order], within[order])
-    code = np.concatenate([code_of(size[i : i + WINDOWS], keys_of(data, start[i : i + WINDOWS], size[i : i + WINDOWS])) for i in range(0, len(size), WINDOWS)])
-    owner = np.repeat(np.arange(len(size)), code.shape[1])
+    posting = (flat[order], of[order], within[order])
+    code = code_of(sizes, keys_by_size(data, start, sizes))
+    of = np.repeat(np.arange(len(sizes)), code.shape[1])
     order = np.argsort(code.ravel(), kind="stable")
-    ids = items.column("item_id").to_pylist()
-    return Index([ids[i] for i in kept], [texts[i] for i in kept], size, allowed[kept], edits[kept], least[kept], posting, code.ravel()[order], owner[order])
+    ids = items.column("item_key").to_pylist()
+    return Index(
+        [ids[i] for i in kept], [texts[i] for i in kept], allowed[kept], size[kept], slack, owner, place, sizes, moved, least,
+        posting, code.ravel()[order], of[order],
+    )
 
 
 def build_pieces(items: pa.Table, share: float, shortest: int) -> Pieces | None:
@@ -202,7 +251,7 @@ def build_pieces(items: pa.Table, share: float, shortest: int) -> Pieces | None:
     kept = np.flatnonzero(short & (size > 0))
     if len(kept) == 0:
         return None
-    texts, allowed, ids = [texts[i] for i in kept], allowed[kept], items.column("item_id").to_pylist()
+    texts, allowed, ids = [texts[i] for i in kept], allowed[kept], items.column("item_key").to_pylist()
     pairs, found = np.zeros(1 << 16, bool), {}
     for i, value in enumerate(texts):
         n = min(int(allowed[i]) + 1, len(value))
@@ -283,21 +332,28 @@ def by_windows(data: np.ndarray, words: np.ndarray, offsets: np.ndarray, index:
     if len(codes) == 0:
         return best
     start, size = candidates(index, codes, words, offsets)
-    tried = set()
+    compared: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for i in range(0, len(start), WINDOWS):
         s, n = start[i : i + WINDOWS], size[i : i + WINDOWS]
-        code = code_of(n, keys_of(data, s, n)).ravel()
+        code = code_of(n, keys_by_size(data, s, n)).ravel()
         window = np.repeat(np.arange(len(s)), WALKS * SAMPLES)
         low, high = np.searchsorted(index.code, code), np.searchsorted(index.code, code, "right")
         met = np.flatnonzero(high > low)
-        pairs = {(int(window[j]), int(index.item[x])) for j in met for x in range(low[j], high[j])}
+        pairs = {(int(window[j]), int(index.part[x])) for j in met for x in range(low[j], high[j])}
         doc = np.searchsorted(offsets, s, "right") - 1
-        for w, item in sorted(pairs):
-            d, k, most = int(doc[w]), int(index.edits[item]), int(index.allowed[item])
-            if best.get((d, item)) == 0 or (int(s[w]), item) in tried:
+        for w, part in sorted(pairs):
+            d, item = int(doc[w]), int(index.owner[part])
+            k, most = int(index.slack[item]), int(index.allowed[item])
+            if best.get((d, item)) == 0:
+                continue
+            begin = int(s[w] - index.place[part])
+            a, b = max(int(offsets[d]), begin - k), min(int(offsets[d + 1]), begin + int(index.whole[item]) + k)
+            # Other windows and parts of the same passage need no comparison of their own.
+            done = compared.setdefault((d, item), [])
+            if any(x <= a and b <= y for x, y in done[-64:]):
                 continue
-            tried.add((int(s[w]), item))
-            a, b = max(offsets[d], s[w] - k), min(offsets[d + 1], s[w] + n[w] + k)
+            a, b = max(int(offsets[d]), a - k), min(int(offsets[d + 1]), b + k)
+            done.append((a, b))
             found, _ = search(index.texts[item], data[a:b].tobytes().decode("utf-8", "ignore"))
             if found <= most and found < best.get((d, item), most + 1):
                 best[(d, item)] = found
@@ -347,20 +403,22 @@ def leaks_slice(batch: pa.RecordBatch, index: Index | None, pieces: Pieces | Non
         found += [(ids[d], part.ids[i], distance) for (d, i), distance in (best or {}).items()]
     if not found:
         return None
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["doc_id", "item_id", "distance"])
+    kinds = [pa.int64(), pa.string(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], ["doc_id", "item_key", "distance"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 24) -> DataFrame:
     """(doc_id, item_id, distance) of every item that a document holds, with its least distance."""
     tuned(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
-    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.sha2("text", 256).alias("item_key"), "text")
+    texts = items.select("item_key", "text").dropDuplicates(["item_key"])
+    count, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-count // ITEMS), -(-size // ITEM_BYTES))
-    shape, found = "doc_id long, item_id long, distance long", None
+    shape, found = "doc_id long, item_key string, distance long", None
     for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        part = part.orderBy("item_id").toArrow()
+        part = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("item_key"), F.lit(blocks)) == block)
+        part = part.orderBy("item_key").toArrow()
         index, pieces = build(part, share, shortest), build_pieces(part, share, shortest)
         if index is None and pieces is None:
             continue
@@ -368,7 +426,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest:
         found = made if found is None else found.unionByName(made)
     if found is None:
         return rows.limit(0).select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("distance"))
-    return found.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
+    found = found.groupBy("doc_id", "item_key").agg(F.min("distance").alias("distance"))
+    return found.join(items.select("item_id", "item_key").distinct(), "item_key").groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, share: float = 0.08, shortest: int = 24) -> DataFrame:

@@ -320,6 +320,32 @@ def test_viterbi_matches_enumeration():
         assert tuple(found.tolist()) == best
 
 
+def test_marginals_match_enumeration():
+    rng = np.random.default_rng(4)
+    for size in (0.5, 3, 8, 15):
+        for _ in range(10):
+            lengths = rng.integers(1, 9, int(rng.integers(1, 6)))
+            odds, moves = rng.uniform(-2 * size, 2 * size, lengths.sum()), rng.uniform(-size, size, (3, 2))
+            first, expected = np.zeros(len(odds), bool), []
+            for at, n in zip(np.cumsum(lengths) - lengths, lengths, strict=True):
+                first[at] = True
+                paths = list(itertools.product((0, 1), repeat=int(n)))
+                total = [moves[2, p[0]] + odds[at : at + n] @ p + sum(moves[a, b] for a, b in itertools.pairwise(p)) for p in paths]
+                weight = np.exp(np.array(total) - max(total))
+                expected += list((weight[:, None] * np.array(paths)).sum(axis=0) / weight.sum())
+            assert np.allclose(crf.chances(odds, first, moves, 5), expected, atol=1e-9)
+
+
+def test_marginals_do_not_depend_on_chunks():
+    """One long text whose field hardly forgets: a chunk must know what entered it."""
+    rng = np.random.default_rng(8)
+    odds, moves = rng.normal(0, 0.01, 3000), np.array([[3.0, -3.0], [-3.0, 3.0], [0.0, 2.0]])
+    odds[0] = 6
+    first = np.arange(3000) == 0
+    whole = crf.chances(odds, first, moves, 3000)
+    assert whole[300] > 0.6 and np.allclose(crf.chances(odds, first, moves, 16), whole, atol=1e-9)
+
+
 def test_classifiers_on_odd_rows(odd, empty, labels):
     for module in (toxicity, quality):
         model = module.train(odd, labels)
@@ -352,6 +378,36 @@ def test_leaks_match_brute_force(spark, odd, empty):
     assert decontam.leaks(data, bench.limit(0)).count() == 0 and decontam.clean(odd, bench).count() == odd.count()
 
 
+def test_long_items_are_searched_by_parts(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8)))
+    long, other = (" ".join(word() for _ in range(n)) for n in (18_000, 2_000))
+    near, far = list(long), list(other)
+    for value, share in ((near, 0.05), (far, 0.2)):
+        for at in rng.sample(range(len(value)), int(share * len(value))):
+            value[at] = "z"
+    filler = " ".join(word() for _ in range(300))
+    docs = [(1, f"{filler} {long} {filler}"), (2, f"{filler} {''.join(near)}"), (3, f"{''.join(far)} {filler}"), (4, f"x {other}"), (5, long[: len(long) // 2])]
+    bench = spark.createDataFrame([(1, long), (2, other), (3, long), (None, other)], "item_id long, text string")
+    assert len(long) > 100_000 and len(decontam.parts_of(long, 0.08)) == -(-len(long) // decontam.PART)
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (1, 3), (2, 1), (2, 3), (4, 2), (4, None)} and len(found) == 6
+    assert {r.distance for r in found if r.doc_id != 2} == {0}
+    assert all(0.04 * len(long) < r.distance <= 0.05 * len(long) for r in found if r.doc_id == 2)
+
+
+def test_windows_are_embedded_in_bounded_batches(monkeypatch):
+    asked, keys_of = [], decontam.keys_of
+    monkeypatch.setattr(decontam, "keys_of", lambda data, start, size: asked.append(len(size) * size.max()) or keys_of(data, start, size))
+    rng = np.random.default_rng(2)
+    data, size = rng.integers(97, 123, 20_000).astype(np.uint8), rng.permutation(np.repeat([40, 300, 2000, 2600], [900, 300, 200, 100]))
+    start = rng.integers(0, 17_000, len(size))
+    keys = decontam.keys_by_size(data, start, size)
+    assert max(asked) <= decontam.WINDOW_BYTES and len(asked) < 12
+    one = rng.permutation(len(size))[:50]
+    assert (keys[one] == np.concatenate([keys_of(data, start[[i]], size[[i]]) for i in one])).all()
+
+
 def test_leaks_without_spaces_and_short_items(spark):
     rng = random.Random(11)
     runs = ["".join(rng.choices("abcdefghijklmnop", k=60)) for _ in range(20)]
