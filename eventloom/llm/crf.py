@@ -101,42 +101,50 @@ def fit(features: np.ndarray, counts: np.ndarray, lengths: np.ndarray, labels: n
     return weights, moves
 
 
-def chances(odds: np.ndarray, first: np.ndarray, moves: np.ndarray, chunk: int = 128, warm: int = 96) -> np.ndarray:
+def chances(odds: np.ndarray, first: np.ndarray, moves: np.ndarray, chunk: int = 128) -> np.ndarray:
     """Marginal probability of state 1 of a two-state field over texts one after another.
 
     ``odds`` is the log odds of state 1 at each token alone, ``first`` marks where texts begin.
-    The stream is cut into chunks that run side by side; each starts ``warm`` tokens
-    early. A chain with these moves forgets its start at a geometric rate, so the difference
-    to one long pass is below the precision of the weights.
+    The stream is cut into chunks that run side by side. What a chunk does to the ratio ``x`` of
+    the messages that enter it is a fraction ``(p + q x) / (u + w x)``, so one sweep finds the
+    fractions, a walk over the chunks their entering ratios, and a second sweep all messages:
+    the same result as one long pass, whatever the moves. Log odds and moves are held to +-30.
     """
     n = len(odds)
     if n == 0:
         return np.zeros(0)
-    move, start = np.exp(np.clip(moves[:2], -4, 4)), np.exp(np.clip(moves[2, 1] - moves[2, 0], -8, 8))
+    move, start = np.exp(np.clip(moves[:2], -30, 30)), np.exp(np.clip(moves[2, 1] - moves[2, 0], -30, 30))
     ratio = np.exp(np.clip(odds, -30, 30))
     pad = -n % chunk
     rows = (n + pad) // chunk
 
     def swept(values, flags, table, begin, closing):
         """Ratio of messages at each token, swept from left to right."""
-        values = np.concatenate([np.ones(warm), values, np.ones(pad)])
-        flags = np.concatenate([np.ones(warm, bool), flags, np.ones(pad, bool)])
-        out = np.zeros((rows, chunk))
-        at = np.arange(rows) * chunk
-        state = np.ones(rows)
-        for i in range(warm + chunk):
-            arrive = (table[0, 1] + state * table[1, 1]) / (table[0, 0] + state * table[1, 0])
-            arrive = np.where(flags[at + i], begin, arrive)
-            if i >= warm:
-                out[:, i - warm] = arrive if closing else arrive * values[at + i]
-            state = arrive * values[at + i]
-        return out.ravel()[:n]
+        values = np.concatenate([values, np.ones(pad)]).reshape(rows, chunk).T
+        flags = np.concatenate([flags, np.ones(pad, bool)]).reshape(rows, chunk).T
+        p, q, u, w = np.zeros(rows), np.ones(rows), np.ones(rows), np.zeros(rows)
+        for value, flag in zip(values, flags, strict=True):
+            p, u = table[0, 1] * u + table[1, 1] * p, table[0, 0] * u + table[1, 0] * p
+            q, w = table[0, 1] * w + table[1, 1] * q, table[0, 0] * w + table[1, 0] * q
+            p, q = np.where(flag, begin, p) * value, np.where(flag, 0, q) * value
+            u, w = np.where(flag, 1, u), np.where(flag, 0, w)
+            size = p + q + u + w
+            p, q, u, w = p / size, q / size, u / size, w / size
+        state, enter = 1.0, []
+        for a, b, c, d in zip(p.tolist(), q.tolist(), u.tolist(), w.tolist(), strict=True):
+            enter.append(state)
+            state = (a + b * state) / (c + d * state)
+        state, out = np.array(enter), np.empty((chunk, rows))
+        for i, (value, flag) in enumerate(zip(values, flags, strict=True)):
+            arrive = np.where(flag, begin, (table[0, 1] + state * table[1, 1]) / (table[0, 0] + state * table[1, 0]))
+            state = arrive * value
+            out[i] = arrive if closing else state
+        return out.T.ravel()[:n]
 
     last = np.append(first[1:], True)
     ahead = swept(ratio, first, move, start, False)
     behind = swept(ratio[::-1], last[::-1], move.T, 1.0, True)[::-1]
-    joint = ahead * behind
-    return joint / (1 + joint)
+    return 1 / (1 + 1 / (ahead * behind))
 
 
 def viterbi(score: np.ndarray, lengths: np.ndarray, enter: np.ndarray, moves: np.ndarray, leave: np.ndarray) -> np.ndarray:

@@ -79,7 +79,7 @@ def fit(sample: pa.Table) -> Model | float:
     tells = telling(counts[1], counts[0], n_toxic, n_clean)
     if not tells.any():
         return n_toxic / (n_toxic + n_clean)
-    texts, labels, lengths = [], [], []
+    gathered, texts, labels, lengths = [], [], [], []
     rng = np.random.default_rng(11)
     share = SEQUENCES / len(label)
     for part in slices:
@@ -104,9 +104,9 @@ def fit(sample: pa.Table) -> Model | float:
             begin = np.cumsum(number) - number
             at = np.repeat(begin[flat] - (np.cumsum(number[flat]) - number[flat]), number[flat]) + np.arange(number[flat].sum())
             made = (ids[at], number[flat], np.array(lengths), np.concatenate(labels))
-            gathered = made if part is slices[0] or "gathered" not in locals() else tuple(np.concatenate(x) for x in zip(gathered, made, strict=True))
+            gathered.append(made)
             texts, labels, lengths = [], [], []
-    ids, number, lengths, labels = gathered
+    ids, number, lengths, labels = (np.concatenate(x) for x in zip(*gathered, strict=True))
     weights, moves = crf.fit(ids, number, lengths, labels, 2, crf.DIMS)
     model = Model((weights[:, 1] - weights[:, 0]).astype(np.float32), moves, np.zeros(3))
     inputs = np.concatenate([evidence(model, Words(part.column("text"), lower=True))[0] for part in slices])
