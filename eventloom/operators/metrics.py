@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.scalar import percent, seconds_between, total_money, utf8_bytes
+from eventloom.functions.scalar import interval, percent, seconds_between, total_money, utf8_bytes
+from eventloom.operators.quantiles import exact_percentiles
 
 
 def is_purchase() -> Column:
@@ -199,6 +200,30 @@ def percentiles(df: DataFrame, by: str, whole_units: Column, points: dict[str, f
     )
 
 
+def storage_latency(
+    stored: DataFrame,
+    by: str,
+    points: dict[str, float],
+    target: str = "100 milliseconds",
+    ts: str = "timestamp",
+    created: str = "created_at",
+) -> DataFrame:
+    """Time from an event to its row in the store, per group: number, exact percentiles in seconds, percent
+    within ``target``, and how many events carry a time after they were stored.
+
+    Reads three columns of the stored layout. Rows without either time are left out, a null group is a group.
+    """
+    micros = F.unix_micros(created) - F.unix_micros(ts)
+    rows = stored.select(by, micros.alias("_latency")).where(F.col("_latency").isNotNull())
+    within = F.lit(0).cast("timestamp") + interval(target) >= F.timestamp_micros("_latency")
+    counts = rows.groupBy(F.col(by).alias("_by")).agg(
+        percent(F.count_if(within), F.count("*")).alias("within_target"), F.count_if(F.col("_latency") < 0).alias("early")
+    )
+    exact = exact_percentiles(rows, by, "_latency", points)
+    seconds = [F.round(F.col(p) / 1_000_000, 6).alias(p) for p in points]
+    return exact.join(counts, F.col(by).eqNullSafe(F.col("_by"))).select(by, "n", *seconds, "within_target", "early")
+
+
 def payload_bytes(df: DataFrame, payload: Column, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.count("*").alias("events"),

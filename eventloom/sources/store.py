@@ -22,22 +22,41 @@ def stored_layout(df: DataFrame, created_at: Column) -> DataFrame:
     return df.select(*[columns.get(n, F.col(n)).alias(n) for n in names])
 
 
-def append_events(df: DataFrame, path: str, ts: str = "timestamp") -> None:
-    """Append events, one folder per day.
+#: Column that names the delivery a stored event came with.
+DELIVERY = "delivery"
+
+
+def append_events(df: DataFrame, path: str, ts: str = "timestamp", delivery: str = "first") -> None:
+    """Store the events of a delivery, in a folder per day and delivery.
+
+    A delivery that is written again replaces itself, day by day; others stay untouched. Ids are not compared between
+    deliveries, see ``streaming.tables.append_once`` for that.
 
     The rebalance hint lets AQE split a busy day over many writers and merge quiet
     days, so no task gets a whole hot day and no day gets a file per task.
     """
-    dated = df.withColumn("event_date", F.to_date(ts)).hint("rebalance", F.col("event_date"))
-    dated.write.mode("append").partitionBy("event_date").parquet(path)
+    dated = df.withColumns({"event_date": F.to_date(ts), DELIVERY: F.lit(delivery)}).hint("rebalance", F.col("event_date"))
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("event_date", DELIVERY).parquet(path)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_dead_letters(letters: DataFrame, path: str) -> None:
-    letters.write.mode("append").parquet(path)
+def append_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
+    """Store the dead letters of a batch with one commit; a repeated batch replaces its own. Usable as
+    handler of a stream."""
+    table = LogTable(letters.sparkSession, path)
+    folder = table.new_folder()
+    letters.write.parquet(folder)
+    table.put(batch_id, {"folder": folder})
+
+
+def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """The dead letters of all committed batches."""
+    rows = LogTable(spark, path).read(schema.DEAD_LETTER_COLUMNS)
+    return rows if rows is not None else spark.createDataFrame([], schema.DEAD_LETTER_COLUMNS)
 
 
 def write_daily_stats(stats: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators import churn, quantiles
+from eventloom.operators import churn, metrics, quantiles
 
 POINTS = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
 
@@ -34,6 +34,18 @@ def test_exact_percentiles(spark, widths):
     assert quantiles.exact_percentiles(df.where("false"), "kind", "v", POINTS).count() == 0
 
 
+def test_storage_latency(spark):
+    start = datetime(2024, 1, 1)
+    rows = [("a", start, start + timedelta(milliseconds=10 * n)) for n in range(21)]
+    rows += [("b", start, start - timedelta(seconds=2)), ("b", None, start), ("b", start, None), (None, start, start + timedelta(days=400))]
+    df = spark.createDataFrame(rows, "event_type string, timestamp timestamp, created_at timestamp")
+    found = {r.event_type: r for r in metrics.storage_latency(df, "event_type", POINTS).collect()}
+    assert tuple(found["a"]) == ("a", 21, 0.0, 0.05, 0.1, 0.198, 0.2, 52.38, 0)
+    assert tuple(found["b"])[1:3] == (1, -2.0) and tuple(found["b"])[-2:] == (100.0, 1)
+    assert found[None].p100 == 400 * 86400 and found[None].within_target == 0 and len(found) == 3
+    assert metrics.storage_latency(df.limit(0), "event_type", POINTS).count() == 0
+
+
 def test_daily_sketches_merge(spark):
     rng = random.Random(2)
     start = datetime(2024, 1, 1)

@@ -12,6 +12,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom import schema
 from eventloom.operators import lookup, metrics
 from eventloom.sources import files, kafka, store
 from eventloom.sources.idindex import IdIndex
@@ -161,6 +162,20 @@ def test_daily_stats_replace_only_their_days(spark, space):
     assert sorted(map(tuple, rows)) == [("2024-01-01", 1), ("2024-01-02", 5)]
 
 
+def test_a_repeated_delivery_replaces_itself(spark, space):
+    batch = spark.createDataFrame(day_rows(0) + day_rows(1), EVENT)
+    for delivery in ("a", "a", "b"):
+        store.append_events(batch if delivery == "a" else batch.limit(5), f"{space}/events", ts="ts", delivery=delivery)
+    assert store.read_events(spark, f"{space}/events").groupBy("delivery").count().orderBy("delivery").collect() == [("a", 60), ("b", 5)]
+    letters = spark.createDataFrame([(1, "e1", "no user", "blank_user_id", "{}", START), (2, None, None, None, "", None)], schema.DEAD_LETTER_COLUMNS)
+    assert store.read_dead_letters(spark, f"{space}/dead").count() == 0
+    for batch_id in (0, 0, 1):
+        store.append_dead_letters(letters, f"{space}/dead", batch_id)
+    assert sorted(r.id for r in store.read_dead_letters(spark, f"{space}/dead").collect()) == [1, 1, 2, 2]
+    store.append_dead_letters(letters.limit(1), f"{space}/dead", 1)
+    assert store.read_dead_letters(spark, f"{space}/dead").count() == 3
+
+
 def test_store_prunes_and_expires_days(spark, space):
     whole = spark.createDataFrame([r for d in range(3) for r in day_rows(d)], EVENT)
     store.append_events(whole, f"{space}/events", ts="ts")
