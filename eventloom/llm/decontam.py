@@ -92,17 +92,19 @@ def keys_of(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     """
     n, steps = len(start), 3 * size
     walk = np.arange(WALKS)
-    at = np.zeros((n, WALKS), np.int64)
+    longest = int(steps.max())
+    # Symbols and salts as 16-bit numbers, whose sums wrap as the coin table needs.
+    symbols = np.append(data, np.zeros(longest + 1, np.uint8)).astype(np.uint16) * np.uint16(257)
+    salts = mixed((walk * 1_000_003 + np.arange(longest)[:, None]).astype(np.uint64)).astype(np.uint16)
+    at, end = np.repeat(start[:, None], WALKS, axis=1), (start + size)[:, None]
     keys = np.zeros((n, WALKS, SAMPLES), np.int64)
     # Sampled steps per walk, sample and bit as fractions of the length of the walk.
     share = np.random.default_rng(23).random((WALKS, SAMPLES, BITS))
     chosen = np.floor(share * steps[:, None, None, None]).astype(np.int64)
-    written = np.zeros((n, WALKS, int(steps.max())), bool)
-    for step in range(int(steps.max())):
-        inside = at < size[:, None]
-        symbol = np.where(inside, data[np.minimum(start[:, None] + at, len(data) - 1)], 0).astype(np.int64)
-        salt = mixed((walk * 1_000_003 + step).astype(np.uint64)).astype(np.int64)
-        coin = _COIN[(symbol * 257 + salt) & 0xFFFF]
+    written = np.zeros((n, WALKS, longest), bool)
+    for step in range(longest):
+        inside = at < end
+        coin = _COIN[symbols[at] * inside + salts[step]]
         written[:, :, step] = coin & 2
         at += (coin & 1) & inside
     bits = written[np.arange(n)[:, None, None, None], walk[:, None, None], chosen]
