@@ -78,9 +78,10 @@ def gram_codes(data: np.ndarray) -> np.ndarray:
     n = len(data) - Q + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    code = np.zeros(n, np.uint64)
-    for j in range(Q):
-        code = (code << np.uint64(8)) | data[j : j + n]
+    code, width = data.astype(np.uint64), 1
+    while width < Q:  # stretches of twice the width, Q being a power of two
+        code = (code[:-width] << np.uint64(8 * width)) | code[width:]
+        width *= 2
     return (mixed(code) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
@@ -302,26 +303,36 @@ def candidates(index: Index, codes: np.ndarray, words: np.ndarray, offsets: np.n
     new = np.concatenate([[True], (np.diff(starts[near]) > reach) | (np.diff(ends[near]) != 0)])
     first = near[new]
     last = near[np.append(np.flatnonzero(new)[1:], len(near)) - 1]
-    place, stretch = expanded(starts[first], np.maximum(np.minimum(until(starts[last] + reach), ends[last]), starts[first]))
-    place, stretch = place[hit[place]], stretch[hit[place]]
+    held, stop = np.flatnonzero(hit), np.minimum(until(starts[last] + reach), ends[last])
+    low = np.searchsorted(held, starts[first])
+    entry, stretch = expanded(low, np.maximum(np.searchsorted(held, stop), low))
+    place = held[entry]
     low, high = np.searchsorted(index.posting[0], codes[place]), np.searchsorted(index.posting[0], codes[place], "right")
     entry, of = expanded(low, high)
     # A q-gram of the text at its place in the item tells where the window would start.
     item, shift, where = index.posting[1][entry], place[of] - index.posting[2][entry], stretch[of]
     order = np.lexsort((shift, item, where))
     item, shift, where = item[order], shift[order], where[order]
-    pair = np.concatenate([[True], (np.diff(item) != 0) | (np.diff(where) != 0)]) if len(item) else np.zeros(0, bool)
-    begin = np.flatnonzero(pair)
-    end = np.append(begin[1:], len(item)) if len(item) else begin
+    # A start is right if enough shifts lie within the edits of it, that is, if it lies in the
+    # range around a run of so many shifts; overlapping ranges of one item and stretch are one.
+    group = np.cumsum(np.concatenate([[0], (np.diff(item) != 0) | (np.diff(where) != 0)])) if len(item) else item
+    run = np.flatnonzero(np.arange(len(item)) + least[item] <= len(item))
+    till = run + least[item[run]] - 1
+    close = (group[till] == group[run]) & (shift[till] - shift[run] <= 2 * index.edits[item[run]])
+    run, till = run[close], till[close]
+    low, high = shift[till] - index.edits[item[run]], shift[run] + index.edits[item[run]]
+    new = np.concatenate([[True], (np.diff(group[run]) != 0) | (low[1:] > high[:-1])]) if len(run) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(run)) - 1 if len(run) else begin
     made = [np.zeros((2, 0), np.int64)]
-    enough = end - begin >= least[item[begin]]
-    for i, j in zip(begin[enough], end[enough], strict=True):
-        size, edits = int(index.sizes[item[i]]), int(index.edits[item[i]])
-        a, b = first[where[i]], last[where[i]]
-        mine = words[np.searchsorted(words, starts[a]) : np.searchsorted(words, starts[b], "right")]
-        s = np.union1d(mine, np.maximum(shift[i:j], begins[a]))
-        held = np.searchsorted(shift[i:j], s + edits, "right") - np.searchsorted(shift[i:j], s - edits)
-        s = s[(held >= least[item[i]]) & (s + size - edits <= ends[a])]
+    for i, j in zip(begin, end, strict=True):
+        part, at = item[run[i]], where[run[i]]
+        size, edits, a, b = int(index.sizes[part]), int(index.edits[part]), first[at], last[at]
+        mine = words[np.searchsorted(words, max(low[i], starts[a])) : np.searchsorted(words, min(high[j], starts[b]), "right")]
+        around = np.searchsorted(group, group[run[i]]), np.searchsorted(group, group[run[i]], "right")
+        told = np.maximum(shift[around[0] : around[1]], begins[a])
+        s = np.concatenate([mine, told[(told >= low[i]) & (told <= high[j])]])
+        s = s[s + size - edits <= ends[a]]
         made.append(np.stack([s, np.full(len(s), size)]))
     found = np.unique(np.concatenate(made, axis=1), axis=1)
     return found[0], found[1]

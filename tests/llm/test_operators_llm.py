@@ -396,6 +396,39 @@ def test_long_items_are_searched_by_parts(spark):
     assert all(0.04 * len(long) < r.distance <= 0.05 * len(long) for r in found if r.doc_id == 2)
 
 
+def test_windows_to_embed_match_a_plain_count():
+    """Windows start where enough q-grams of an item lie in place, give or take its edits."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcde", k=rng.randint(1, 6)))
+    items = [" ".join(word() for _ in range(n)) for n in (12, 20, 20, 60)] + ["ab " * 20 + "c", "é" * 20 + " " + "abcd" * 8]
+    texts = []
+    for n in range(40):
+        value = list(rng.choice(items))
+        for _ in range(n % 7):
+            value[rng.randrange(len(value))] = rng.choice(["", "x", " ", "yy"])
+        fill = [" ".join(word() for _ in range(rng.randint(0, 30))) for _ in range(2)]
+        texts.append(("" if n % 5 == 0 else " ").join([fill[0], "".join(value), fill[1]]))
+    texts += ["", None, items[0] * 3]
+    index = decontam.build(pa.table({"item_key": [str(i) for i in range(len(items))], "text": items}), 0.08, 24)
+    data, starts, offsets = decontam.plain(pa.array(texts))
+    codes = decontam.gram_codes(data)
+    found = set(zip(*(x.tolist() for x in decontam.candidates(index, codes, starts, offsets)), strict=True))
+    certain, possible = set(), set()
+    for begin, end in itertools.pairwise(offsets.tolist()):
+        for part, size in enumerate(index.sizes.tolist()):
+            mine = index.posting[1] == part
+            places = [(p, p - int(q)) for p in range(begin, min(end, len(codes))) for q in index.posting[2][mine & (index.posting[0] == codes[p])]]
+            edits, least = int(index.edits[part]), int(index.least[part])
+            own = set(starts[(starts >= begin) & (starts < end)].tolist())
+            for s in own | {max(shift, begin) for _, shift in places}:
+                held = [p for p, shift in places if abs(shift - s) <= edits]
+                if len(held) >= least and s + size - edits <= end:
+                    possible.add((s, size))
+                    if s in own and sum(p >= s for p in held) >= least:
+                        certain.add((s, size))
+    assert len(certain) > 30 and certain <= found <= possible
+
+
 def test_windows_are_embedded_in_bounded_batches(monkeypatch):
     asked, keys_of = [], decontam.keys_of
     monkeypatch.setattr(decontam, "keys_of", lambda data, start, size: asked.append(len(size) * size.max()) or keys_of(data, start, size))
