@@ -23,15 +23,17 @@ def rank_all(df: DataFrame, by: str, slices: int = 200) -> DataFrame:
     Adds ``rank``, ``dense_rank``, ``percent_rank`` and ``quartile`` (1 is the top
     quarter by cumulative share). A global window would run in one task; instead the
     distinct values are cut into slices of about equal size, each slice is ranked on its
-    own, and the sizes of the slices above (at most ``slices`` rows) are added.
+    own, and the sizes of the slices above (at most ``slices`` rows) are added. Rows whose ``by`` is
+    null come last and share a rank, as with ``NULLS LAST``; NaN counts as the highest value.
     """
     values = df.groupBy(by).agg(F.count("*").alias("_rows"))
     as_double = values.withColumn("_key", F.col(by).cast("double"))
     shares = F.array(*[F.lit(i / slices) for i in range(1, max(slices, 2))])
-    quantiles = as_double.agg(F.percentile_approx("_key", shares, F.lit(4 * slices))).first()[0]
+    quantiles = as_double.agg(F.percentile_approx(F.nanvl("_key", F.lit(None).cast("double")), shares, F.lit(4 * slices))).first()[0]
     cuts = sorted(set(quantiles or []))
     splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol="_key", outputCol="_slice").transform(as_double).drop("_key")
+    cutter = Bucketizer(splits=splits, inputCol="_key", outputCol="_slice", handleInvalid="keep")
+    sliced = cutter.transform(as_double).withColumn("_slice", F.coalesce("_slice", F.lit(-1.0))).drop("_key")
 
     above = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -53,10 +55,10 @@ def rank_all(df: DataFrame, by: str, slices: int = 200) -> DataFrame:
     )
     share = (F.col("rank") + F.col("_rows") - 1) / F.col("_all")
     graded = ranked.select(
-        by,
+        F.col(by).alias("_by"),
         "rank",
         "dense_rank",
         F.when(F.col("_all") == 1, 0.0).otherwise((F.col("rank") - 1) / (F.col("_all") - 1)).alias("percent_rank"),
         F.ceil(share * 4).cast("int").alias("quartile"),
     )
-    return df.join(graded, by)
+    return df.join(graded, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")

@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventloom.operators import attribution, ordered, ranking, timewindows
@@ -203,6 +204,17 @@ def test_rank_of_nothing_and_of_a_single_row(spark):
     assert (row.rank, row.dense_rank, row.percent_rank, row.quartile) == (1, 1, 0.0, 4)
 
 
+def test_ranks_of_rows_without_a_value(spark):
+    values = [(1, 5.0), (2, None), (3, 7.5), (4, None), (5, 5.0), (6, float("nan"))]
+    df = spark.createDataFrame(values, "user_id int, spent double")
+    order = Window.orderBy(F.desc("spent"))
+    share = F.ceil(F.cume_dist().over(order) * 4).cast("int")
+    expected = df.select("user_id", F.rank().over(order).alias("rank"), F.dense_rank().over(order).alias("dense_rank"), F.percent_rank().over(order).alias("percent_rank"), share.alias("quartile"))
+    for slices in (1, 3, 200):
+        found = ranking.rank_all(df, "spent", slices).select(expected.columns)
+        assert sorted(found.collect()) == sorted(expected.collect())
+
+
 def test_out_of_order_rows_are_seen(spark):
     shuffled = session(spark, 20).orderBy(F.rand(3)).persist()
     assert timewindows.out_of_order(shuffled).first().out_of_order > 0
