@@ -4,12 +4,13 @@
 country, and the purchases of the last day. ``running_totals`` keeps plain sums, for which the
 built-in aggregate in update mode is the first choice; its state is kept per user and shard, so
 that the events of a hot user are spread over several tasks, and the shards are added up when read.
+The processor takes a bucket of users at a time.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,50 +23,84 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE = "events bigint, purchases bigint, cents bigint, first_us bigint, last_us bigint"
+NO_TIME = -(2**63)
+
+#: Users are hashed to this many groups. A call of the processor and a result block cost about a millisecond however few
+#: rows they hold, so a group takes many users; a group is also what tasks share out, so there are many groups.
+BUCKETS = 1024
 
 
 class RunningTotals(StatefulProcessor):
-    """Counts, spending in cents and first and last time of one user's shard."""
+    """Counts, spending in cents and first and last time per user, for the users of one bucket and shard.
+
+    Each user has an entry of its own in the state, and only users with new events are read and written.
+    """
+
+    def __init__(self, shards: int):
+        self._shards = shards
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._totals = handle.getValueState("totals", STATE)
+        self._totals = handle.getMapState("totals", "user string", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = purchases = cents = 0
-        first = last = None
-        if self._totals.exists():
-            events, purchases, cents, first, last = self._totals.get()
+        totals = {}
         for part in rows:
-            events += len(part)
-            purchases += int(part["is_purchase"].sum())
-            cents += int(part["cents"].sum())
-            low, high = int(part["at_us"].min()), int(part["at_us"].max())
-            first = low if first is None else min(first, low)
-            last = high if last is None else max(last, high)
-        self._totals.update((events, purchases, cents, first, last))
-        row = (key[0], int(key[1]), events, purchases, cents, first, last)
-        columns = ["user_id", "shard", "events", "purchases", "cents", "first_us", "last_us"]
-        yield pd.DataFrame([row], columns=columns)
+            for user, *sums in sums_per_user(part):
+                totals[user] = added(totals[user], sums) if user in totals else sums
+        stored = self._totals.exists()
+        for user, sums in totals.items():
+            before = self._totals.getValue((user,)) if stored and self._totals.containsKey((user,)) else None
+            if before is not None:
+                totals[user] = added(before, sums)
+            self._totals.updateValue((user,), tuple(totals[user]))
+        columns = ["user", "shard", *[c.split()[0] for c in STATE.split(", ")]]
+        result = pd.DataFrame([(user, key[0] % self._shards, *sums) for user, sums in totals.items()], columns=columns)
+        yield result.astype({"first_us": "Int64", "last_us": "Int64"})
 
     def close(self) -> None:
         pass
 
 
+def sums_per_user(part: pd.DataFrame) -> Iterator[tuple]:
+    """(user, events, purchases, cents, first time, last time) of the rows of a part."""
+    codes, users = pd.factorize(part["user"], use_na_sentinel=False)
+    at, cents = part["at_us"].to_numpy(), part["cents"].to_numpy()
+    count = len(users)
+    purchases, spent = np.zeros(count, np.int64), np.zeros(count, np.int64)
+    first, last = np.full(count, 2**63 - 1), np.full(count, NO_TIME)
+    np.add.at(purchases, codes, part["is_purchase"].to_numpy(np.int64))
+    np.add.at(spent, codes, cents)
+    timed = at > NO_TIME
+    np.minimum.at(first, codes[timed], at[timed])
+    np.maximum.at(last, codes[timed], at[timed])
+    events = np.bincount(codes, minlength=count)
+    for user, *sums, low, high in zip(*[c.tolist() for c in (users, events, purchases, spent, first, last)], strict=True):
+        yield user if isinstance(user, str) else None, *sums, *((None, None) if high == NO_TIME else (low, high))
+
+
+def added(a: Sequence, b: Sequence) -> list:
+    """Totals of two sets of rows."""
+    times = [fold((x, y)) if None not in (x, y) else x if y is None else y for fold, x, y in ((min, a[3], b[3]), (max, a[4], b[4]))]
+    return [a[0] + b[0], a[1] + b[1], a[2] + b[2], *times]
+
+
 def running_totals(df: DataFrame, shards: int = 4) -> DataFrame:
     """Updated totals per user and shard for every batch; ``df`` has the event columns."""
-    is_purchase = F.col("event_type") == "purchase"
+    is_purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
     cents = F.when(is_purchase, F.round(F.col("value") * 100)).otherwise(0).cast("bigint")
+    shard = F.pmod(F.xxhash64("event_id"), F.lit(shards))
     prepared = df.select(
-        "user_id",
-        F.pmod(F.xxhash64("event_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
+        (F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)) * shards + shard).cast("int").alias("part"),
+        # As text, a missing id among the rows leaves the others exact.
+        F.col("user_id").cast("string").alias("user"),
+        F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(NO_TIME)).alias("at_us"),
         is_purchase.alias("is_purchase"),
-        cents.alias("cents"),
+        F.coalesce(cents, F.lit(0)).alias("cents"),
     )
-    user_type = df.schema["user_id"].dataType.simpleString()
-    return prepared.groupBy("user_id", "shard").transformWithStateInPandas(
-        RunningTotals(), f"user_id {user_type}, shard int, {STATE}", outputMode="Update", timeMode="None"
+    totals = prepared.groupBy("part").transformWithStateInPandas(
+        RunningTotals(shards), f"user string, shard int, {STATE}", outputMode="Update", timeMode="None"
     )
+    return totals.withColumn("user", F.col("user").cast(df.schema["user_id"].dataType)).withColumnRenamed("user", "user_id")
 
 
 def combined(latest: DataFrame) -> DataFrame:
@@ -80,7 +115,6 @@ def combined(latest: DataFrame) -> DataFrame:
 
 
 HISTORY = "rapid bigint, hour_events bigint, user_events bigint, earlier_events bigint, home_country string"
-NO_TIME = -(2**63)
 
 
 class UserHistory(StatefulProcessor):

@@ -8,7 +8,9 @@ import random
 import time
 from collections import Counter
 from datetime import datetime, timedelta
+from decimal import Decimal
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +89,64 @@ def test_state_accepts_text_ids(spark, space):
     assert {(r.user_id, r.total_purchases, float(r.total_spent)) for r in found} == {(f"user_{i:05d}", 3, 4.5) for i in range(3)}
 
 
+class KeptMap:
+    """A map state that counts how often it is reached."""
+
+    def __init__(self):
+        self.kept, self.calls = {}, 0
+
+    def reach(self, result):
+        self.calls += 1
+        return result
+
+    def exists(self):
+        return self.reach(bool(self.kept))
+
+    def containsKey(self, key):
+        return self.reach(key in self.kept)
+
+    def getValue(self, key):
+        return self.reach(self.kept[key])
+
+    def updateValue(self, key, value):
+        self.kept[key] = self.reach(value)
+
+    def getMapState(self, *_):
+        return self
+
+
+def test_a_group_of_totals_takes_many_users(spark):
+    """One block of results per group, and a few calls of the state per user."""
+    kept, processor = KeptMap(), state.RunningTotals(shards=4)
+    processor.init(kept)
+    for batch in (1, 2):
+        kept.calls = 0
+        users = [f"u{i}" for i in range(500)]
+        parts = [pd.DataFrame({"part": 6, "user": users, "at_us": at * batch, "is_purchase": True, "cents": at}) for at in (20, 10, 30)]
+        blocks = list(processor.handleInputRows((6,), iter(parts), None))
+        assert len(blocks) == 1 and kept.calls <= 3 * 500 + 1
+        found = set(blocks[0].itertuples(index=False, name=None))
+        assert found == {(u, 2, 3 * batch, 3 * batch, 60 * batch, 10, 30 * batch) for u in users}
+
+
+def test_totals_over_batches_with_missing_values(spark, space):
+    rows = [(i, None if i % 7 == 0 else i % 40 + 2**60, None if i % 3 == 0 or i % 40 == 5 else START + timedelta(minutes=i), "purchase" if i % 2 else None, float(i)) for i in range(400)]
+    rows += [(None, 1, START, "purchase", None), (None, 1, START, "purchase", 2.5)]
+    arrive(spark, f"{space}/in", rows[:150], rows[150:300], rows[300:])
+    totals = state.running_totals(stream(spark, f"{space}/in"), shards=2)
+    runs.run_available(runs.per_batch(totals, tables.keep_changes(f"{space}/out"), f"{space}/c", "update"), state_partitions=2)
+    changes = spark.read.parquet(f"{space}/out")
+    assert changes.schema["user_id"].dataType.simpleString() == "bigint"
+    found = {tuple(r) for r in state.combined(tables.latest_changes(spark, f"{space}/out", "user_id", "shard")).collect()}
+    expected = set()
+    for user in {r[1] for r in rows}:
+        own = [r for r in rows if r[1] == user]
+        times, spent = [r[2] for r in own if r[2]], [r[4] for r in own if r[3] == "purchase"]
+        total = Decimal(str(sum(v for v in spent if v is not None))).quantize(Decimal("0.01"))
+        expected.add((user, min(times, default=None), max(times, default=None), len(own), len(spent), total))
+    assert found == expected and len(expected) == 42
+
+
 def test_changes_keep_the_newest_state(spark, space):
     arrive(spark, f"{space}/in", day_rows(0), day_rows(1), day_rows(2))
     rollup = metrics.user_rollup(stream(spark, f"{space}/in"))
