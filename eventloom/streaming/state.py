@@ -4,7 +4,7 @@
 country, and the purchases of the last day. ``running_totals`` keeps plain sums, for which the
 built-in aggregate in update mode is the first choice; its state is kept per user and shard, so
 that the events of a hot user are spread over several tasks, and the shards are added up when read.
-The processor takes a bucket of users at a time.
+Both processors take a bucket of users at a time and keep an entry per user.
 """
 
 from __future__ import annotations
@@ -115,95 +115,122 @@ def combined(latest: DataFrame) -> DataFrame:
 
 
 HISTORY = "rapid bigint, hour_events bigint, user_events bigint, earlier_events bigint, home_country string"
+HISTORY_COLUMNS = [c.split()[0] for c in HISTORY.split(", ")]
+
+
+#: Events in time, the newest of them, events per hour of day and per country, and times of purchases still in reach.
+PAST = "n bigint, newest_us bigint, hours array<bigint>, countries map<string, bigint>, bought array<bigint>"
+
+#: As ``BUCKETS``, for histories: more, since a task holds a batch of a bucket's events.
+HISTORY_BUCKETS = 8192
 
 
 class UserHistory(StatefulProcessor):
-    """What a user did so far, and for each new event what was known up to it.
+    """What the users of a bucket did so far, and for each new event what was known of its user up to it.
 
-    Events of a batch are taken in order of time and id. ``hours`` and ``countries`` count events, ``bought``
-    holds the times of purchases that are still in reach, ``seen`` the number of events and the newest time. Timers on
-    event time drop purchases once they are out of reach of all later events, and the whole history of a user
-    who has been silent for ``forget_us``.
+    Events of a batch are taken in order of time and id. Each user has an entry of its own in the state (``PAST``), and only
+    users with new events are read and written. The history of a user who has been silent for ``forget_us`` counts
+    no more; a timer on event time, one per bucket, drops such entries, at most ``LOOKS`` times within that length.
     """
 
+    LOOKS = 16
+
     def __init__(self, horizon_us: int, forget_us: int, columns: list[str]):
         self._horizon, self._forget, self._columns = horizon_us, forget_us, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._hours = handle.getMapState("hours", "hour int", "n bigint")
-        self._countries = handle.getMapState("countries", "country string", "n bigint")
-        self._bought = handle.getListState("bought", "at_us bigint")
-        self._seen = handle.getValueState("seen", "n bigint, newest_us bigint")
-
-    def _timers(self, newest: int, purchase: int | None) -> None:
-        """One timer for the user's silence and one for the end of reach of the last purchase."""
-        for timer in list(self._handle.listTimers()):
-            self._handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        ends = {newest + self._forget} | ({purchase + self._horizon} if purchase is not None else set())
-        for end in ends:
-            self._handle.registerTimer(end // 1000 + 1)
+        self._past = handle.getMapState("past", "user string", PAST)
+
+    def _end(self, newest: int) -> int:
+        """When a user with this newest event has been silent for too long, in milliseconds."""
+        return (newest + self._forget) // 1000 + 1
+
+    def _known(self, user: str | None, watermark: int) -> tuple:
+        past = self._past.getValue((user,)) if self._past.containsKey((user,)) else None
+        return NOTHING if past is None or self._end(past[1]) < watermark else past
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(rows)).sort_values(["at_us", "event_id"], kind="stable").reset_index(drop=True)
-        hours = {k[0]: v[0] for k, v in self._hours.iterator()}
-        places = {k[0]: v[0] for k, v in self._countries.iterator()}
-        seen, newest = self._seen.get() if self._seen.exists() else (0, NO_TIME)
-        earlier_purchases = [r[0] for r in self._bought.get()]
-        at = part["at_us"].to_numpy()
+        parts = list(rows)
+        part = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        users, starts, order = in_order(part)
+        ordered = {c: part[c].array.take(order) for c in {*self._columns[: -len(HISTORY_COLUMNS)], "at_us", "hour", "is_purchase"}}
+        at, country, hour = np.asarray(ordered["at_us"]), ordered["country"].tolist(), ordered["hour"].tolist()
         timed = at > NO_TIME
-        purchases = np.sort(np.concatenate([earlier_purchases, at[timed & part["is_purchase"].to_numpy()]]).astype(np.int64))
-        home = min(places, key=lambda c: (-places[c], c), default=None)
-        new_hours, new_places, known = set(), set(), []
-        for in_time, hour, country in zip(timed.tolist(), part["hour"].tolist(), part["country"].tolist(), strict=True):
-            if not in_time:
-                known.append((None, None, seen, home))
+        bought = timed & np.asarray(ordered["is_purchase"], bool)
+        within, earlier, in_hour, homes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [], []
+        stored, watermark, ends = self._past.exists(), timerValues.getCurrentWatermarkInMs(), []
+        for user, start, end in zip(users, starts, [*starts[1:], len(at)], strict=True):
+            seen, newest, hours, places, reach = self._known(user, watermark) if stored else NOTHING
+            hours, places = list(hours), dict(places)
+            home = min(places, key=lambda c: (-places[c], c), default=None)
+            # Events without a time come first: they carry no history and leave none.
+            first = start + int(np.count_nonzero(~timed[start:end]))
+            earlier[start:first], earlier[first:end] = seen, np.arange(seen, seen + end - first)
+            in_hour += [0] * (first - start)
+            homes += [home] * (first - start)
+            if first == end:
                 continue
-            earlier, home_before = seen, home
-            seen += 1
-            hours[hour] = hours.get(hour, 0) + 1
-            new_hours.add(hour)
-            if country is not None:
-                places[country] = places.get(country, 0) + 1
-                new_places.add(country)
-                if home is None or (-places[country], country) < (-places[home], home):
-                    home = country
-            known.append((hours[hour], seen, earlier, home_before))
-        for hour in new_hours:
-            self._hours.updateValue((hour,), (hours[hour],))
-        for country in new_places:
-            self._countries.updateValue((country,), (places[country],))
-        newest = max(newest, int(at.max()))
-        reach = purchases[purchases > newest - self._horizon - 1] if newest > NO_TIME else purchases
-        if len(purchases):
-            self._bought.put([(int(t),) for t in reach]) if len(reach) else self._bought.clear()
-        self._seen.update((seen, newest))
-        if newest > NO_TIME:
-            self._timers(newest, int(reach[-1]) if len(reach) else None)
-        counted = pd.DataFrame(known, columns=["hour_events", "user_events", "earlier_events", "home_country"])
-        for c in ("hour_events", "user_events", "earlier_events"):
-            part[c] = counted[c].astype("Int64")
-        part["home_country"] = counted["home_country"]
-        low = np.where(timed, at, 0) - self._horizon
-        within = np.searchsorted(purchases, at, "right") - np.searchsorted(purchases, low, "left")
-        part["rapid"] = pd.Series(within, dtype="Int64").where(pd.Series(timed & part["is_purchase"].to_numpy()))
-        part["user_id"] = key[0]
-        yield part[self._columns]
+            for h, c in zip(hour[first:end], country[first:end], strict=True):
+                hours[h] += 1
+                in_hour.append(hours[h])
+                homes.append(home)
+                if c is not None:
+                    places[c] = places.get(c, 0) + 1
+                    if home is None or (-places[c], c) < (-places[home], home):
+                        home = c
+            times = at[first:end]
+            purchases = np.sort(np.concatenate([np.array(reach, np.int64), times[bought[first:end]]]))
+            low = np.searchsorted(purchases, times - self._horizon, "left")
+            within[first:end] = np.searchsorted(purchases, times, "right") - low
+            newest = max(newest, int(times[-1]))
+            reach = purchases[purchases >= newest - self._horizon].tolist()
+            self._past.updateValue((user,), (seen + end - first, newest, hours, places, reach))
+            ends.append(self._end(newest))
+        if ends and not (stored and list(self._handle.listTimers())):
+            self._handle.registerTimer(min(ends))
+        known = {
+            "rapid": pd.arrays.IntegerArray(within, ~bought),
+            "hour_events": pd.arrays.IntegerArray(np.array(in_hour, np.int64), ~timed),
+            "user_events": pd.arrays.IntegerArray(earlier + 1, ~timed),
+            "earlier_events": earlier,
+            "home_country": np.array(homes, object),
+        }
+        ordered |= known
+        yield pd.DataFrame({c: ordered[c] for c in self._columns}, copy=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self._seen.exists():
-            _, newest = self._seen.get()
-            if expiredTimerInfo.getExpiryTimeInMs() > (newest + self._forget) // 1000:
-                for state in (self._hours, self._countries, self._bought, self._seen):
-                    state.clear()
+        watermark, ends = timerValues.getCurrentWatermarkInMs(), []
+        for user, past in list(self._past.iterator()):
+            end = self._end(past[1])
+            if end < watermark:
+                self._past.removeKey(tuple(user))
             else:
-                self._bought.clear()
+                ends.append(end)
+        if ends:
+            self._handle.registerTimer(max(min(ends), watermark + self._forget // 1000 // self.LOOKS))
         return iter([])
 
     def close(self) -> None:
         pass
 
 
+#: The history of a user who is not known.
+NOTHING = (0, NO_TIME, (0,) * 24, {}, ())
+
+
+def in_order(part: pd.DataFrame) -> tuple[list[str | None], list[int], np.ndarray]:
+    """Users of a part, where each begins, and the order of its rows by user, time and id; rows without an id come last."""
+    codes, users = pd.factorize(part["user_key"], use_na_sentinel=False)
+    at = part["at_us"].to_numpy()
+    order = np.lexsort((at, codes))
+    if ((np.diff(codes[order]) == 0) & (at[order][1:] == at[order][:-1])).any():
+        ids, distinct = pd.factorize(part["event_id"], sort=True)
+        order = np.lexsort((np.where(ids < 0, len(distinct), ids), at, codes))
+    starts = np.flatnonzero(np.diff(codes[order], prepend=-1)).tolist()
+    return [u if isinstance(u, str) else None for u in users], starts, order
+
+
 def micros_of(length: str) -> int:
     """Length of an interval like ``24 hours``."""
     number, unit = length.split()
@@ -222,22 +249,26 @@ def with_history(
     batch counts later, and what the watermark (``delay``) has passed is dropped by the stream. Rows without a time carry
     no history and leave none. Columns named in ``keep`` are handed on.
 
-    The rules need a user's events in order, so a user is in one task; it holds one batch of the user's events.
+    The rules need a user's events in order, so a user is in one task; it holds one batch of the events of a bucket of users.
     """
     is_purchase = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    kept = [c for c in keep if c not in ("event_id", "user_id", "ts", "country")]
     prepared = df.withWatermark("ts", delay).select(
         "event_id",
-        "user_id",
+        # As text, a missing id among the rows leaves the others exact.
+        F.col("user_id").cast("string").alias("user_key"),
+        F.pmod(F.xxhash64("user_id"), F.lit(HISTORY_BUCKETS)).cast("int").alias("bucket"),
         "ts",
         F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(NO_TIME)).alias("at_us"),
         F.coalesce(F.hour("ts"), F.lit(-1)).alias("hour"),
         "country",
         is_purchase.alias("is_purchase"),
-        *[c for c in keep if c not in ("event_id", "user_id", "ts", "country")],
+        *kept,
     )
-    given = ["event_id", "user_id", "country", *[c for c in keep if c not in ("event_id", "user_id", "ts", "country")]]
+    given = ["event_id", "user_key", "country", *kept]
     kinds = {f.name: f.dataType.simpleString() for f in prepared.schema}
-    columns = [*given, *[c.split()[0] for c in HISTORY.split(", ")]]
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in given) + ", " + HISTORY
-    processor = UserHistory(micros_of(horizon), micros_of(forget), columns)
-    return prepared.groupBy("user_id").transformWithStateInPandas(processor, schema, outputMode="Append", timeMode="EventTime")
+    processor = UserHistory(micros_of(horizon), micros_of(forget), [*given, *HISTORY_COLUMNS])
+    known = prepared.groupBy("bucket").transformWithStateInPandas(processor, schema, outputMode="Append", timeMode="EventTime")
+    user_type = df.schema["user_id"].dataType
+    return known.withColumn("user_key", F.col("user_key").cast(user_type)).withColumnRenamed("user_key", "user_id")

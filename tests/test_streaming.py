@@ -13,6 +13,7 @@ from decimal import Decimal
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from eventloom import schema
 from eventloom.operators import lookup, metrics
@@ -90,10 +91,10 @@ def test_state_accepts_text_ids(spark, space):
 
 
 class KeptMap:
-    """A map state that counts how often it is reached."""
+    """A map state with timers that counts how often it is reached."""
 
     def __init__(self):
-        self.kept, self.calls = {}, 0
+        self.kept, self.timers, self.calls = {}, [], 0
 
     def reach(self, result):
         self.calls += 1
@@ -111,9 +112,21 @@ class KeptMap:
     def updateValue(self, key, value):
         self.kept[key] = self.reach(value)
 
+    def removeKey(self, key):
+        del self.kept[self.reach(key)]
+
+    def iterator(self):
+        return iter(self.reach(list(self.kept.items())))
+
     def getMapState(self, *_):
         return self
 
+    def listTimers(self):
+        return self.reach(iter(self.timers))
+
+    def registerTimer(self, at):
+        self.timers.append(self.reach(at))
+
 
 def test_a_group_of_totals_takes_many_users(spark):
     """One block of results per group, and a few calls of the state per user."""
@@ -360,6 +373,53 @@ def test_history_of_silent_users_is_forgotten(spark, space):
     assert got[7] == (2, 5, "IN")
 
 
+def test_a_bucket_of_histories_takes_many_users(spark):
+    """One block of results per bucket and a few calls of the state per user; one timer finds the silent users."""
+    hour, columns = 3_600_000_000, ["event_id", "country", *state.HISTORY_COLUMNS]
+    kept, processor = KeptMap(), state.UserHistory(24 * hour, 48 * hour, columns)
+    processor.init(kept)
+
+    def known(watermark, *parts):
+        """Events (user, hour); the later of a user comes first."""
+        kept.calls = 0
+        frames = [
+            pd.DataFrame([(f"{u}-{h}", u, h * hour, h % 24, "IN" if h % 2 else "US", True) for u, h in part], columns=["event_id", "user_key", "at_us", "hour", "country", "is_purchase"])
+            for part in parts
+        ]
+        blocks = list(processor.handleInputRows((1,), iter(frames), TimerValues(0, watermark)))
+        assert len(blocks) == 1
+        return {r[0]: r[2:] for r in blocks[0].itertuples(index=False, name=None)}
+
+    users = [f"u{i}" for i in range(300)]
+    found = known(0, [(u, 31) for u in users], [(u, 7) for u in users] + [("gone", 1)])
+    assert kept.calls <= 301 + 2 and kept.timers == [49 * 3_600_000 + 1]
+    assert all(found[f"{u}-7"] == (1, 1, 1, 0, None) and found[f"{u}-31"] == (2, 2, 2, 1, "IN") for u in users)
+    found = known(30 * 3_600_000, [(u, 32) for u in users])
+    assert kept.calls <= 300 * 3 + 2 and len(kept.timers) == 1
+    assert all(found[f"{u}-32"] == (2, 1, 3, 2, "IN") for u in users)
+    # Who has been silent for 48 hours is new, whether or not the timer has come.
+    assert known(50 * 3_600_000, [("gone", 51)])["gone-51"] == (1, 1, 1, 0, None)
+    del kept.timers[:]
+    list(processor.handleExpiredTimer((1,), TimerValues(0, 82 * 3_600_000), ExpiredTimerInfo(49 * 3_600_000 + 1)))
+    assert list(kept.kept) == [("gone",)] and kept.timers == [99 * 3_600_000 + 1]
+
+
+def test_history_with_missing_users_and_ids(spark, space):
+    rows = [(None if i % 11 == 3 else i, None if i % 5 == 0 else 2**60 + i % 3, START + timedelta(minutes=10 * i), "purchase", 1.0, "IN") for i in range(60)]
+    rows += [(100, 2**60, None, "purchase", 1.0, "IN"), (101, None, None, "click", 1.0, None)]
+    for part in (rows[:20], rows[20:]):
+        spark.createDataFrame(part, HISTORY_EVENT).coalesce(1).write.mode("append").parquet(f"{space}/in")
+    source = spark.readStream.schema(HISTORY_EVENT).option("maxFilesPerTrigger", 1).parquet(f"{space}/in")
+    known = state.with_history(source, "24 hours")
+    assert known.columns == ["event_id", "user_id", "country", *state.HISTORY_COLUMNS]
+    runs.run_available(runs.append_files(known, f"{space}/out", f"{space}/checkpoint"), state_partitions=2)
+    found = spark.read.schema(known.schema).parquet(f"{space}/out").collect()
+    for user in (None, 2**60, 2**60 + 1, 2**60 + 2):
+        own = sorted((r.user_events, r.rapid, r.earlier_events) for r in found if r.user_id == user and r.user_events is not None)
+        assert own == [(n + 1, n + 1, n) for n in range(sum(r[1] == user and r[2] is not None for r in rows))] and own
+    assert sorted((r.event_id, r.user_events, r.rapid) for r in found if r.event_id in (100, 101)) == [(100, None, None), (101, None, None)]
+
+
 def files_below(path):
     return sum(name.endswith(".parquet") for _, _, names in os.walk(path) for name in names)
 
