@@ -129,12 +129,10 @@ class UserHistory(StatefulProcessor):
     """What the users of a bucket did so far, and for each new event what was known of its user up to it.
 
     Events of a batch are taken in order of time and id. Each user has an entry of its own in the state (``PAST``), and only
-    users with new events are read and written. The history of a user who has been silent for ``forget_us`` counts
-    no more; a timer on event time, one per bucket, drops such entries, at most ``LOOKS`` times within that length.
+    users with new events are read and written. A timer on event time, one per bucket and no later than the first of its
+    users has been silent for ``forget_us``, drops the histories of such users.
     """
 
-    LOOKS = 16
-
     def __init__(self, horizon_us: int, forget_us: int, columns: list[str]):
         self._horizon, self._forget, self._columns = horizon_us, forget_us, columns
 
@@ -146,9 +144,13 @@ class UserHistory(StatefulProcessor):
         """When a user with this newest event has been silent for too long, in milliseconds."""
         return (newest + self._forget) // 1000 + 1
 
-    def _known(self, user: str | None, watermark: int) -> tuple:
-        past = self._past.getValue((user,)) if self._past.containsKey((user,)) else None
-        return NOTHING if past is None or self._end(past[1]) < watermark else past
+    def _wake_by(self, end: int, timers: list[int]) -> None:
+        """See to it that the bucket's timer comes no later than this."""
+        if timers and timers[0] <= end:
+            return
+        for timer in timers:
+            self._handle.deleteTimer(timer)
+        self._handle.registerTimer(end)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         parts = list(rows)
@@ -159,9 +161,9 @@ class UserHistory(StatefulProcessor):
         timed = at > NO_TIME
         bought = timed & np.asarray(ordered["is_purchase"], bool)
         within, earlier, in_hour, homes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [], []
-        stored, watermark, ends = self._past.exists(), timerValues.getCurrentWatermarkInMs(), []
+        stored, ends = self._past.exists(), []
         for user, start, end in zip(users, starts, [*starts[1:], len(at)], strict=True):
-            seen, newest, hours, places, reach = self._known(user, watermark) if stored else NOTHING
+            seen, newest, hours, places, reach = self._past.getValue((user,)) if stored and self._past.containsKey((user,)) else NOTHING
             hours, places = list(hours), dict(places)
             home = min(places, key=lambda c: (-places[c], c), default=None)
             # Events without a time come first: they carry no history and leave none.
@@ -187,8 +189,8 @@ class UserHistory(StatefulProcessor):
             reach = purchases[purchases >= newest - self._horizon].tolist()
             self._past.updateValue((user,), (seen + end - first, newest, hours, places, reach))
             ends.append(self._end(newest))
-        if ends and not (stored and list(self._handle.listTimers())):
-            self._handle.registerTimer(min(ends))
+        if ends:
+            self._wake_by(min(ends), list(self._handle.listTimers()) if stored else [])
         known = {
             "rapid": pd.arrays.IntegerArray(within, ~bought),
             "hour_events": pd.arrays.IntegerArray(np.array(in_hour, np.int64), ~timed),
@@ -200,7 +202,7 @@ class UserHistory(StatefulProcessor):
         yield pd.DataFrame({c: ordered[c] for c in self._columns}, copy=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark, ends = timerValues.getCurrentWatermarkInMs(), []
+        watermark, ends = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs() + 1), []
         for user, past in list(self._past.iterator()):
             end = self._end(past[1])
             if end < watermark:
@@ -208,7 +210,7 @@ class UserHistory(StatefulProcessor):
             else:
                 ends.append(end)
         if ends:
-            self._handle.registerTimer(max(min(ends), watermark + self._forget // 1000 // self.LOOKS))
+            self._wake_by(min(ends), [])
         return iter([])
 
     def close(self) -> None:

@@ -124,6 +124,9 @@ class KeptMap:
     def listTimers(self):
         return self.reach(iter(self.timers))
 
+    def deleteTimer(self, at):
+        self.timers.remove(self.reach(at))
+
     def registerTimer(self, at):
         self.timers.append(self.reach(at))
 
@@ -397,11 +400,17 @@ def test_a_bucket_of_histories_takes_many_users(spark):
     found = known(30 * 3_600_000, [(u, 32) for u in users])
     assert kept.calls <= 300 * 3 + 2 and len(kept.timers) == 1
     assert all(found[f"{u}-32"] == (2, 1, 3, 2, "IN") for u in users)
-    # Who has been silent for 48 hours is new, whether or not the timer has come.
+    # Who has been silent for 48 hours is new once the timer has come; it comes for the first of the others then.
+    del kept.timers[:]
+    list(processor.handleExpiredTimer((1,), TimerValues(0, 50 * 3_600_000), ExpiredTimerInfo(49 * 3_600_000 + 1)))
+    assert set(kept.kept) == {(u,) for u in users} and kept.timers == [80 * 3_600_000 + 1]
     assert known(50 * 3_600_000, [("gone", 51)])["gone-51"] == (1, 1, 1, 0, None)
     del kept.timers[:]
-    list(processor.handleExpiredTimer((1,), TimerValues(0, 82 * 3_600_000), ExpiredTimerInfo(49 * 3_600_000 + 1)))
+    list(processor.handleExpiredTimer((1,), TimerValues(0, 82 * 3_600_000), ExpiredTimerInfo(80 * 3_600_000 + 1)))
     assert list(kept.kept) == [("gone",)] and kept.timers == [99 * 3_600_000 + 1]
+    # A user whose events lie before those of all others is the first to be forgotten.
+    known(82 * 3_600_000, [("early", 48)])
+    assert kept.timers == [96 * 3_600_000 + 1]
 
 
 def test_history_with_missing_users_and_ids(spark, space):
